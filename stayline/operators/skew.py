@@ -1,0 +1,49 @@
+"""Heavy keys: find them, and join past them without one overfull task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(
+    df: DataFrame,
+    key: str,
+    *measures: Column,
+    min_rows: int = HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> list[Row]:
+    """The heaviest keys of ``df`` with more than ``min_rows`` rows each.
+
+    Reads the key column only (and what ``measures`` need), pre-aggregated before
+    the shuffle.  At most ``max_keys`` rows reach the driver, so whatever is built
+    from them is small enough to broadcast.  Keys beyond that number are no
+    heavier than a ``1 / max_keys`` share of the rows and go the ordinary way.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), *measures)
+    return counts.where(F.col("n") > min_rows).orderBy(F.desc("n"), key).limit(max_keys).collect()
+
+
+def join_per_user(
+    events: DataFrame, users: DataFrame, key: str, how: str, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join many event rows per key to at most one row per key.
+
+    ``how`` is ``inner``, ``left`` or ``left_semi``.  Events of heavy keys meet a
+    broadcast of just those keys' rows and never move; all others take an
+    ordinary equi-join that Catalyst plans.
+    """
+    heavy = hot_keys(events, key, min_rows=min_rows)
+    if not heavy:
+        return events.join(users, key, how)
+    key_type = events.schema[key].dataType.simpleString()
+    heavy_keys = F.broadcast(
+        events.sparkSession.createDataFrame([(row[key],) for row in heavy], f"`{key}` {key_type}")
+    )
+    heavy_users = F.broadcast(users.join(heavy_keys, key, "left_semi"))
+    heavy_part = events.join(heavy_keys, key, "left_semi").join(heavy_users, key, how)
+    other_part = events.join(heavy_keys, key, "left_anti").join(users, key, how)
+    return heavy_part.unionByName(other_part)
