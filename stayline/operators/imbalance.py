@@ -158,17 +158,21 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
 
     # A cell with many visitors is answered by several tasks, each with its sites.
     crowd = visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(4 * cell_sites)).alias("tasks"))
-    visits = visits.join(crowd, "cell").withColumn("task", F.pmod(F.xxhash64("at"), F.col("tasks")))
-    hosts = placed.join(crowd, "cell").withColumn(
-        "task", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1))
+    visits = visits.join(crowd, "cell").select(
+        "cell", "at", "limit", F.pmod(F.xxhash64("at"), F.col("tasks")).alias("task")
     )
+    numbered = crowd.select(
+        F.col("cell").alias("cell"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1)).alias("task"),
+    )
+    hosts = placed.join(numbered, "cell").select("cell", "at", "keys", "task")
 
     def on_visit(visitors, group):
         import numpy as np
         import pandas as pd
 
         if len(visitors) == 0 or len(group) == 0:
-            return pd.DataFrame({"at": [], "near": []})
+            return pd.DataFrame({"at": [], "near": []}, dtype=object)
         points = np.stack(visitors["at"].to_numpy()).astype(float)
         found = list(search(points, group, visitors["limit"].to_numpy()))
         return pd.DataFrame({"at": visitors["at"], "near": found})

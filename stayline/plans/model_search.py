@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayline.operators.encoding import align
@@ -26,7 +25,6 @@ from stayline.staging import stage
 
 FOLDS = 8
 WEIGHT_STEP = 0.05
-BINS = 10_000
 
 Builder = Callable[[Sequence[str]], Pipeline]
 
@@ -79,32 +77,21 @@ def best_model(board: DataFrame) -> DataFrame:
     return board.orderBy(F.desc("score_val"), "model").limit(1)
 
 
-def _binned_auc(wide: DataFrame, blends: dict[str, dict[str, float]]) -> dict[str, float]:
-    """AUC of many blends in one aggregate, scores folded to bins of equal width.
-
-    One row of bins per blend reaches the window: at most ``BINS`` rows each.
-    """
+def _blend_aucs(wide: DataFrame, blends: dict[str, dict[str, float]]) -> dict[str, float]:
+    """Exact AUC of many blends in one job, grouped by blend."""
     options = F.array(
         *[
             F.struct(
                 F.lit(name).alias("blend"),
-                reduce(lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()]).alias("score"),
+                reduce(
+                    lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()]
+                ).alias("score"),
             )
             for name, parts in blends.items()
         ]
     )
     rows = wide.select("churn", F.explode(options).alias("o")).select("churn", "o.*")
-    bins = rows.groupBy("blend", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin")).agg(
-        F.count_if(F.col("churn") == 1).alias("pos"), F.count_if(F.col("churn") == 0).alias("neg")
-    )
-    below = W.partitionBy("blend").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    won = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2)
-    found = (
-        bins.withColumn("won", won)
-        .groupBy("blend")
-        .agg(F.try_divide(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
-    )
-    return {r.blend: r.auc or 0.0 for r in found.collect()}
+    return {r.blend: r.roc_auc or 0.0 for r in roc_auc(rows, by=["blend"]).collect()}
 
 
 def ensemble_weights(
@@ -114,7 +101,7 @@ def ensemble_weights(
     wide = stage(
         scores.groupBy("userId", "churn").pivot("model", list(models)).agg(F.first("score"))
     )
-    singles = _binned_auc(wide, {m: {m: 1.0} for m in models})
+    singles = _blend_aucs(wide, {m: {m: 1.0} for m in models})
     best = max(sorted(singles), key=lambda m: singles[m])
     weights, reached = {best: 1.0}, singles[best]
     steps = round(1 / step)
@@ -129,7 +116,7 @@ def ensemble_weights(
                 options[f"{m}|{i}"] = {**mixed, m: share}
         if not options:
             break
-        measured = _binned_auc(wide, options)
+        measured = _blend_aucs(wide, options)
         choice = max(sorted(measured), key=lambda o: measured[o])
         if measured[choice] <= reached:
             break

@@ -1,0 +1,198 @@
+import random
+
+import numpy as np
+import pytest
+from logs import rows_of
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from stayline.operators import drift, metrics, ranking, splitting, summaries
+
+
+def scored_rows(spark, n=600, ties=40, seed=1, hot=0.0):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        y = int(rng.random() < 0.3)
+        p = min(0.999, max(0.001, rng.gauss(0.4 + 0.2 * y, 0.2)))
+        p = 0.5 if rng.random() < hot else round(p * ties) / ties
+        rows.append((i, y, p, "ab"[i % 2]))
+    return spark.createDataFrame(rows, "userId long, churn int, score double, model string")
+
+
+def brute_auc(rows):
+    pos = [r.score for r in rows if r.churn == 1]
+    neg = [r.score for r in rows if r.churn == 0]
+    won = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg)
+    return won / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("ranges,hot", [(2, 0.0), (7, 0.4), (256, 0.0)])
+def test_roc_auc_matches_brute_force_and_mllib(spark, ranges, hot):
+    df = scored_rows(spark, hot=hot)
+    ours = metrics.roc_auc(df, ranges=ranges).collect()[0].roc_auc
+    assert ours == pytest.approx(brute_auc(df.collect()), abs=1e-12)
+    theirs = BinaryClassificationEvaluator(
+        rawPredictionCol="score", labelCol="churn", numBins=0
+    ).evaluate(df)
+    assert ours == pytest.approx(theirs, abs=1e-9)
+
+
+def test_roc_auc_per_group_and_under_monotone_transform(spark):
+    df = scored_rows(spark)
+    groups = {r.model: r.roc_auc for r in metrics.roc_auc(df, by=["model"], ranges=5).collect()}
+    rows = df.collect()
+    for g, value in groups.items():
+        assert value == pytest.approx(brute_auc([r for r in rows if r.model == g]), abs=1e-12)
+    bent = df.withColumn("score", F.col("score") ** 3)
+    assert metrics.roc_auc(bent).collect()[0].roc_auc == metrics.roc_auc(df).collect()[0].roc_auc
+
+
+def test_roc_auc_without_positives_is_null(spark):
+    df = scored_rows(spark).where("churn = 0")
+    assert metrics.roc_auc(df).collect()[0].roc_auc is None
+
+
+def brute_curve(rows):
+    points = []
+    positives = sum(r.churn for r in rows)
+    for t in sorted({r.score for r in rows}, reverse=True):
+        hit = [r.churn for r in rows if r.score >= t]
+        points.append((t, sum(hit) / len(hit), sum(hit) / positives))
+    return points
+
+
+@pytest.mark.parametrize("ranges", [2, 9, 256])
+def test_pr_curve_and_area(spark, ranges):
+    df = scored_rows(spark)
+    expected = brute_curve(df.collect())
+    found = metrics.pr_curve(df, ranges=ranges).orderBy(F.desc("threshold")).collect()
+    assert [r.threshold for r in found] == [p[0] for p in expected]
+    np.testing.assert_allclose([r.precision for r in found], [p[1] for p in expected])
+    np.testing.assert_allclose([r.recall for r in found], [p[2] for p in expected])
+    precision = [1.0] + [p[1] for p in expected]
+    recall = [0.0] + [p[2] for p in expected]
+    area = np.trapezoid(precision, recall)
+    assert metrics.pr_auc(df, ranges=ranges).collect()[0].pr_auc == pytest.approx(area)
+
+
+def test_confusion_and_empty_denominators(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 0.9), (2, 0, 0.8), (3, 1, 0.5), (4, 0, 0.1)], "userId long, churn int, score double"
+    )
+    row = metrics.confusion(df).collect()[0]
+    assert (row.tp, row.fp, row.fn, row.tn) == (1, 1, 1, 1)
+    assert (row.precision, row.recall, row.f1) == (0.5, 0.5, 0.5)
+    none = metrics.confusion(df.where("score < 0.2")).collect()[0]
+    assert (none.precision, none.recall, none.f1) == (0.0, 0.0, 0.0)
+
+
+def test_run_records_and_gate(spark):
+    df = scored_rows(spark)
+    both = df.withColumn("run_id", F.lit("old")).unionByName(
+        df.withColumn("score", F.col("churn") * 0.9).withColumn("run_id", F.lit("new"))
+    )
+    records = metrics.run_metrics(both, by=["run_id"])
+    assert records.count() == 10
+    gate = metrics.promotion_gate(records, "old", "new").collect()[0]
+    assert gate.promote and gate.candidate_value == 1.0
+    assert not metrics.promotion_gate(records, "new", "old").collect()[0].promote
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5, 256])
+def test_quantiles_match_numpy(spark, ranges):
+    rng = random.Random(5)
+    rows = [(i % 2, float(rng.choice([1, 1, 1, 1, rng.randrange(500)]))) for i in range(501)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    for r in ranking.exact_quantiles(df, "v", shares, ["g"], max(2, ranges)).collect():
+        values = [v for g, v in rows if g == r.g]
+        for name, share in shares.items():
+            assert r[name] == pytest.approx(np.quantile(values, share), abs=1e-9)
+
+
+def test_quantile_of_a_constant_column(spark):
+    df = spark.createDataFrame([(0, 3.0)] * 9, "g int, v double")
+    assert ranking.exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()[0].m == 3.0
+
+
+def test_boxplot_whiskers(spark):
+    values = [1, 2, 3, 4, 5, 6, 7, 8, 100]
+    df = spark.createDataFrame([(1, float(v)) for v in values], "churn int, v double")
+    row = summaries.boxplot(df, "v").collect()[0]
+    assert (row.q1, row.median, row.q3) == (3.0, 5.0, 7.0)
+    assert (row.whisker_low, row.whisker_high, row.outliers) == (1.0, 8.0, 1)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 1.0])
+def test_split_sizes_are_exact_per_class(spark, share):
+    df = scored_rows(spark, n=900).select("userId", "churn")
+    split = splitting.stratified_split(df, test_share=share)
+    assert rows_of(split, "userId", "churn") == rows_of(df)
+    for r in split.groupBy("churn").agg(
+        F.count("*").alias("n"), F.count_if(F.col("is_test")).alias("k")
+    ).collect():
+        assert r.k == round(share * r.n + 1e-9)
+    again = splitting.stratified_split(df.repartition(7), test_share=share)
+    assert rows_of(again, "userId", "is_test") == rows_of(split, "userId", "is_test")
+
+
+def test_split_matches_md5_order(spark):
+    df = scored_rows(spark, n=900).select("userId", "churn")
+    from hashlib import md5
+
+    expected = set()
+    for y in (0, 1):
+        ids = [r.userId for r in df.where(F.col("churn") == y).collect()]
+        ids.sort(key=lambda i: md5(f"{i}-42".encode()).hexdigest())
+        expected |= set(ids[: round(0.2 * len(ids))])
+    found = splitting.stratified_split(df).where("is_test").collect()
+    assert {r.userId for r in found} == expected
+
+
+def test_class_weights(spark):
+    df = spark.createDataFrame([(i, int(i < 2)) for i in range(10)], "userId long, churn int")
+    weights = {r.churn: r.weight for r in splitting.class_weights(df).collect()}
+    assert weights == {0: 10 / (2 * 8), 1: 10 / (2 * 2)}
+    rows = splitting.with_balanced_weight(df).collect()
+    assert {(r.churn, r.weight) for r in rows} == {(0, 0.625), (1, 2.5)}
+    rows = splitting.with_positive_weight(df).collect()
+    assert {(r.churn, r.weight) for r in rows} == {(0, 1.0), (1, 4.0)}
+
+
+def brute_ks(a, b):
+    grid = sorted(set(a) | set(b))
+    return max(
+        abs(np.mean([x <= v for x in a]) - np.mean([x <= v for x in b])) for v in grid
+    )
+
+
+@pytest.mark.parametrize("ranges", [2, 16, 256])
+def test_ks_statistic_and_alert(spark, ranges):
+    rng = random.Random(2)
+    old = [(rng.gauss(0, 1), float(rng.randrange(5))) for _ in range(300)]
+    new = [(rng.gauss(0.5, 1), float(rng.randrange(5))) for _ in range(200)]
+    a = spark.createDataFrame(old, "x double, k double")
+    b = spark.createDataFrame(new, "x double, k double")
+    found = {r.feature: r for r in drift.ks_drift(a, b, ["x", "k"], ranges=ranges).collect()}
+    for i, f in enumerate(("x", "k")):
+        expected = brute_ks([r[i] for r in old], [r[i] for r in new])
+        assert found[f].statistic == pytest.approx(expected, abs=1e-12)
+    assert found["x"].drifted and not found["k"].drifted
+
+
+def test_ks_ignores_nulls_per_feature(spark):
+    a = spark.createDataFrame([(1.0, None), (2.0, 5.0)], "x double, k double")
+    b = spark.createDataFrame([(1.0, 5.0), (None, 6.0)], "x double, k double")
+    found = {r.feature: (r.n_reference, r.n_current) for r in drift.ks_drift(a, b, ["x", "k"]).collect()}
+    assert found == {"x": (2, 1), "k": (1, 2)}
+
+
+def test_useless_features(spark):
+    rows = [(i, float(i), 1.0, float(i), i % 2 == 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "userId long, a double, b double, c double, d boolean")
+    found = {
+        r.feature: (r.is_constant, r.duplicate_of)
+        for r in summaries.useless_features(df, ["a", "b", "c", "d"]).collect()
+    }
+    assert found == {"a": (False, None), "b": (True, None), "c": (False, "a"), "d": (False, None)}
