@@ -38,8 +38,10 @@ def _child(splits: Column, x: Column) -> Column:
     return F.size(F.filter(splits, lambda s: s <= x)).cast("bigint")
 
 
-def _parts_of(sites: DataFrame, axis: int, axes: int, cell_sites: int) -> DataFrame:
-    """Split points along one axis for each cell that is still too large.
+def _parts_of(
+    sites: DataFrame, axis: int, axes: int, cell_sites: int
+) -> DataFrame | None:
+    """Split points along one axis for each cell that is still too large, if any.
 
     They come to the driver and go back as a literal table, so that a recomputed
     task cuts the cells the same way; in all there are about sites / cell_sites.
@@ -67,6 +69,8 @@ def _parts_of(sites: DataFrame, axis: int, axes: int, cell_sites: int) -> DataFr
         )
     )
     rows = [(r.cell, list(r.splits)) for r in cut.collect()]
+    if not rows:
+        return None
     return sites.sparkSession.createDataFrame(rows, "cell BIGINT, splits ARRAY<DOUBLE>")
 
 
@@ -123,9 +127,10 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     placed = sites.withColumn("cell", F.lit(0).cast("bigint"))
     for axis in range(min(axes, MAX_AXES)):
         splits = _parts_of(placed, axis, min(axes, MAX_AXES), cell_sites)
-        x = F.col("at")[axis]
-        placed = _descend(placed, splits, x, x)
-        levels.append(splits)
+        if splits is not None:
+            x = F.col("at")[axis]
+            placed = _descend(placed, splits, x, x)
+            levels.append((axis, splits))
     search = _nearest(wanted)
 
     def in_cell(group):
@@ -139,7 +144,7 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     local = placed.groupBy("cell").applyInPandas(
         in_cell, f"at array<double>, cell bigint, near {CANDIDATES}"
     )
-    if all(splits.isEmpty() for splits in levels):
+    if not levels:
         return local.select("at", "near")
     local = stage(local)
 
@@ -151,7 +156,7 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     visits = visits.withColumns(
         {"cell": F.lit(0).cast("bigint"), "_reach": F.sqrt("limit") * 1.000000001 + 1e-12}
     )
-    for axis, splits in enumerate(levels):
+    for axis, splits in levels:
         x = F.col("at")[axis]
         visits = _descend(visits, splits, x - F.col("_reach"), x + F.col("_reach"))
     visits = visits.where(F.col("cell") != F.col("home")).select("cell", "at", "limit")

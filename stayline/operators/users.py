@@ -114,8 +114,12 @@ def user_activity(
     log: DataFrame,
     triggers: Sequence[str] = TRIGGER_PAGES,
     required: Sequence[str] = PROFILE_COLUMNS,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """What a churn label needs per complete user: last event, trigger events."""
+    """What a churn label needs per complete user: last event, trigger events.
+
+    ``extra`` adds aliased aggregates to the same scan.
+    """
     per_user = (
         known_users(log)
         .groupBy("userId")
@@ -123,12 +127,13 @@ def user_activity(
             F.max("ts").alias("last_ts"),
             F.count_if(F.col("page").isin(*triggers)).alias("num_triggers"),
             *[F.count(c).alias(f"_n_{c}") for c in required],
+            *extra,
         )
     )
     condition = F.lit(True)
     for c in required:
         condition = condition & (F.col(f"_n_{c}") > 0)
-    return per_user.where(condition).select("userId", "last_ts", "num_triggers")
+    return per_user.where(condition).drop(*[f"_n_{c}" for c in required])
 
 
 def user_aggregates(
@@ -136,52 +141,49 @@ def user_aggregates(
     triggers: Sequence[str] = TRIGGER_PAGES,
     required: Sequence[str] = PROFILE_COLUMNS,
 ) -> DataFrame:
-    """All per-user aggregates of complete users in one scan.
-
-    Grouping sets fold the scan three ways: by the profile values a user shows
-    (few rows per user, carries the additive counts), by artist and by session.
-    Every buffer is primitive, so this stage is a hash aggregate with map-side
-    combine, and its shuffle spreads a heavy user over many tasks.  The second
-    aggregate then sees one row per distinct value.
+    """All per-user aggregates of complete users.
+
+    Two scans that share little more than the user column.  The first folds
+    events by the profile values a user shows, with additive counts; its buffers
+    are primitive, so it hash-aggregates with map-side combine, and the second
+    step sees a few rows per user.  The other counts distinct artists and
+    sessions, which would otherwise drag every counter through the expansion
+    that distinct counts need.  Both end partitioned by user, so joining them
+    moves nothing.  Keep a large log as Parquet: JSON would be parsed twice.
     """
     profile = ("gender", "registration", "level", "userAgent")
-    columns = ("userId", *profile, "artist", "sessionId")
     counted = [c for c in required if c not in profile]
-    folded = (
-        known_users(log)
-        .groupingSets(
-            [["userId", *profile], ["userId", "artist"], ["userId", "sessionId"]], *columns
-        )
-        .agg(
-            F.grouping("gender").alias("_not_profile"),
-            F.min("ts").alias("_from"),
-            F.max("ts").alias("_to"),
-            F.count("song").alias("_songs"),
-            F.sum("length").alias("_length"),
-            F.count_if(F.col("page").isin(*triggers)).alias("_triggers"),
-            *[F.count_if(F.col("page") == p).alias(f"_{n}") for n, p in PAGE_COUNTS.items()],
-            *[F.count(c).alias(f"_n_{c}") for c in counted],
-        )
+    events = known_users(log)
+    folded = events.groupBy("userId", *profile).agg(
+        F.min("ts").alias("_from"),
+        F.max("ts").alias("_to"),
+        F.count("song").alias("_songs"),
+        F.sum("length").alias("_length"),
+        F.count_if(F.col("page").isin(*triggers)).alias("_triggers"),
+        *[F.count_if(F.col("page") == p).alias(f"_{n}") for n, p in PAGE_COUNTS.items()],
+        *[F.count(c).alias(f"_n_{c}") for c in counted],
     )
-    on_profile = lambda c: F.sum(F.when(F.col("_not_profile") == 0, F.col(c)))
     per_user = folded.groupBy("userId").agg(
         _first_known("gender", "_from").alias("gender"),
         _first_known("registration", "_from").alias("registration"),
         F.max("_to").alias("last_ts"),
-        on_profile("_songs").alias("total_songs"),
-        F.coalesce(on_profile("_length"), F.lit(0.0)).alias("total_listen_time"),
-        F.count("artist").alias("num_artists"),
-        *[on_profile(f"_{n}").alias(n) for n in PAGE_COUNTS],
-        F.count("sessionId").alias("num_sessions"),
+        F.sum("_songs").alias("total_songs"),
+        F.coalesce(F.sum("_length"), F.lit(0.0)).alias("total_listen_time"),
+        *[F.sum(f"_{n}").alias(n) for n in PAGE_COUNTS],
         _last_known("level", "_to").alias("last_level"),
         _last_known("userAgent", "_to").alias("userAgent"),
-        on_profile("_triggers").alias("num_triggers"),
-        *[on_profile(f"_n_{c}").alias(f"_n_{c}") for c in counted],
+        F.sum("_triggers").alias("num_triggers"),
+        *[F.sum(f"_n_{c}").alias(f"_n_{c}") for c in counted],
     )
     condition = F.lit(True)
     for c in required:
         condition = condition & (F.col(f"_n_{c}") > 0 if c in counted else F.col(c).isNotNull())
-    return per_user.where(condition).drop(*[f"_n_{c}" for c in counted])
+    distinct = events.groupBy("userId").agg(
+        F.count_distinct("artist").alias("num_artists"),
+        F.count_distinct("sessionId").alias("num_sessions"),
+    )
+    complete = per_user.where(condition).drop(*[f"_n_{c}" for c in counted])
+    return complete.join(distinct, "userId")
 
 
 def with_derived_features(users: DataFrame) -> DataFrame:

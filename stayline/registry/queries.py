@@ -68,11 +68,15 @@ def _round_cents(df: DataFrame) -> DataFrame:
 
 def _commerce_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user columns of the order log with the inferred label."""
-    log = commerce_log(spark, sf_dir)
-    aggregates = users.user_aggregates(log).select(
-        "userId", "registration", "last_ts", "num_triggers", "total_songs", "num_sessions"
+    activity = users.user_activity(
+        commerce_log(spark, sf_dir),
+        extra=(
+            F.min("registration").alias("registration"),
+            F.count("song").alias("total_songs"),
+            F.count_distinct("sessionId").alias("num_sessions"),
+        ),
     )
-    return labels.with_churn(stage(aggregates), COMMERCE_INACTIVITY)
+    return labels.with_churn(stage(activity), COMMERCE_INACTIVITY)
 
 
 def _commerce_points(spark: SparkSession, sf_dir: str) -> DataFrame:
