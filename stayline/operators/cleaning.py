@@ -13,6 +13,8 @@ from stayline.operators.skew import HOT_ROWS, hot_keys
 from stayline.schemas import LOGGED_IN, PROFILE_COLUMNS
 
 EVENT_ORDER = ("ts", "tie")
+EPOCH = "1970-01-01 00:00:00"
+STRETCHES = 64
 
 
 def logged_in(log: DataFrame) -> DataFrame:
@@ -38,28 +40,52 @@ def _fill_within(df: DataFrame, cols: Sequence[str], group: Sequence[str], order
     return forward, known
 
 
+def _sliced(events: DataFrame, key: str, heavy: list[Row], rows: int) -> DataFrame:
+    """Events of heavy users with ``_slice``, which grows with time.
+
+    A user's time is cut at approximate quantiles, so that busy spells get more
+    slices, and each stretch between two of them into equal widths until a slice
+    holds about ``rows`` events.
+    """
+    spark = events.sparkSession
+    key_type = events.schema[key].dataType.simpleString()
+    keys = spark.createDataFrame([(row[key],) for row in heavy], f"`{key}` {key_type}")
+    micros = micros_between(F.lit(EPOCH).cast("timestamp_ntz"), "ts")
+    mine = events.join(F.broadcast(keys), key).withColumn("_at", micros)
+    shares = [i / STRETCHES for i in range(STRETCHES)]
+    cuts = mine.groupBy(key).agg(
+        F.min("_at").alias("first"), F.percentile_approx("_at", shares, 1_000).alias("cuts")
+    )
+    counts = {row[key]: row.n for row in heavy}
+    plan = [
+        (row[key], sorted({row.first, *row.cuts}), -(-counts[row[key]] // (rows * STRETCHES)))
+        for row in cuts.collect()
+    ]
+    table = spark.createDataFrame(plan, f"`{key}` {key_type}, _cuts ARRAY<BIGINT>, _parts BIGINT")
+    stretch = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
+    start = F.element_at("_cuts", F.col("_stretch"))
+    width = F.coalesce(F.try_element_at("_cuts", F.col("_stretch") + 1) - start, F.lit(1))
+    part = F.least(
+        F.floor((F.col("_at") - start) * F.col("_parts") / width), F.col("_parts") - 1
+    )
+    return (
+        mine.join(F.broadcast(table), key)
+        .withColumn("_stretch", stretch)
+        .withColumn("_slice", F.col("_stretch") * F.col("_parts") + part)
+        .drop("_at", "_cuts", "_parts", "_stretch")
+    )
+
+
 def _fill_heavy(
     events: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], heavy: list[Row], rows: int
 ) -> DataFrame:
     """Fill users whose events are too many for one task.
 
-    Each such user's time span is cut into slices of about ``rows`` events.  One
-    aggregate per slice gives its last and first known values; a window over the
-    slices (few per user) carries them forward; each slice is then filled on its
-    own, starting from what was carried in.
+    One aggregate per slice of a user's time gives its last and first known
+    values; a window over the slices (few per user) carries them forward; each
+    slice is then filled on its own, starting from what was carried in.
     """
-    spark = events.sparkSession
-    slices = []
-    for row in heavy:
-        span = int((row.last_ts - row.first_ts).total_seconds() * 1_000_000)
-        slices.append((row[key], row.first_ts, max(1, span // -(-row.n // rows))))
-    key_type = events.schema[key].dataType.simpleString()
-    plan = spark.createDataFrame(slices, f"`{key}` {key_type}, _from TIMESTAMP_NTZ, _width BIGINT")
-    sliced = (
-        events.join(F.broadcast(plan), key)
-        .withColumn("_slice", F.floor(micros_between("_from", "ts") / F.col("_width")))
-        .drop("_from", "_width")
-    )
+    sliced = _sliced(events, key, heavy, rows)
     at = F.struct(*order)
     edges = sliced.groupBy(key, "_slice").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
@@ -97,8 +123,7 @@ def fill_profile(
     Events without a user belong to no group and are left out.
     """
     events = log.where(F.col(key).isNotNull())
-    span = (F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    heavy = hot_keys(events, key, *span, min_rows=hot_rows)
+    heavy = hot_keys(events, key, min_rows=hot_rows)
     ordinary = events
     if heavy:
         key_type = events.schema[key].dataType.simpleString()

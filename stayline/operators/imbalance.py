@@ -28,7 +28,7 @@ from stayline.staging import stage
 NEIGHBORS = 5
 CELL_SITES = 2_000
 MAX_PARTS = 1_024
-MAX_AXES = 6
+MAX_LEVELS = 6
 
 CANDIDATES = "array<struct<d2: double, key: bigint, at: array<double>>>"
 
@@ -38,26 +38,22 @@ def _child(splits: Column, x: Column) -> Column:
     return F.size(F.filter(splits, lambda s: s <= x)).cast("bigint")
 
 
-def _parts_of(
-    sites: DataFrame, axis: int, axes: int, cell_sites: int
-) -> DataFrame | None:
+def _parts_of(sites: DataFrame, axis: int, share: float, cell_sites: int) -> DataFrame | None:
     """Split points along one axis for each cell that is still too large, if any.
 
-    They come to the driver and go back as a literal table, so that a recomputed
-    task cuts the cells the same way; in all there are about sites / cell_sites.
+    A cell is cut into (sites / cell_sites) ** share parts.  The points come to the
+    driver and go back as a literal table, so that a recomputed task cuts the
+    cells the same way; in all there are about sites / cell_sites of them.
     """
     x = F.col("at")[axis]
     steps = [i / MAX_PARTS for i in range(1, MAX_PARTS)]
     measured = sites.groupBy("cell").agg(
         F.count("*").alias("n"), F.percentile_approx(x, steps, 10 * MAX_PARTS).alias("grid")
     )
-    wanted = F.least(
-        F.lit(MAX_PARTS), F.ceil(F.pow(F.col("n") / F.lit(cell_sites), F.lit(1.0 / (axes - axis))))
-    ).cast("int")
+    parts = F.ceil(F.pow(F.col("n") / F.lit(cell_sites), F.lit(share)))
     cut = (
         measured.where(F.col("n") > cell_sites)
-        .withColumn("parts", wanted)
-        .where(F.col("parts") > 1)
+        .withColumn("parts", F.least(F.lit(MAX_PARTS), parts).cast("int"))
         .select(
             "cell",
             F.array_distinct(
@@ -125,12 +121,16 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     """The ``wanted`` nearest candidates of each site, by distance then key."""
     levels = []
     placed = sites.withColumn("cell", F.lit(0).cast("bigint"))
-    for axis in range(min(axes, MAX_AXES)):
-        splits = _parts_of(placed, axis, min(axes, MAX_AXES), cell_sites)
-        if splits is not None:
-            x = F.col("at")[axis]
-            placed = _descend(placed, splits, x, x)
-            levels.append((axis, splits))
+    for level in range(MAX_LEVELS):
+        # First once along each axis; an axis with few values leaves cells too
+        # large, and those are cut again along the others.
+        axis, left = level % axes, max(1, min(axes, MAX_LEVELS) - level)
+        splits = _parts_of(placed, axis, 1.0 / left, cell_sites)
+        if splits is None:
+            break
+        x = F.col("at")[axis]
+        placed = _descend(placed, splits, x, x)
+        levels.append((axis, splits))
     search = _nearest(wanted)
 
     def in_cell(group):

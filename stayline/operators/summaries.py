@@ -92,10 +92,13 @@ def counts_by(users: DataFrame, *cols: str) -> DataFrame:
     return users.groupBy(*cols).agg(F.count("*").alias("n"))
 
 
-def gender_by_churn(flagged_events: DataFrame) -> DataFrame:
-    """Distinct (user, gender, churn) rows counted per gender and class."""
-    distinct = flagged_events.select("userId", "gender", "churn").dropDuplicates()
-    return counts_by(distinct, "gender", "churn")
+def gender_by_churn(log: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct (user, gender) rows counted per gender and class.
+
+    A label belongs to a user, so events are made distinct before the join.
+    """
+    distinct = known_users(log).select("userId", "gender").dropDuplicates()
+    return counts_by(distinct.join(labels.select("userId", "churn"), "userId"), "gender", "churn")
 
 
 def histogram(

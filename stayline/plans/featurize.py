@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.agents import distinct_user_agents, with_agent_families
+from stayline.operators.agents import user_agent_fanout, with_agent_families
 from stayline.operators.cleaning import logged_in
 from stayline.operators.encoding import fit_levels, one_hot
 from stayline.operators.labels import INACTIVITY, with_churn
@@ -64,7 +64,7 @@ def user_features(
     events = logged_in(log)
     users = with_churn(stage(user_aggregates(events, triggers)), threshold)
     if ua_mode == "fanout":
-        users = users.drop("userAgent").join(distinct_user_agents(events), "userId", "left")
+        users = user_agent_fanout(users.drop("userAgent"), events)
     return with_agent_families(with_derived_features(users)).select(*FEATURE_COLUMNS)
 
 

@@ -361,9 +361,7 @@ def cohort_medians(spark, sf_dir):
 @register
 def gender_by_churn(spark, sf_dir):
     log = _events(spark, sf_dir)
-    return summaries.gender_by_churn(
-        labels.flag_events(log, labels.explicit_churn(log, EXPLICIT_PAGE))
-    )
+    return summaries.gender_by_churn(log, labels.explicit_churn(log, EXPLICIT_PAGE))
 
 
 @register

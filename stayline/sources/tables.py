@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.functions import epoch_millis_to_ts
-from stayline.schemas import ACTIVITY_LOG, RAW_LOG
+from stayline.schemas import ACTIVITY_LOG, RAW_LOG, SCORING_REQUEST
+
+
+DAY = T.StructField("day", T.DateType())
 
 
 class MissingInput(FileNotFoundError):
@@ -31,22 +34,42 @@ def parse_log(raw: DataFrame) -> DataFrame:
 
     ``tie`` is a hash of the whole row, so events of one user that share a
     timestamp always come in the same order; rows that are equal in every column
-    share it, and their order cannot matter.
+    share it, and their order cannot matter.  A user id that is no whole number,
+    such as the empty text of a visitor, is null, and so is a NaN length.
     """
     hashed = raw.withColumn("tie", F.xxhash64(*[F.col(f.name) for f in RAW_LOG.fields]))
     return hashed.withColumns(
-        {"ts": epoch_millis_to_ts("ts"), "registration": epoch_millis_to_ts("registration")}
+        {
+            "userId": F.col("userId").try_cast("bigint"),
+            "ts": epoch_millis_to_ts("ts"),
+            "registration": epoch_millis_to_ts("registration"),
+            "length": F.nanvl("length", F.lit(None).cast("double")),
+        }
     ).select(*ACTIVITY_LOG.fieldNames())
 
 
+def json_schema() -> T.StructType:
+    """The raw log's schema with the user id as text: logs write it either way."""
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name == "userId" else f.dataType) for f in RAW_LOG]
+    )
+
+
 def read_activity_log(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Scan a raw log (JSON lines, or Parquet/ORC with the same columns)."""
-    reader = spark.read.schema(RAW_LOG)
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
+        reader = spark.read.schema(json_schema()).option("mode", "PERMISSIVE")
+    else:
+        reader = spark.read.schema(RAW_LOG)
     return parse_log(_scan(reader, fmt, path))
 
 
+def read_parsed_log(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a Parquet log that ``streaming.ingest`` wrote; ``day`` prunes folders."""
+    log = _scan(spark.read.schema(T.StructType([*ACTIVITY_LOG.fields, DAY])), "parquet", path)
+    return log.select(*ACTIVITY_LOG.fieldNames(), "day")
+
+
 def read_features(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
@@ -84,7 +107,5 @@ def request_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     Fields that are absent are null here; ``plans.scoring`` fills the optional
     ones and reports the required ones.
     """
-    from stayline.schemas import SCORING_REQUEST
-
     lines = spark.createDataFrame([(json.dumps(r),) for r in records], "record STRING")
     return lines.select(F.from_json("record", SCORING_REQUEST).alias("r")).select("r.*")

@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -29,4 +32,14 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return it as a table scan."""
     path = f"{staging_root(df.sparkSession)}/stayline/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables this process staged; call once their results are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)

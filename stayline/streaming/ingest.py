@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from stayline.schemas import RAW_LOG
-from stayline.sources.tables import parse_log
+from stayline.sources.tables import json_schema, parse_log
 
 
 def ingest_new_logs(spark: SparkSession, source: str, target: str, state: str) -> int:
@@ -19,7 +18,7 @@ def ingest_new_logs(spark: SparkSession, source: str, target: str, state: str) -
     lost half-way is repeated without duplicates.  ``target`` is partitioned by
     day, so a featurize run over a date range reads only its days.
     """
-    raw = spark.readStream.schema(RAW_LOG).json(source)
+    raw = spark.readStream.schema(json_schema()).json(source)
     query = (
         parse_log(raw)
         .withColumn("day", F.to_date("ts"))

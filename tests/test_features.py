@@ -6,6 +6,7 @@ from golden import EXPECTED, raw_log, raw_rows
 from logs import random_log, rows_of
 from pyspark.sql import functions as F
 
+from stayline import staging
 from stayline.operators import agents, cleaning, encoding, labels, users
 from stayline.plans.featurize import FEATURE_COLUMNS, churn_labels, featurize, user_features
 from stayline.schemas import CATEGORICAL_COLUMNS
@@ -173,6 +174,36 @@ def test_json_source_and_csv_round_trip(spark, tmp_path):
     assert load_feature_list(spark, str(tmp_path / "names")) == names
 
 
+def test_text_user_ids_are_read(spark, tmp_path):
+    rows = [dict(r, userId="" if r["userId"] is None else str(r["userId"])) for r in raw_rows()]
+    (tmp_path / "log.json").write_text("\n".join(json.dumps(r) for r in rows))
+    table = user_features(read_activity_log(spark, str(tmp_path / "log.json")))
+    assert {r.userId: r.churn for r in table.collect()} == {u: v[0] for u, v in EXPECTED.items()}
+
+
+def test_fanout_of_heavy_users_keeps_users_without_agents(spark):
+    log = random_log(spark)
+    people = users.last_interaction(log).unionByName(
+        spark.sql("select 999L as userId, timestamp_ntz'2020-01-01' as last_ts")
+    )
+    plain = people.join(agents.distinct_user_agents(log), "userId", "left")
+    for hot_rows in (1, 10**9):
+        found = agents.user_agent_fanout(people, log, hot_rows)
+        assert rows_of(found, *plain.columns) == rows_of(plain)
+
+
+def test_staged_tables_can_be_dropped(spark):
+    staged = staging.stage(spark.range(3))
+    path = staged.inputFiles()[0]
+    assert staged.count() == 3
+    kept = list(staging._written)
+    staging._written[:] = kept[-1:]
+    staging.drop_staged(spark)
+    staging._written[:] = kept[:-1]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+
+
 def test_missing_input_names_the_path(spark, tmp_path):
     with pytest.raises(MissingInput, match="nowhere"):
         read_activity_log(spark, str(tmp_path / "nowhere"))

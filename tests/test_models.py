@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stayline.operators import metrics
 from stayline.plans import model_search, monitoring, scoring, training
 from stayline.schemas import NUMERIC_FEATURES
-from stayline.sources.tables import request_rows
+from stayline.sources.tables import read_parsed_log, request_rows
 from stayline.streaming.ingest import ingest_new_logs
 
 REQUEST = {
@@ -141,4 +141,6 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert ingest_new_logs(*args) == 0
     (source / "b.json").write_text(json.dumps(raw_rows()[0]))
     assert ingest_new_logs(*args) == 1
-    assert spark.read.parquet(str(target)).count() == 13
+    log = read_parsed_log(spark, str(target))
+    assert log.count() == 13
+    assert log.where("day = date'2018-10-01'").count() == 2
