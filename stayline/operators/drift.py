@@ -38,7 +38,8 @@ def ks_drift(
 ) -> DataFrame:
     """Largest distance of the two samples' distribution functions per feature.
 
-    Both samples are folded to one row per (feature, value) before any ordering,
+    Both samples are read twice; stage them if they come from the event log.  They
+    are folded to one row per (feature, value) before any ordering,
     and the running counts of a feature are spread over its value ranges.
     """
     both = reference.select(

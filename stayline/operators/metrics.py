@@ -8,7 +8,6 @@ on distinct scores with running totals that are spread over value ranges.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +34,48 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataF
     )
 
 
+def _ranked(
+    df: DataFrame, label: str, score: str, by: Sequence[str], ranges: int
+) -> DataFrame:
+    """Distinct scores with counts of both classes at them, up to them and overall."""
+    folded = _by_score(df, label, score, by)
+    return running_totals(folded, "_score", ["_pos", "_neg"], by, ranges)
+
+
+def _won_twice() -> Column:
+    """Twice the (positive, negative) pairs won by the positives at a score.
+
+    They beat the negatives below them and half of those that tie; an integer.
+    """
+    beaten = 2 * F.col("cum__neg") - F.col("_neg")
+    return F.col("_pos").cast("decimal(19,0)") * beaten.cast("decimal(19,0)")
+
+
+def _flagged_from_here() -> tuple[Column, Column]:
+    """Positives and negatives whose score is at least this one."""
+    return (
+        F.col("total__pos") - F.col("cum__pos") + F.col("_pos"),
+        F.col("total__neg") - F.col("cum__neg") + F.col("_neg"),
+    )
+
+
+def _pr_trapezoid() -> Column:
+    """Area between this threshold and the next higher one.
+
+    The counts above a distinct score are the running counts less its own, so no
+    lag over the whole curve is needed; above the top the precision is 1.
+    """
+    hits, misses = _flagged_from_here()
+    above_hits, above_all = hits - F.col("_pos"), hits + misses - F.col("_pos") - F.col("_neg")
+    precision = safe_ratio(hits, hits + misses)
+    precision_above = F.coalesce(F.try_divide(above_hits, above_all), F.lit(1.0))
+    return safe_ratio("_pos", "total__pos") * (precision + precision_above) / F.lit(2.0)
+
+
+def _auc_from(won: str, positives: str, negatives: str) -> Column:
+    return F.try_divide(F.col(won), F.lit(2.0) * F.col(positives) * F.col(negatives))
+
+
 def roc_auc(
     df: DataFrame,
     label: str = "churn",
@@ -44,23 +85,19 @@ def roc_auc(
 ) -> DataFrame:
     """Area under the ROC curve; tied scores count one half.
 
-    Sums, over the positives of each distinct score, the negatives below it and
-    half of those at it; exact integers up to the last division.  Null where a
-    class is missing.
+    Exact integers up to the last division.  Null where a class is missing.
     """
-    ranked = running_totals(_by_score(df, label, score, by), "_score", ["_pos", "_neg"], by, ranges)
-    pairs_twice = F.col("_pos").cast("decimal(19,0)") * (
-        2 * F.col("cum__neg") - F.col("_neg")
-    ).cast("decimal(19,0)")
-    summed = ranked.groupBy(*by).agg(
-        F.sum(pairs_twice).cast("double").alias("_won"),
-        F.max("total__pos").alias("positives"),
-        F.max("total__neg").alias("negatives"),
-    )
-    possible = F.lit(2.0) * F.col("positives") * F.col("negatives")
-    return summed.select(
-        *by, "positives", "negatives", F.try_divide(F.col("_won"), possible).alias("roc_auc")
+    summed = (
+        _ranked(df, label, score, by, ranges)
+        .groupBy(*by)
+        .agg(
+            F.sum(_won_twice()).cast("double").alias("_won"),
+            F.max("total__pos").alias("positives"),
+            F.max("total__neg").alias("negatives"),
+        )
     )
+    area = _auc_from("_won", "positives", "negatives").alias("roc_auc")
+    return summed.select(*by, "positives", "negatives", area)
 
 
 def pr_curve(
@@ -71,18 +108,14 @@ def pr_curve(
     ranges: int = RANGES,
 ) -> DataFrame:
     """Precision and recall at every distinct score taken as the threshold."""
-    falling = df.withColumn("_falling", F.lit(0.0) - F.col(score))
-    ranked = running_totals(
-        _by_score(falling, label, "_falling", by), "_score", ["_pos", "_neg"], by, ranges
-    )
-    flagged = F.col("cum__pos") + F.col("cum__neg")
-    return ranked.select(
+    hits, misses = _flagged_from_here()
+    return _ranked(df, label, score, by, ranges).select(
         *by,
-        (F.lit(0.0) - F.col("_score")).alias("threshold"),
-        F.col("cum__pos").alias("true_positives"),
-        flagged.alias("flagged"),
-        safe_ratio("cum__pos", flagged).alias("precision"),
-        safe_ratio("cum__pos", "total__pos").alias("recall"),
+        F.col("_score").alias("threshold"),
+        hits.alias("true_positives"),
+        (hits + misses).alias("flagged"),
+        safe_ratio(hits, hits + misses).alias("precision"),
+        safe_ratio(hits, "total__pos").alias("recall"),
     )
 
 
@@ -93,23 +126,9 @@ def pr_auc(
     by: Sequence[str] = (),
     ranges: int = RANGES,
 ) -> DataFrame:
-    """Trapezoid area under the precision-recall curve from (recall 0, precision 1).
-
-    The point before a distinct score needs no lag over the whole curve: its
-    counts are the running counts less the row's own.
-    """
-    falling = df.withColumn("_falling", F.lit(0.0) - F.col(score))
-    ranked = running_totals(
-        _by_score(falling, label, "_falling", by), "_score", ["_pos", "_neg"], by, ranges
-    )
-    hits, misses = F.col("cum__pos"), F.col("cum__neg")
-    precision = safe_ratio(hits, hits + misses)
-    before_hits, before_all = hits - F.col("_pos"), hits + misses - F.col("_pos") - F.col("_neg")
-    precision_before = F.coalesce(F.try_divide(before_hits, before_all), F.lit(1.0))
-    step = safe_ratio("_pos", "total__pos")
-    return ranked.groupBy(*by).agg(
-        F.sum(step * (precision + precision_before) / F.lit(2.0)).alias("pr_auc")
-    )
+    """Trapezoid area under the precision-recall curve from (recall 0, precision 1)."""
+    ranked = _ranked(df, label, score, by, ranges)
+    return ranked.groupBy(*by).agg(F.sum(_pr_trapezoid()).alias("pr_auc"))
 
 
 def confusion(
@@ -130,15 +149,50 @@ def confusion(
     )
     return counted.withColumns(
         {
-            "precision": safe_ratio("tp", F.col("tp") + F.col("fp")),
-            "recall": safe_ratio("tp", F.col("tp") + F.col("fn")),
-            "f1": safe_ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")),
+            **_rates(),
             "false_positive_share": safe_ratio("fp", F.col("fp") + F.col("tn")),
             "false_negative_share": safe_ratio("fn", F.col("fn") + F.col("tp")),
         }
     )
 
 
+def _rates() -> dict[str, Column]:
+    return {
+        "precision": safe_ratio("tp", F.col("tp") + F.col("fp")),
+        "recall": safe_ratio("tp", F.col("tp") + F.col("fn")),
+        "f1": safe_ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")),
+    }
+
+
+def evaluate(
+    df: DataFrame,
+    label: str = "churn",
+    score: str = "score",
+    by: Sequence[str] = (),
+    threshold: float = THRESHOLD,
+    ranges: int = RANGES,
+) -> DataFrame:
+    """ROC AUC, PR AUC, precision, recall and F1 from one ranking of the scores."""
+    called = F.col("_score") > F.lit(threshold)
+    summed = (
+        _ranked(df, label, score, by, ranges)
+        .groupBy(*by)
+        .agg(
+            F.sum(_won_twice()).cast("double").alias("_won"),
+            F.sum(_pr_trapezoid()).alias("pr_auc"),
+            F.max("total__pos").alias("positives"),
+            F.max("total__neg").alias("negatives"),
+            F.sum(F.when(called, F.col("_pos")).otherwise(0)).alias("tp"),
+            F.sum(F.when(called, F.col("_neg")).otherwise(0)).alias("fp"),
+        )
+        .withColumn("fn", F.col("positives") - F.col("tp"))
+        .withColumn("roc_auc", _auc_from("_won", "positives", "negatives"))
+    )
+    return summed.withColumns(_rates()).select(
+        *by, "positives", "negatives", "roc_auc", "pr_auc", "precision", "recall", "f1"
+    )
+
+
 def run_metrics(
     df: DataFrame,
     run_id: str | None = None,
@@ -150,21 +204,15 @@ def run_metrics(
 
     Give ``run_id``, or a ``run_id`` column in ``by`` to record several runs.
     """
-    parts = [
-        roc_auc(df, label, score, by).select(*by, F.col("roc_auc").alias("AUC_ROC")),
-        confusion(df, label, score, by).select(
-            *by,
-            F.col("f1").alias("F1_Score"),
-            F.col("precision").alias("Precision"),
-            F.col("recall").alias("Recall"),
-        ),
-        pr_auc(df, label, score, by).select(*by, F.col("pr_auc").alias("PR_AUC")),
-    ]
-    long = [
-        part.unpivot(list(by), [c for c in part.columns if c not in by], "metric", "value")
-        for part in parts
-    ]
-    records = reduce(DataFrame.unionByName, long)
+    wide = evaluate(df, label, score, by).select(
+        *by,
+        F.col("roc_auc").alias("AUC_ROC"),
+        F.col("f1").alias("F1_Score"),
+        F.col("precision").alias("Precision"),
+        F.col("recall").alias("Recall"),
+        F.col("pr_auc").alias("PR_AUC"),
+    )
+    records = wide.unpivot(list(by), [c for c in wide.columns if c not in by], "metric", "value")
     if run_id is not None:
         records = records.withColumn("run_id", F.lit(run_id))
     return records.select("run_id", "metric", "value")
@@ -206,8 +254,4 @@ def delayed_metrics(
     judged = history.select("userId", period, score).join(
         labels.select("userId", "churn"), "userId"
     )
-    auc = roc_auc(judged, "churn", score, [period])
-    counts = confusion(judged, "churn", score, [period]).select(
-        period, "precision", "recall", "f1"
-    )
-    return auc.join(counts, period)
+    return evaluate(judged, "churn", score, [period]).drop("pr_auc")

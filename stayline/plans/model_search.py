@@ -19,6 +19,7 @@ from stayline.plans.training import (
     gradient_boosting,
     logistic_regression,
     random_forest,
+    spread,
     with_probability,
 )
 from stayline.staging import stage
@@ -55,7 +56,7 @@ def out_of_fold(
         started = time.monotonic()
         for fold in range(folds):
             training = with_balanced_weight(table.where(F.col("fold") != fold))
-            model = build(features).fit(training)
+            model = build(features).fit(spread(training))
             held_out = with_probability(model, table.where(F.col("fold") == fold))
             parts.append(
                 held_out.select(F.lit(name).alias("model"), "userId", "churn", "score")

@@ -27,6 +27,7 @@ from stayline.sources.tables import load_feature_list, save_feature_list
 from stayline.staging import stage
 
 NOT_FEATURES = ("userId", "churn")
+ROWS_PER_TASK = 2_000
 
 
 def feature_list(df: DataFrame, leave_out: Sequence[str] = NOT_FEATURES) -> list[str]:
@@ -108,6 +109,17 @@ def prepare(df: DataFrame, features: Sequence[str], test_share: float = 0.2, see
     return stage(split)
 
 
+def spread(df: DataFrame, key: str = "userId") -> DataFrame:
+    """Training rows over as many cores as they are worth, in a fixed order.
+
+    Fitting reads the rows many times, so a shuffle up front is cheap; and row
+    sampling depends on where rows lie, so this makes a seed repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores, max(1, -(-df.count() // ROWS_PER_TASK)))
+    return df.repartition(parts, key).sortWithinPartitions(key)
+
+
 def train_random_forest(
     df: DataFrame, run_id: str = "random_forest", test_share: float = 0.2, **options
 ) -> tuple[PipelineModel, list[str], DataFrame, DataFrame]:
@@ -115,7 +127,7 @@ def train_random_forest(
     features = feature_list(df)
     prepared = prepare(df, features, test_share)
     training = with_balanced_weight(prepared.where(~F.col("is_test")))
-    model = random_forest(features, **options).fit(training)
+    model = random_forest(features, **options).fit(spread(training))
     scored = stage(
         with_probability(model, prepared.where("is_test")).select(
             "userId", "churn", "score", "prediction"
@@ -130,7 +142,7 @@ def train_gradient_boosting(
     """Fit with early stopping on the test rows, positives weighted up."""
     features = feature_list(df)
     prepared = with_positive_weight(prepare(df, features, test_share))
-    model = gradient_boosting(features, **options).fit(prepared)
+    model = gradient_boosting(features, **options).fit(spread(prepared))
     scored = stage(
         with_probability(model, prepared.where("is_test")).select(
             "userId", "churn", "score", "prediction"

@@ -452,14 +452,14 @@ def prediction_share(spark, sf_dir):
 @register
 def delayed_metrics(spark, sf_dir):
     known = feat.churn_labels(events_log(spark, sf_dir), EVENTS_INACTIVITY)
-    return metrics.delayed_metrics(_daily_history(spark, sf_dir), known, "day")
+    return metrics.delayed_metrics(stage(_daily_history(spark, sf_dir)), known, "day")
 
 
 @register
 def drift_ks(spark, sf_dir):
     log = commerce_log(spark, sf_dir)
-    before = users.engagement_counts(log.where(F.col("ts") < F.expr(DRIFT_SPLIT)))
-    after = users.engagement_counts(log.where(F.col("ts") >= F.expr(DRIFT_SPLIT)))
+    before = stage(users.engagement_counts(log.where(F.col("ts") < F.expr(DRIFT_SPLIT))))
+    after = stage(users.engagement_counts(log.where(F.col("ts") >= F.expr(DRIFT_SPLIT))))
     found = drift.ks_drift(before, after, DRIFT_FEATURES)
     return found.withColumns(
         {"statistic": F.round("statistic", 9), "p_value": F.round("p_value", 6)}
