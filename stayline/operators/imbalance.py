@@ -158,7 +158,8 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     )
     for axis, splits in levels:
         x = F.col("at")[axis]
-        visits = _descend(visits, splits, x - F.col("_reach"), x + F.col("_reach"))
+        reach = F.col("_reach") + F.abs(x) * 1e-14  # more than what rounding can hide
+        visits = _descend(visits, splits, x - reach, x + reach)
     visits = visits.where(F.col("cell") != F.col("home")).select("cell", "at", "limit")
 
     # A cell with many visitors is answered by several tasks, each with its sites.
@@ -214,10 +215,11 @@ def smote_neighbors(
     """The k nearest minority rows of each minority row, itself excluded.
 
     Euclidean distance on the features as they are, not scaled; equal distances
-    go to the smaller key.  Columns: key, rank, neighbor, distance2, at,
-    neighbor_at.
+    go to the smaller key.  A null feature is an error, not a dropped row.
+    Columns: key, rank, neighbor, distance2, at, neighbor_at.
     """
-    at = F.array(*[F.col(f).cast("double") for f in features])
+    refuse = F.raise_error(F.lit("a feature is null")).cast("double")
+    at = F.array(*[F.coalesce(F.col(f).cast("double"), refuse) for f in features])
     points = df.where(F.col(label) == minority).select(
         F.col(key).cast("bigint").alias("key"), at.alias("at")
     )

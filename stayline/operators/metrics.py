@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import safe_ratio
 from stayline.operators.ranking import RANGES, running_totals
+from stayline.operators.skew import join_per_user
 
 THRESHOLD = 0.5
 
@@ -251,7 +252,7 @@ def delayed_metrics(
     history: DataFrame, labels: DataFrame, period: str, score: str = "score"
 ) -> DataFrame:
     """AUC and F1 per period once the true labels of a scored history are known."""
-    judged = history.select("userId", period, score).join(
-        labels.select("userId", "churn"), "userId"
+    judged = join_per_user(
+        history.select("userId", period, score), labels.select("userId", "churn"), "userId", "inner"
     )
     return evaluate(judged, "churn", score, [period]).drop("pr_auc")

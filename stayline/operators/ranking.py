@@ -57,17 +57,21 @@ def running_totals(
     below = over_ranges.rowsBetween(W.unboundedPreceding, -1)
     everything = over_ranges.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     offsets = totals.select(
-        *by,
-        range_col,
+        *[F.col(b).alias(f"_of_{b}") for b in by],
+        F.col(range_col).alias("_of_range"),
         *[F.coalesce(F.sum(f"_sum_{s}").over(below), F.lit(0)).alias(f"_below_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(everything).alias(f"total_{s}") for s in sums],
     )
     inside = W.partitionBy(*by, range_col).orderBy(value)
     up_to = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    summed = grouped.join(offsets, [*by, range_col]).withColumns(
+    matches = F.col(range_col) == F.col("_of_range")
+    for b in by:  # a null group is a group like any other
+        matches = matches & F.col(b).eqNullSafe(F.col(f"_of_{b}"))
+    summed = grouped.join(offsets, matches).withColumns(
         {f"cum_{s}": F.sum(s).over(up_to) + F.col(f"_below_{s}") for s in sums}
     )
-    return summed.drop(range_col, *[f"_below_{s}" for s in sums])
+    helpers = [range_col, "_of_range", *[f"_of_{b}" for b in by], *[f"_below_{s}" for s in sums]]
+    return summed.drop(*helpers)
 
 
 def exact_quantiles(

@@ -267,6 +267,14 @@ picks AS (
 )"""
 
 
+RESAMPLED = """
+resampled AS (
+  SELECT "userId", 0 AS copy, tenure_days, total_songs, churn FROM points UNION ALL
+  SELECT id, copy, CAST(trunc(x + gap * (bx - x)) AS BIGINT), CAST(trunc(y + gap * (byy - y)) AS BIGINT), 1
+  FROM picks JOIN nn ON nn."userId" = picks.id AND nn.rank = picks.rank
+)"""
+
+
 def _drift() -> str:
     def side(number: int, condition: str) -> str:
         return f"""
@@ -524,8 +532,10 @@ ORACLES: dict[str, str] = {
     "drift_ks": _drift(),
     "smote_neighbors": f"""WITH {COMMERCE}, {POINTS}, {NEIGHBORS}
         SELECT "userId", rank, neighbor, distance2 FROM nn""",
-    "smote_resample": f"""WITH {COMMERCE}, {POINTS}, {NEIGHBORS}, {SMOTE}
-        SELECT "userId", 0 AS copy, tenure_days, total_songs, churn FROM points UNION ALL
-        SELECT id, copy, CAST(trunc(x + gap * (bx - x)) AS BIGINT), CAST(trunc(y + gap * (byy - y)) AS BIGINT), 1
-        FROM picks JOIN nn ON nn."userId" = picks.id AND nn.rank = picks.rank""",
+    "smote_resample": f"WITH {COMMERCE}, {POINTS}, {NEIGHBORS}, {SMOTE}, {RESAMPLED} SELECT * FROM resampled",
+    "churn_distribution_resampled": f"""WITH {COMMERCE}, {POINTS}, {NEIGHBORS}, {SMOTE}, {RESAMPLED}
+        SELECT churn, count(*) AS n, count(*) / (SELECT count(*) FROM resampled) AS share,
+        CASE churn WHEN 0 THEN 'Active' WHEN 1 THEN 'Churned' END AS status FROM resampled GROUP BY 1""",
+    "scatter_points_resampled": f"""WITH {COMMERCE}, {POINTS}, {NEIGHBORS}, {SMOTE}, {RESAMPLED}
+        SELECT tenure_days, total_songs, churn, count(*) AS n FROM resampled GROUP BY 1, 2, 3""",
 }

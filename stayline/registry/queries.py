@@ -478,9 +478,23 @@ def smote_neighbors(spark, sf_dir):
 
 @register
 def smote_resample(spark, sf_dir):
+    return _resampled(spark, sf_dir)
+
+
+def _resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imbalance.smote_resample(_commerce_points(spark, sf_dir), SMOTE_FEATURES)
 
 
+@register
+def churn_distribution_resampled(spark, sf_dir):
+    return summaries.churn_distribution(_resampled(spark, sf_dir))
+
+
+@register
+def scatter_points_resampled(spark, sf_dir):
+    return summaries.scatter_points(_resampled(spark, sf_dir), "tenure_days", "total_songs")
+
+
 # Models
 
 

@@ -96,3 +96,9 @@ def test_single_minority_row_is_refused(spark):
     df, names = points(spark, 20, 2)
     with pytest.raises(ValueError):
         imbalance.smote_resample(df.withColumn("churn", (F.col("userId") == 3).cast("int")), names)
+
+
+def test_null_features_are_refused(spark):
+    df, names = points(spark, 20, 2)
+    with pytest.raises(Exception, match="a feature is null"):
+        imbalance.smote_neighbors(df.withColumn("x0", F.lit(None).cast("double")), names).collect()

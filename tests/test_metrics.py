@@ -48,6 +48,15 @@ def test_roc_auc_per_group_and_under_monotone_transform(spark):
     assert metrics.roc_auc(bent).collect()[0].roc_auc == metrics.roc_auc(df).collect()[0].roc_auc
 
 
+def test_a_null_group_is_kept(spark):
+    df = scored_rows(spark).withColumn("model", F.when(F.col("model") == "a", "a"))
+    found = {r.model: r.roc_auc for r in metrics.roc_auc(df, by=["model"], ranges=4).collect()}
+    assert set(found) == {None, "a"}
+    assert found[None] == pytest.approx(
+        brute_auc([r for r in df.collect() if r.model is None]), abs=1e-12
+    )
+
+
 def test_roc_auc_without_positives_is_null(spark):
     df = scored_rows(spark).where("churn = 0")
     assert metrics.roc_auc(df).collect()[0].roc_auc is None
