@@ -52,26 +52,25 @@ def running_totals(
         splits = range_splits(grouped, [value], ranges)
         grouped = with_ranges(grouped, [value], splits)
         range_col = f"_range_{value}"
-    totals = grouped.groupBy(*by, range_col).agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    over_ranges = W.partitionBy(*by).orderBy(range_col)
+    # One non-null key for window and join alike: a null group is a group like any
+    # other, and rows that the window has placed need not move for the join.
+    slot = F.struct(*by, F.col(range_col).cast("int").alias("_range")).alias("_slot")
+    grouped = grouped.select(*[c for c in grouped.columns if c != range_col], slot)
+    totals = grouped.groupBy("_slot").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+    over_ranges = W.partitionBy(*[f"_slot.{b}" for b in by]).orderBy("_slot._range")
     below = over_ranges.rowsBetween(W.unboundedPreceding, -1)
     everything = over_ranges.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     offsets = totals.select(
-        *[F.col(b).alias(f"_of_{b}") for b in by],
-        F.col(range_col).alias("_of_range"),
+        "_slot",
         *[F.coalesce(F.sum(f"_sum_{s}").over(below), F.lit(0)).alias(f"_below_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(everything).alias(f"total_{s}") for s in sums],
     )
-    inside = W.partitionBy(*by, range_col).orderBy(value)
-    up_to = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    matches = F.col(range_col) == F.col("_of_range")
-    for b in by:  # a null group is a group like any other
-        matches = matches & F.col(b).eqNullSafe(F.col(f"_of_{b}"))
-    summed = grouped.join(offsets, matches).withColumns(
-        {f"cum_{s}": F.sum(s).over(up_to) + F.col(f"_below_{s}") for s in sums}
+    up_to = W.partitionBy("_slot").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = grouped.withColumns({f"cum_{s}": F.sum(s).over(up_to) for s in sums})
+    summed = inside.join(offsets, "_slot").withColumns(
+        {f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_below_{s}") for s in sums}
     )
-    helpers = [range_col, "_of_range", *[f"_of_{b}" for b in by], *[f"_below_{s}" for s in sums]]
-    return summed.drop(*helpers)
+    return summed.drop("_slot", *[f"_below_{s}" for s in sums])
 
 
 def exact_quantiles(
