@@ -71,12 +71,19 @@ def read_parsed_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Scan a feature table with its declared schema."""
-    reader = spark.read.schema(schema)
+    """Scan a feature table.
+
+    Parquet brings its schema along.  For CSV give it: without one the types are
+    inferred, which reads the file twice.
+    """
+    reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader if schema else reader.option("inferSchema", True)
+    if schema:
+        reader = reader.schema(schema)
     return _scan(reader, fmt, path)
 
 
@@ -101,6 +108,29 @@ def load_feature_list(spark: SparkSession, path: str) -> list[str]:
     return [row.name for row in table.orderBy("position").collect()]
 
 
+LEVEL_TABLE = "column INT, name STRING, position INT, level STRING"
+
+
+def save_levels(spark: SparkSession, levels: dict[str, list[str]], path: str) -> None:
+    """Store the dummy levels, in order; a column without levels keeps its place."""
+    rows = [
+        (number, name, position, level)
+        for number, (name, found) in enumerate(levels.items())
+        for position, level in [(-1, None), *enumerate(found)]
+    ]
+    spark.createDataFrame(rows, LEVEL_TABLE).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_levels(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    levels: dict[str, list[str]] = {}
+    table = _scan(spark.read.schema(LEVEL_TABLE), "json", path)
+    for row in table.orderBy("column", "position").collect():
+        found = levels.setdefault(row.name, [])
+        if row.level is not None:
+            found.append(row.level)
+    return levels
+
+
 def request_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """A few request records, as JSON objects, to a scoring table.
 
@@ -109,3 +139,8 @@ def request_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """
     lines = spark.createDataFrame([(json.dumps(r),) for r in records], "record STRING")
     return lines.select(F.from_json("record", SCORING_REQUEST).alias("r")).select("r.*")
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Scan request records kept as JSON lines."""
+    return _scan(spark.read.schema(SCORING_REQUEST), "json", path)
