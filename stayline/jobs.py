@@ -47,7 +47,11 @@ def _log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def featurize(spark: SparkSession, args: argparse.Namespace) -> None:
     known = load_levels(spark, args.use_levels) if args.use_levels else None
     table, levels = feat.featurize(
-        _log(spark, args), timedelta(days=args.days), ua_mode=args.agents, levels=known
+        _log(spark, args),
+        timedelta(days=args.days),
+        ua_mode=args.agents,
+        levels=known,
+        require_churn=not args.allow_no_churn,
     )
     table = stage(table)
     if table.isEmpty():
@@ -139,6 +143,7 @@ def parser() -> argparse.ArgumentParser:
         table_format,
         ("levels", optional),
         ("use-levels", optional),
+        ("allow-no-churn", {"action": "store_true"}),
         ("days", {"type": float, "default": 30.0}),
         ("agents", {"default": "latest", "choices": ["latest", "fanout"]}),
     )

@@ -71,7 +71,10 @@ def one_hot(
 
 def unseen_levels(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """Rows per column whose level is not among the stored ones."""
-    counts = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(found)).alias(c) for c, found in levels.items()]
+    counts = [
+        F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(found)).alias(c)
+        for c, found in levels.items()
+    ]
     return df.agg(*counts).unpivot([], list(levels), "column", "unseen_rows")
 
 
@@ -89,7 +92,9 @@ def align(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> D
     return df.select(*keep, *aligned)
 
 
-def alignment_report(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> dict[str, list[str]]:
+def alignment_report(
+    df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()
+) -> dict[str, list[str]]:
     """Feature names the table lacks, and columns no feature takes."""
     given = [c for c in df.columns if c not in keep]
     return {

@@ -167,7 +167,7 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     visits = visits.join(crowd, "cell").select(
         "cell", "at", "limit", F.pmod(F.xxhash64("at"), F.col("tasks")).alias("task")
     )
-    numbered = crowd.select(
+    numbered = crowd.select(  # the alias keeps it apart from the cell of ``visits``
         F.col("cell").alias("cell"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1)).alias("task"),
     )

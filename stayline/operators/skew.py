@@ -17,9 +17,10 @@ def hot_keys(
 ) -> list[Row]:
     """The heaviest keys of ``df`` with more than ``min_rows`` rows each.
 
-    Reads the key column only, pre-aggregated before the shuffle.  At most ``max_keys`` rows reach the driver, so whatever is built
-    from them is small enough to broadcast.  Keys beyond that number are no
-    heavier than a ``1 / max_keys`` share of the rows and go the ordinary way.
+    Reads the key column only, pre-aggregated before the shuffle.  At most
+    ``max_keys`` rows reach the driver, so whatever is built from them is small
+    enough to broadcast.  Keys beyond that number are no heavier than a
+    ``1 / max_keys`` share of the rows and go the ordinary way.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     return counts.where(F.col("n") > min_rows).orderBy(F.desc("n"), key).limit(max_keys).collect()

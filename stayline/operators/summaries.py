@@ -122,7 +122,9 @@ def boxplot(df: DataFrame, col: str, cohort: str = "churn") -> DataFrame:
     """
     quartiles = exact_quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [cohort])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quartiles.where(F.col(cohort).isin(0, 1)).withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
+    fences = quartiles.where(F.col(cohort).isin(0, 1)).withColumns(
+        {"_low": F.col("q1") - reach, "_high": F.col("q3") + reach}
+    )
     # Count equal values first: what is joined is one row per cohort and value.
     counted = (
         df.where(F.col(col).isNotNull())

@@ -74,14 +74,20 @@ def featurize(
     triggers: Sequence[str] = TRIGGER_PAGES,
     ua_mode: str = "latest",
     levels: dict[str, list[str]] | None = None,
+    require_churn: bool = True,
 ) -> tuple[DataFrame, dict[str, list[str]]]:
     """The encoded feature table and the levels it was encoded with.
 
     Give ``levels`` to encode new data like the training data.  Without any
-    churned user the table is empty but has its full schema.
+    churned user the table is empty but has its full schema; for scoring, where
+    no label is needed, turn ``require_churn`` off.
     """
-    users = stage(user_features(log, threshold, triggers, ua_mode))
+    users = user_features(log, threshold, triggers, ua_mode)
+    if ua_mode == "fanout":
+        users = stage(users)  # below a join; the other form is a scan of a staged table
     if levels is None:
         levels = fit_levels(users, CATEGORICAL_COLUMNS)
-    any_churn = users.agg(F.coalesce(F.max("churn"), F.lit(0))).scalar()
-    return one_hot(users.where(any_churn == 1), levels), levels
+    if require_churn:
+        any_churn = users.agg(F.coalesce(F.max("churn"), F.lit(0))).scalar()
+        users = users.where(any_churn == 1)
+    return one_hot(users, levels), levels

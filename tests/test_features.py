@@ -64,6 +64,8 @@ def test_no_churn_gives_empty_table_with_schema(golden):
     table, _ = featurize(golden, timedelta(days=3650))
     assert table.count() == 0
     assert "total_songs" in table.columns and "gender_M" in table.columns
+    for_scoring, _ = featurize(golden, timedelta(days=3650), require_churn=False)
+    assert for_scoring.count() == 5 and for_scoring.columns == table.columns
 
 
 def test_clean_log_window_form_matches_aggregate_form(spark):
