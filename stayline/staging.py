@@ -18,14 +18,15 @@ _written: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="stayline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The shared folder of this cluster; in local mode a folder of our own if unset."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def stage(df: DataFrame) -> DataFrame:

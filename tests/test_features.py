@@ -1,5 +1,6 @@
 import json
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from golden import EXPECTED, raw_log, raw_rows
@@ -194,6 +195,25 @@ def test_fanout_of_heavy_users_keeps_users_without_agents(spark):
         assert rows_of(found, *plain.columns) == rows_of(plain)
 
 
+def test_staging_uses_the_folder_the_cluster_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert staging.staging_root(spark) == named.rstrip("/")
+    assert staging.staging_root(spark) == staging.staging_root(spark)
+
+    class Unset:
+        master = "spark://head:7077"
+        conf = SimpleNamespace(get=lambda key, default=None: default)
+
+        def getCheckpointDir(self):
+            return None
+
+    cluster = Unset()
+    cluster.sparkContext = cluster
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.staging_root(cluster)
+
+
 def test_staged_tables_can_be_dropped(spark):
     staged = staging.stage(spark.range(3))
     path = staged.inputFiles()[0]
