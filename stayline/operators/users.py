@@ -254,19 +254,36 @@ def session_duration(log: DataFrame) -> DataFrame:
 
 
 def play_trend(log: DataFrame, days: int = 14) -> DataFrame:
-    """Plays in the last ``days`` days of the log against the plays before."""
+    """Plays in the last ``days`` days of the log, the plays before, and their slope.
+
+    ``daily_slope`` is the least-squares slope of plays per day over those last
+    days, days without plays included.  With the days numbered 0, 1, ... it needs
+    only the number of plays and the sum of their day numbers, so one aggregate
+    over the events is enough.
+    """
     start = log.agg(F.max("ts") - F.expr(f"INTERVAL {int(days)} DAYS")).scalar()
     recent = F.col("ts") > start
     played = F.col("song").isNotNull()
+    day = F.least(floor_days(start, F.col("ts")), F.lit(days - 1))
+    day_sum = days * (days - 1) // 2
+    day_squares = days * (days - 1) * (2 * days - 1) // 6
+    spread = days * day_squares - day_sum * day_sum
+    slope = (F.lit(days) * F.col("_days") - F.lit(day_sum) * F.col("recent_songs")) / F.lit(spread)
     return (
         known_users(log)
         .groupBy("userId")
         .agg(
             F.count_if(played & recent).alias("recent_songs"),
             F.count_if(played & ~recent).alias("earlier_songs"),
+            F.coalesce(F.sum(F.when(played & recent, day)), F.lit(0)).alias("_days"),
         )
-        .withColumn(
-            "recent_share",
-            safe_ratio("recent_songs", F.col("recent_songs") + F.col("earlier_songs")),
+        .withColumns(
+            {
+                "recent_share": safe_ratio(
+                    "recent_songs", F.col("recent_songs") + F.col("earlier_songs")
+                ),
+                "daily_slope": slope if days > 1 else F.lit(None).cast("double"),
+            }
         )
+        .drop("_days")
     )

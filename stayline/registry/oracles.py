@@ -457,8 +457,14 @@ ORACLES: dict[str, str] = {
         CAST(sum(micros) AS DOUBLE) / 1000000.0 / count(*) AS avg_session_duration FROM s GROUP BY 1""",
     "play_trend_14d": f"""WITH {LOG}, t AS (SELECT *, ts > (SELECT max(ts) FROM li) - INTERVAL 14 DAYS AS recent FROM li),
         u AS (SELECT "userId", count(song) FILTER (recent) AS recent_songs,
-        count(song) FILTER (NOT recent) AS earlier_songs FROM t GROUP BY 1)
-        SELECT *, coalesce(recent_songs / nullif(recent_songs + earlier_songs, 0), 0.0) AS recent_share FROM u""",
+        count(song) FILTER (NOT recent) AS earlier_songs FROM t GROUP BY 1),
+        d AS (SELECT "userId", least(13, CAST(floor((epoch_us(ts) - epoch_us((SELECT max(ts) FROM li) - INTERVAL 14 DAYS))
+        / 86400000000.0) AS INTEGER)) AS d, count(song) AS plays FROM t WHERE recent GROUP BY 1, 2),
+        grid AS (SELECT "userId", g.d AS d, coalesce(plays, 0) AS plays FROM u CROSS JOIN range(14) AS g(d)
+        LEFT JOIN d USING ("userId", d)),
+        slope AS (SELECT "userId", round(regr_slope(plays, d), 9) + 0.0 AS daily_slope FROM grid GROUP BY 1)
+        SELECT u.*, coalesce(recent_songs / nullif(recent_songs + earlier_songs, 0), 0.0) AS recent_share, daily_slope
+        FROM u JOIN slope ON slope."userId" = u."userId" """,
     "ua_os_family": f'WITH {LOG}, a AS (SELECT DISTINCT "userAgent" FROM li) SELECT "userAgent", {OS} AS os FROM a',
     "ua_browser_family": f"""WITH {LOG}, a AS (SELECT DISTINCT "userAgent" FROM li)
         SELECT "userAgent", {BROWSER} AS browser FROM a""",

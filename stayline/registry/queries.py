@@ -242,7 +242,8 @@ def session_duration(spark, sf_dir):
 
 @register
 def play_trend_14d(spark, sf_dir):
-    return users.play_trend(_events(spark, sf_dir), 14)
+    trend = users.play_trend(_events(spark, sf_dir), 14)
+    return trend.withColumn("daily_slope", F.round("daily_slope", 9))
 
 
 @register
