@@ -79,20 +79,14 @@ def best_model(board: DataFrame) -> DataFrame:
 
 
 def _blend_aucs(wide: DataFrame, blends: dict[str, dict[str, float]]) -> dict[str, float]:
-    """Exact AUC of many blends in one job, grouped by blend."""
-    options = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("blend"),
-                reduce(
-                    lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()]
-                ).alias("score"),
-            )
-            for name, parts in blends.items()
-        ]
-    )
-    rows = wide.select("churn", F.explode(options).alias("o")).select("churn", "o.*")
-    return {r.blend: r.roc_auc or 0.0 for r in roc_auc(rows, by=["blend"]).collect()}
+    """Exact AUC of many blends in one job, grouped by the blend's number."""
+    mixed = [
+        reduce(lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()])
+        for parts in blends.values()
+    ]
+    rows = wide.select("churn", F.posexplode(F.array(*mixed)).alias("blend", "score"))
+    names = list(blends)
+    return {names[r.blend]: r.roc_auc or 0.0 for r in roc_auc(rows, by=["blend"]).collect()}
 
 
 def ensemble_weights(
