@@ -10,14 +10,13 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.encoding import align
 from stayline.operators.metrics import roc_auc
 from stayline.operators.splitting import SEED, with_balanced_weight, with_folds
 from stayline.plans.training import (
-    NOT_FEATURES,
     feature_list,
     gradient_boosting,
     logistic_regression,
+    model_input,
     random_forest,
     spread,
     with_probability,
@@ -50,7 +49,7 @@ def out_of_fold(
     Each row is scored by the models that were fitted without its fold.
     """
     features = feature_list(df)
-    table = stage(with_folds(align(df, features, NOT_FEATURES), "userId", folds, seed))
+    table = stage(with_folds(model_input(df, features), "userId", folds, seed))
     parts, seconds = [], {}
     for name, build in models.items():
         started = time.monotonic()

@@ -8,9 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.encoding import align
 from stayline.operators.metrics import THRESHOLD
-from stayline.plans.training import with_probability
+from stayline.plans.training import model_input, with_probability
 from stayline.schemas import OPTIONAL_REQUEST_FIELDS, REQUIRED_REQUEST_FIELDS
 
 NOT_LOADED = "Model not loaded."
@@ -54,8 +53,7 @@ def score_batch(
     if model is None:
         scored = checked.select(*keep, "_error").withColumn("score", F.lit(None).cast("double"))
     else:
-        aligned = align(checked, features, [*keep, "_error"])
-        scored = with_probability(model, aligned, threshold)
+        scored = with_probability(model, model_input(checked, features, [*keep, "_error"]), threshold)
     valid = F.col("_error").isNull()
     return scored.select(
         *keep,

@@ -35,8 +35,22 @@ def feature_list(df: DataFrame, leave_out: Sequence[str] = NOT_FEATURES) -> list
     return [c for c in df.columns if c not in leave_out]
 
 
+def _inputs(features: Sequence[str]) -> list[str]:
+    """Column names a model reads: dummy names may hold dots, which MLlib rejects."""
+    return [f"_f{position}" for position in range(len(features))]
+
+
+def model_input(
+    df: DataFrame, features: Sequence[str], keep: Sequence[str] = NOT_FEATURES
+) -> DataFrame:
+    """Kept columns and the aligned features under the names a model reads."""
+    return align(df, features, keep).toDF(*keep, *_inputs(features))
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return VectorAssembler(
+        inputCols=_inputs(features), outputCol="features", handleInvalid="keep"
+    )
 
 
 def random_forest(
@@ -96,7 +110,7 @@ def logistic_regression(features: Sequence[str]) -> Pipeline:
 
 
 def with_probability(model: PipelineModel, df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Add ``score``, the probability of churn, and ``prediction``."""
+    """Add ``score``, the probability of churn, and ``prediction`` to model input."""
     scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])
     return scored.drop("features", "rawPrediction", "probability", "prediction").withColumn(
         "prediction", predicted_class("score", threshold)
@@ -105,8 +119,7 @@ def with_probability(model: PipelineModel, df: DataFrame, threshold: float = THR
 
 def prepare(df: DataFrame, features: Sequence[str], test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Aligned features with the split mark, staged because fitting reads them often."""
-    split = stratified_split(align(df, features, NOT_FEATURES), "churn", "userId", test_share, seed)
-    return stage(split)
+    return stage(stratified_split(model_input(df, features), "churn", "userId", test_share, seed))
 
 
 def spread(df: DataFrame, key: str = "userId") -> DataFrame:

@@ -86,6 +86,13 @@ def test_model_round_trip_and_batch_scores(spark, table, forest, tmp_path):
     assert first.count() == table.count()
 
 
+def test_feature_names_with_dots_and_spaces(table):
+    odd = table.withColumnRenamed("gender_M", "os_Mac OS X 10.9")
+    model, features, scored, _ = training.train_random_forest(odd, trees=3, max_depth=3)
+    assert "os_Mac OS X 10.9" in features and scored.count() > 0
+    assert scoring.score_batch(odd, model, features).where("error is null").count() == odd.count()
+
+
 def test_requests(spark, forest):
     model, features, _, _ = forest
     rows = scoring.score_requests(request_rows(spark, [REQUEST, {"tenure": 120}]), model, features)
