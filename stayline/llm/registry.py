@@ -73,7 +73,7 @@ WITH turns AS (
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars,
        sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM joined
-""".replace("\\", "\")
+"""
 
 
 @_registered
