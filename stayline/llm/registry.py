@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, bpe, chat
+from stayline.llm import archive, bpe, chat, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -76,6 +76,12 @@ FROM joined
 """
 
 
+@_registered
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
 @_registered
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
