@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, bpe, chat, wrappers
+from stayline.llm import archive, bpe, chat, line_rules, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -47,6 +47,65 @@ FROM ranked
 """
 
 
+@_registered
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; host is its source."""
+    return line_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op2_line_rules"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), lines AS (
+    SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM docs
+), line_words AS (
+    SELECT *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM lines
+), worded AS (
+    SELECT *, lower(array_to_string(ws, ' ')) AS norm FROM line_words WHERE len(ws) > 0
+), words AS (
+    SELECT r, flatten(list(ws ORDER BY pos)) AS ws FROM worded GROUP BY r
+), positions AS (
+    SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM words
+), windows AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS n FROM positions
+), repeats AS (
+    SELECT r, count(*) AS n_repeat_words FROM (
+        SELECT DISTINCT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1
+    ) GROUP BY r
+), dup AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY r
+), base AS (
+    SELECT docs.r, doc_id, source, text,
+           coalesce(len(words.ws), 0) AS n_words,
+           coalesce(length(array_to_string(words.ws, '')), 0) AS word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM docs LEFT JOIN words USING (r) LEFT JOIN dup USING (r) LEFT JOIN repeats USING (r)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+), distinct_docs AS (
+    SELECT source, text, min(r) AS r FROM docs GROUP BY source, text
+), sizes AS (
+    SELECT source, count(*) AS host_docs FROM distinct_docs GROUP BY source
+), frequent AS (
+    SELECT w.source, w.norm
+    FROM worded w JOIN distinct_docs d ON w.r = d.r JOIN sizes s ON w.source IS NOT DISTINCT FROM s.source
+    GROUP BY w.source, w.norm, host_docs
+    HAVING count(DISTINCT w.r) > 10 AND count(DISTINCT w.r) > 0.005 * host_docs
+), removed AS (
+    SELECT w.r, sum(len(w.ws)) AS gone
+    FROM worded w JOIN frequent f ON w.norm = f.norm AND w.source IS NOT DISTINCT FROM f.source GROUP BY w.r
+)
+SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       CAST(n_words - coalesce(gone, 0) AS BIGINT) AS n_words_left,
+       NOT base_failed AND n_words - coalesce(gone, 0) >= 50
+           AND n_words - coalesce(gone, 0) >= 0.5 * n_words AS kept
+FROM judged LEFT JOIN removed USING (r)
+"""
+
+
 @_registered
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one that holds control strings; read the output back."""
