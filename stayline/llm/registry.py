@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, bpe, chat, line_rules, wrappers
+from stayline.llm import archive, bpe, chat, line_rules, toxicity, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -135,6 +135,12 @@ FROM joined
 """
 
 
+@_registered
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document; labels of the held-out fifth are not learned from."""
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_registered
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
