@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, bpe, chat, line_rules, toxicity, wrappers
+from stayline.llm import archive, bpe, chat, line_rules, ngram_join, toxicity, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -141,6 +141,39 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_registered
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, five words and similarity 0.8."""
+    return ngram_join.join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
+LLM_ORACLES["op5_ngram_join"] = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-]+'), lambda w: w <> '') AS ws
+    FROM documents
+), grams AS MATERIALIZED (
+    SELECT DISTINCT doc_id, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS gram
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM words WHERE len(ws) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    JOIN sizes sa ON sa.doc_id = a.doc_id JOIN sizes sb ON sb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, sa.n, sb.n HAVING 5 * count(*) >= 4 * (sa.n + sb.n - count(*))
+), reach(node, other) AS (
+    SELECT a, b FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a
+), named AS (
+    SELECT node, least(node, min(other)) AS class_id FROM reach GROUP BY node
+), counted AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
+       coalesce(class_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN named ON named.node = doc_id LEFT JOIN counted ON counted.a = doc_id
+"""
+
+
 @_registered
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
