@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import archive, bpe, chat, line_rules, ngram_join, toxicity, wrappers
+from stayline.llm import archive, bpe, chat, knn_graph, line_rules, ngram_join, toxicity, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -149,7 +149,8 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLES["op5_ngram_join"] = r"""
 WITH RECURSIVE words AS MATERIALIZED (
-    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-]+'), lambda w: w <> '') AS ws
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-
+]+'), lambda w: w <> '') AS ws
     FROM documents
 ), grams AS MATERIALIZED (
     SELECT DISTINCT doc_id, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS gram
@@ -180,6 +181,12 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(_table(spark, sf_dir, "pages"))
 
 
+@_registered
+def op7_knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.9."""
+    return knn_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 @_registered
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
