@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayline.llm import archive, bpe, chat, knn_graph, line_rules, ngram_join, toxicity, wrappers
+from stayline.llm import archive, bpe, chat, knn_graph, line_rules, mixing, ngram_join, toxicity, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+#: Whole-number weights by path; the crawl is the source that has a third of all documents.
+MIX = mixing.Mix(
+    weights={"crawl": 40, "curated": 60}
+    | {f"{domain}/{lang}": weight for domain in ("crawl", "curated") for lang, weight in (("en", 55), ("de", 20), ("fr", 15), ("es", 10))}
+)
+
 LLM_REGISTERED = {}
 LLM_ORACLES = {}
 
@@ -187,6 +194,82 @@ def op7_knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def with_domain(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("domain", F.when(F.col("source") == "src0", "crawl").otherwise("curated"))
+
+
+@_registered
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is in the mix of domains, languages and sources."""
+    mixed = mixing.copies(with_domain(_table(spark, sf_dir, "documents")), MIX)
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
+def _level_sql(above: str, keys: list[str], own: str, weight: str, out: str) -> str:
+    """Budgets of one level of the tree: the water level among siblings, in whole numbers."""
+    path = [*keys, own]
+    on = " AND ".join(f"n.{k} = a.{k}" for k in keys) or "TRUE"
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    names = ", ".join(path)
+    return f"""
+{out}_nodes AS (
+    SELECT {', '.join('n.' + k for k in path)}, capacity, weight, budget
+    FROM (SELECT {names}, CAST(sum(capacity) AS HUGEINT) AS capacity, CAST(any_value({weight}) AS HUGEINT) AS weight
+          FROM leaves GROUP BY {names}) n JOIN {above} a ON {on}
+), {out}_ranked AS (
+    SELECT *, budget - coalesce(sum(capacity) OVER ({part} ORDER BY capacity / weight, {names}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l,
+           sum(weight) OVER ({part} ORDER BY capacity / weight, {names}
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r
+    FROM {out}_nodes
+), {out}_open AS (
+    SELECT *, capacity * r <= l * weight AS dry FROM {out}_ranked
+), {out}_water AS (
+    SELECT *, first_value(CASE WHEN NOT dry THEN l END IGNORE NULLS) OVER w AS ll,
+           first_value(CASE WHEN NOT dry THEN r END IGNORE NULLS) OVER w AS rr
+    FROM {out}_open
+    WINDOW w AS ({part} ORDER BY capacity / weight, {names} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), {out} AS (
+    SELECT {names}, CASE WHEN dry THEN capacity ELSE least(CAST(ll * weight AS HUGEINT) // CAST(rr AS HUGEINT), capacity) END AS budget
+    FROM {out}_water
+)"""
+
+
+LLM_ORACLES["op8_mixing"] = r"""
+WITH rows AS (
+    SELECT doc_id, lang, source, CASE WHEN source = 'src0' THEN 'crawl' ELSE 'curated' END AS domain,
+           coalesce(lang, '') AS l1, coalesce(source, '') AS l2, md5(coalesce(text, '')) AS print,
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '')) AS n_tokens
+    FROM documents
+), leaves AS (
+    SELECT domain, l1, l2, CAST(sum(n_tokens) AS HUGEINT) AS tokens, CAST(4 * sum(n_tokens) AS HUGEINT) AS capacity
+    FROM rows GROUP BY domain, l1, l2
+), root AS (
+    SELECT least(sum(tokens) * 90 // 100, sum(capacity)) AS budget FROM leaves
+),""" + ",".join(
+    (
+        _level_sql("root", [], "domain", "CASE domain WHEN 'crawl' THEN 40 ELSE 60 END", "domains"),
+        _level_sql("domains", ["domain"], "l1", "CASE l1 WHEN 'en' THEN 55 WHEN 'de' THEN 20 WHEN 'fr' THEN 15 WHEN 'es' THEN 10 ELSE 1 END", "langs"),
+        _level_sql("langs", ["domain", "l1"], "l2", "1", "sources"),
+    )
+) + r""", shares AS (
+    SELECT s.domain, s.l1, s.l2, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs,
+           budget - tokens * CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS rest
+    FROM sources s JOIN leaves l ON s.domain = l.domain AND s.l1 = l.l1 AND s.l2 = l.l2
+), placed AS (
+    SELECT r.*, epochs, rest,
+           CAST('0x' || substr(md5(concat_ws('|', 'mix', CAST(CAST(epochs AS BIGINT) AS VARCHAR), CAST(doc_id AS VARCHAR), print)), 1, 15) AS BIGINT) AS place
+    FROM rows r JOIN shares s ON r.domain = s.domain AND r.l1 = s.l1 AND r.l2 = s.l2
+), summed AS (
+    SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, l1, l2 ORDER BY place
+                  RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM placed
+)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN before < rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM summed
+"""
+
+
 @_registered
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
