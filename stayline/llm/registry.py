@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import archive, bpe, chat, knn_graph, line_rules, mixing, ngram_join, toxicity, wrappers
+from stayline.llm import archive, bpe, chat, knn_graph, line_rules, mixing, ngram_join, pii, toxicity, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -239,7 +239,8 @@ LLM_ORACLES["op8_mixing"] = r"""
 WITH rows AS (
     SELECT doc_id, lang, source, CASE WHEN source = 'src0' THEN 'crawl' ELSE 'curated' END AS domain,
            coalesce(lang, '') AS l1, coalesce(source, '') AS l2, md5(coalesce(text, '')) AS print,
-           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '')) AS n_tokens
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda w: w <> '')) AS n_tokens
     FROM documents
 ), leaves AS (
     SELECT domain, l1, l2, CAST(sum(n_tokens) AS HUGEINT) AS tokens, CAST(4 * sum(n_tokens) AS HUGEINT) AS capacity
@@ -274,3 +275,9 @@ FROM summed
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
     return bpe.digests(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@_registered
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole text."""
+    return pii.find(_table(spark, sf_dir, "documents"))
