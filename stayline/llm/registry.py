@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import archive, bpe, chat, knn_graph, line_rules, mixing, ngram_join, pii, toxicity, wrappers
@@ -194,14 +194,15 @@ def op7_knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("domain", F.when(F.col("source") == "src0", "crawl").otherwise("curated"))
+def domain_of() -> Column:
+    return F.when(F.col("source") == "src0", "crawl").otherwise("curated")
 
 
 @_registered
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is in the mix of domains, languages and sources."""
-    mixed = mixing.copies(with_domain(_table(spark, sf_dir, "documents")), MIX)
+    docs = _table(spark, sf_dir, "documents").withColumn("domain", domain_of())
+    mixed = mixing.copies(docs, MIX)
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
