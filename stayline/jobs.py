@@ -12,17 +12,19 @@ from __future__ import annotations
 
 import argparse
 import sys
-from datetime import timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.cleaning import logged_in
+from stayline.operators.encoding import alignment_table
 from stayline.operators.metrics import pr_curve
+from stayline.operators.splitting import stratified_split
 from stayline.operators.summaries import churn_distribution, distinct_pages
 from stayline.plans import featurize as feat
 from stayline.plans import model_search, scoring, training
-from stayline.plans.monitoring import append_metrics, append_scores
+from stayline.plans.monitoring import append_metrics, append_parameters, append_scores
 from stayline.session import build_session
 from stayline.sources.tables import (
     MissingInput,
@@ -34,7 +36,7 @@ from stayline.sources.tables import (
     save_levels,
     write_features,
 )
-from stayline.staging import drop_staged, stage
+from stayline.staging import run, stage
 from stayline.streaming.ingest import ingest_new_logs
 
 
@@ -67,14 +69,14 @@ def featurize(spark: SparkSession, args: argparse.Namespace) -> None:
 def search(spark: SparkSession, args: argparse.Namespace) -> None:
     features = read_features(spark, args.features, fmt=args.format)
     offered = model_search.candidates(args.trees, args.rounds)
-    scores, seconds = model_search.out_of_fold(features, offered, args.folds)
-    weights = model_search.ensemble_weights(scores, sorted(offered))
-    blend = model_search.ensemble_scores(scores, weights).withColumn("model", F.lit("WeightedEnsemble"))
-    board = stage(
-        model_search.leaderboard(
-            scores.unionByName(blend.select(*scores.columns)), {**seconds, "WeightedEnsemble": 0.0}
-        )
-    )
+    split = stratified_split(features) if args.hold_out else None
+    fitted_on = split.where(~F.col("is_test")).drop("is_test") if args.hold_out else features
+    found = model_search.search(fitted_on, offered, args.folds)
+    weights = model_search.ensemble_weights(found.scores, sorted(offered))
+    test = split.where("is_test").drop("is_test") if args.hold_out else features
+    board = stage(model_search.tested_leaderboard(found, weights, test))
+    if args.models:
+        model_search.save_search(found, weights, args.models, spark)
     if args.leaderboard:
         board.write.mode("overwrite").parquet(args.leaderboard)
     board.orderBy(F.desc("score_val"), "model").show(truncate=False)
@@ -84,15 +86,20 @@ def search(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     features = read_features(spark, args.features, fmt=args.format)
+    run_id = args.run or f"{args.kind}-{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
     if args.kind == "forest":
-        fitted = training.train_random_forest(features, args.run, trees=args.trees)
+        parameters = {"trees": args.trees}
+        fitted = training.train_random_forest(features, run_id, **parameters)
     else:
-        fitted = training.train_gradient_boosting(features, args.run, rounds=args.rounds)
+        parameters = {"rounds": args.rounds}
+        fitted = training.train_gradient_boosting(features, run_id, **parameters)
     model, names, scored, records = fitted
     training.save_model(model, names, args.model, spark)
     records = stage(records)
     if args.metrics:
         append_metrics(records, args.metrics)
+    if args.parameters:
+        append_parameters(spark, run_id, {"model_type": args.kind, "features": len(names), **parameters}, args.parameters)
     if args.curve:
         pr_curve(scored).write.mode("overwrite").parquet(args.curve)
     records.orderBy("metric").show(truncate=False)
@@ -101,9 +108,14 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     model, names = training.load_model(args.model, spark)
     if args.requests:
-        scored = scoring.score_requests(read_requests(spark, args.requests), model, names)
+        requests = read_requests(spark, args.requests)
+        scoring.request_alignment(requests, names).orderBy("status", "column").show(truncate=False)
+        scored = scoring.score_requests(requests, model, names)
     else:
-        scored = scoring.score_batch(read_features(spark, args.features, fmt=args.format), model, names)
+        rows = read_features(spark, args.features, fmt=args.format)
+        alignment_table(rows, names, training.NOT_FEATURES).orderBy("status", "column").show(truncate=False)
+        scored = scoring.score_batch(rows, model, names)
+    scored = stage(scored)
     if args.history:
         valid = scored.where(F.col("error").isNull()).withColumnRenamed("churn_probability", "score")
         append_scores(valid.drop("error"), args.history, args.day)
@@ -111,7 +123,8 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def pages(spark: SparkSession, args: argparse.Namespace) -> None:
-    distinct_pages(logged_in(_log(spark, args))).show(1_000, truncate=False)
+    for row in distinct_pages(logged_in(_log(spark, args))).toLocalIterator():
+        print(row.page)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -122,9 +135,9 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="stayline.jobs")
     jobs = top.add_subparsers(dest="job", required=True)
 
-    def job(run, *options: tuple[str, dict]) -> None:
-        sub = jobs.add_parser(run.__name__)
-        sub.set_defaults(start=run)
+    def job(start, *options: tuple[str, dict]) -> None:
+        sub = jobs.add_parser(start.__name__)
+        sub.set_defaults(start=start)
         for name, settings in options:
             sub.add_argument(f"--{name}", **settings)
 
@@ -152,6 +165,8 @@ def parser() -> argparse.ArgumentParser:
         ("features", needed),
         table_format,
         ("leaderboard", optional),
+        ("models", optional),
+        ("hold-out", {"action": "store_true"}),
         trees,
         ("rounds", {"type": int, "default": 100}),
         ("folds", {"type": int, "default": model_search.FOLDS}),
@@ -162,8 +177,9 @@ def parser() -> argparse.ArgumentParser:
         table_format,
         ("model", needed),
         ("metrics", optional),
+        ("parameters", optional),
         ("curve", optional),
-        ("run", {"default": "final"}),
+        ("run", optional),
         ("kind", {"default": "forest", "choices": ["forest", "boosting"]}),
         trees,
         ("rounds", {"type": int, "default": 1000}),
@@ -191,12 +207,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         parser().error("--history needs --day")
     spark = spark or build_session(f"stayline {args.job}")
     try:
-        args.start(spark, args)
+        with run(spark):
+            args.start(spark, args)
     except MissingInput as error:
         print(f"error: {error}", file=sys.stderr)
         return 1
-    finally:
-        drop_staged(spark)
     return 0
 
 

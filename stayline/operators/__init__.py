@@ -1,6 +1,5 @@
 """DataFrame -> DataFrame operators, by topic.
 
-skew       heavy keys and joins past them
 cleaning   event filters, attribute filling, the clean log
 users      per-user aggregates and derived features
 agents     user agents and their families

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import browser_family, os_family
-from stayline.operators.skew import HOT_ROWS, join_per_user
 from stayline.operators.users import known_users
 from stayline.staging import stage
 
@@ -39,14 +38,14 @@ def with_agent_families(users: DataFrame) -> DataFrame:
     return users.withColumns({"os": os_family("userAgent"), "browser": browser_family("userAgent")})
 
 
-def user_agent_fanout(users: DataFrame, log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def user_agent_fanout(users: DataFrame, log: DataFrame) -> DataFrame:
     """Left join users to their distinct agents: a user with k agents gives k rows.
 
-    The pairs are the many side, so a user with very many agents is met by a
-    broadcast of that user's row; users without any agent are added.
+    The pairs are the many side, which adaptive execution splits where one user has
+    very many agents; users without any agent are added.
     """
     pairs = stage(distinct_user_agents(log))
-    matched = join_per_user(pairs, users, "userId", "inner", hot_rows)
+    matched = pairs.join(users, "userId")
     lonely = users.join(pairs.select("userId").distinct(), "userId", "left_anti")
     return matched.select(*users.columns, "userAgent").unionByName(
         lonely.withColumn("userAgent", F.lit(None).cast("string"))

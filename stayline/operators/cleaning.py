@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stayline.functions import micros_between
-from stayline.operators.skew import HOT_ROWS, hot_keys
 from stayline.schemas import LOGGED_IN, PROFILE_COLUMNS
+from stayline.staging import stage
 
 EVENT_ORDER = ("ts", "tie")
-EPOCH = "1970-01-01 00:00:00"
-STRETCHES = 64
 
 
 def logged_in(log: DataFrame) -> DataFrame:
@@ -25,90 +22,47 @@ def on_page(log: DataFrame, *pages: str) -> DataFrame:
     return log.where(F.col("page").isin(*pages))
 
 
-def _fill_within(df: DataFrame, cols: Sequence[str], group: Sequence[str], order: Sequence[str]):
-    """Fill expressions over one group.
+def placed_by_time(
+    events: DataFrame, key: str, order: Sequence[str], parts: int | None = None
+) -> DataFrame:
+    """Events cut into even parts of (user, time, tie), staged with the number ``_part`` of each.
 
-    Where the forward fill finds nothing, every earlier value is null, so the
-    backward fill equals the first known value of the whole group.  That frame is
-    evaluated once per group; a current-row-to-end frame is quadratic.
+    A part holds many light users or a piece of a heavy one, whatever share of the
+    events that user has; parts grow with their number in time order.  ``parts``
+    left out follows the session's shuffle settings.
     """
-    ordered = W.partitionBy(*group).orderBy(*order)
-    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    all_rows = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    forward = {c: F.last(c, ignorenulls=True).over(so_far) for c in cols}
-    known = {c: F.first(c, ignorenulls=True).over(all_rows) for c in cols}
-    return forward, known
+    by = [F.col(c) for c in (key, *order)]
+    ranged = events.repartitionByRange(parts, *by) if parts else events.repartitionByRange(*by)
+    return stage(ranged.withColumn("_part", F.spark_partition_id()))
 
 
-def _sliced(events: DataFrame, key: str, heavy: list[Row], rows: int) -> DataFrame:
-    """Events of heavy users with ``_slice``, which grows with time.
+def _carried(placed: DataFrame, cols: Sequence[str], key: str, order: Sequence[str]) -> DataFrame:
+    """What each part of a user in several parts gets from the others.
 
-    A user's time is cut at approximate quantiles, so that busy spells get more
-    slices, and each stretch between two of them into equal widths until a slice
-    holds about ``rows`` events.
+    ``_in_<c>`` is the last known value of the parts before, ``_known_<c>`` the
+    user's first known value.  At most one user is cut at an end of a part, so
+    these users are fewer than the parts.
     """
-    spark = events.sparkSession
-    key_type = events.schema[key].dataType.simpleString()
-    keys = spark.createDataFrame([(row[key],) for row in heavy], f"`{key}` {key_type}")
-    micros = micros_between(F.lit(EPOCH).cast("timestamp_ntz"), "ts")
-    mine = events.join(F.broadcast(keys), key).withColumn("_at", micros)
-    shares = [i / STRETCHES for i in range(STRETCHES)]
-    cuts = mine.groupBy(key).agg(
-        F.min("_at").alias("first"), F.percentile_approx("_at", shares, 1_000).alias("cuts")
-    )
-    counts = {row[key]: row.n for row in heavy}
-    plan = [
-        (row[key], sorted({row.first, *row.cuts}), -(-counts[row[key]] // (rows * STRETCHES)))
-        for row in cuts.collect()
-    ]
-    table = spark.createDataFrame(plan, f"`{key}` {key_type}, _cuts ARRAY<BIGINT>, _parts BIGINT")
-    stretch = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
-    start = F.element_at("_cuts", F.col("_stretch"))
-    width = F.coalesce(F.try_element_at("_cuts", F.col("_stretch") + 1) - start, F.lit(1))
-    part = F.least(
-        F.floor((F.col("_at") - start) * F.col("_parts") / width), F.col("_parts") - 1
-    )
-    return (
-        mine.join(F.broadcast(table), key)
-        .withColumn("_stretch", stretch)
-        .withColumn("_slice", F.col("_stretch") * F.col("_parts") + part)
-        .drop("_at", "_cuts", "_parts", "_stretch")
-    )
-
-
-def _fill_heavy(
-    events: DataFrame, cols: Sequence[str], key: str, order: Sequence[str], heavy: list[Row], rows: int
-) -> DataFrame:
-    """Fill users whose events are too many for one task.
-
-    One aggregate per slice of a user's time gives its last and first known
-    values; a window over the slices (few per user) carries them forward; each
-    slice is then filled on its own, starting from what was carried in.
-    """
-    sliced = _sliced(events, key, heavy, rows)
+    ends = placed.groupBy(key).agg(F.min("_part").alias("first"), F.max("_part").alias("last"))
+    cut = stage(ends.where(F.col("first") < F.col("last")).select(key))
     at = F.struct(*order)
-    edges = sliced.groupBy(key, "_slice").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in cols],
+    edges = (
+        placed.join(cut, key, "left_semi")
+        .groupBy(key, "_part")
+        .agg(
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
+            *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in cols],
+        )
     )
-    per_user = W.partitionBy(key).orderBy("_slice")
+    per_user = W.partitionBy(key).orderBy("_part")
     before = per_user.rowsBetween(W.unboundedPreceding, -1)
     whole = per_user.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    carried = edges.select(
+    return edges.select(
         key,
-        "_slice",
+        "_part",
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_in_{c}") for c in cols],
         *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_known_{c}") for c in cols],
     )
-    forward, _ = _fill_within(sliced, cols, (key, "_slice"), order)
-    joined = sliced.join(carried, [key, "_slice"])
-    filled = joined.withColumns({f"_out_{c}": forward[c] for c in cols})
-    return filled.select(
-        *[
-            F.coalesce(f"_out_{c}", f"_in_{c}", f"_known_{c}").alias(c) if c in cols else F.col(c)
-            for c in events.columns
-        ]
-    )
 
 
 def fill_profile(
@@ -116,26 +70,34 @@ def fill_profile(
     cols: Sequence[str] = PROFILE_COLUMNS,
     key: str = "userId",
     order: Sequence[str] = EVENT_ORDER,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Forward fill, then backward fill, each attribute within a user.
 
-    Events without a user belong to no group and are left out.
+    Every part is filled on its own, starting from what earlier parts carry into
+    it.  Where the forward fill finds nothing, every earlier value is null, so the
+    backward fill equals the user's first known value.  Events without a user
+    belong to no group and are left out.
     """
     events = log.where(F.col(key).isNotNull())
-    heavy = hot_keys(events, key, min_rows=hot_rows)
-    ordinary = events
-    if heavy:
-        key_type = events.schema[key].dataType.simpleString()
-        heavy_keys = F.broadcast(
-            log.sparkSession.createDataFrame([(row[key],) for row in heavy], f"`{key}` {key_type}")
-        )
-        ordinary = events.join(heavy_keys, key, "left_anti").select(*events.columns)
-    forward, known = _fill_within(ordinary, cols, (key,), order)
-    filled = ordinary.withColumns({c: F.coalesce(forward[c], known[c]) for c in cols})
-    if not heavy:
-        return filled
-    return filled.unionByName(_fill_heavy(events, cols, key, order, heavy, hot_rows))
+    placed = placed_by_time(events, key, order, parts)
+    carried = stage(_carried(placed, cols, key, order))
+    ordered = W.partitionBy(key, "_part").orderBy(*order)
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    all_rows = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    joined = placed.join(carried, [key, "_part"], "left")
+    filled = joined.withColumns(
+        {f"_out_{c}": F.last(c, ignorenulls=True).over(so_far) for c in cols}
+        | {f"_here_{c}": F.first(c, ignorenulls=True).over(all_rows) for c in cols}
+    )
+    return filled.select(
+        *[
+            F.coalesce(f"_out_{c}", f"_in_{c}", f"_known_{c}", f"_here_{c}").alias(c)
+            if c in cols
+            else F.col(c)
+            for c in events.columns
+        ]
+    )
 
 
 def drop_incomplete(log: DataFrame, cols: Sequence[str] = PROFILE_COLUMNS) -> DataFrame:
@@ -146,7 +108,7 @@ def clean_log(
     log: DataFrame,
     cols: Sequence[str] = PROFILE_COLUMNS,
     order: Sequence[str] = EVENT_ORDER,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Logged-in events with filled attributes, without users that stay incomplete."""
-    return drop_incomplete(fill_profile(logged_in(log), cols, order=order, hot_rows=hot_rows), cols)
+    return drop_incomplete(fill_profile(logged_in(log), cols, order=order, parts=parts), cols)

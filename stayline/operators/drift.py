@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.ranking import RANGES, range_splits, running_totals, with_ranges
+from stayline.operators.ranking import counted_values, running_totals
 
 ALERT_BELOW = 0.05
 SERIES_TERMS = 20
@@ -34,57 +34,34 @@ def ks_drift(
     current: DataFrame,
     features: Sequence[str],
     alert_below: float = ALERT_BELOW,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Largest distance of the two samples' distribution functions per feature.
 
-    Both samples are read twice; stage them if they come from the event log.  They
-    are folded to one row per (feature, value) before any ordering,
-    and the running counts of a feature are spread over its value ranges.
+    Both samples are folded to one row per (feature, value) before any ordering.  A
+    feature without values in a sample has no statistic and counts as drifted.
     """
-    both = reference.select(
-        F.lit(0).alias("_new"), *[F.col(f).cast("double").alias(f) for f in features]
-    ).unionByName(
-        current.select(
-            F.lit(1).alias("_new"), *[F.col(f).cast("double").alias(f) for f in features]
-        )
-    )
-    splits = range_splits(both, features, ranges)
-    ranged = with_ranges(both, features, splits)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(f).alias("feature"),
-                    F.col(f).alias("value"),
-                    F.col(f"_range_{f}").alias("range"),
-                )
-                for f in features
-            ]
-        )
-    )
-    long = ranged.select("_new", cells.alias("cell")).select("_new", "cell.*")
-    counted = (
-        long.where(F.col("value").isNotNull())
-        .groupBy("feature", "value", "range")
-        .agg(
-            F.count_if(F.col("_new") == 0).alias("_old_n"),
-            F.count_if(F.col("_new") == 1).alias("_new_n"),
-        )
-    )
-    ranked = running_totals(
-        counted, "value", ["_old_n", "_new_n"], ["feature"], ranges, range_col="range"
-    )
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        counted = counted_values(df, features).withColumnRenamed("_n", name)
+        return counted.withColumnRenamed("column", "feature")
+
+    both = side(reference, "_old_n").join(side(current, "_new_n"), ["feature", "_value"], "full")
+    counted = both.na.fill(0, ["_old_n", "_new_n"])
+    ranked = running_totals(counted, "_value", ["_old_n", "_new_n"], ["feature"], ranges)
     gap = F.abs(
-        F.col("cum__old_n") / F.col("total__old_n") - F.col("cum__new_n") / F.col("total__new_n")
+        F.try_divide("cum__old_n", "total__old_n") - F.try_divide("cum__new_n", "total__new_n")
     )
     measured = ranked.groupBy("feature").agg(
         F.max("total__old_n").alias("n_reference"),
         F.max("total__new_n").alias("n_current"),
         F.max(gap).alias("statistic"),
     )
+    named = reference.sparkSession.createDataFrame([(f,) for f in features], "feature STRING")
+    every = named.join(measured, "feature", "left").na.fill(0, ["n_reference", "n_current"])
     old, new = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
-    scaled = F.sqrt(old * new / (old + new)) * F.col("statistic")
-    return measured.withColumn("p_value", _kolmogorov_tail(scaled)).withColumn(
-        "drifted", F.col("p_value") < F.lit(alert_below)
+    scaled = F.sqrt(F.try_divide(old * new, old + new)) * F.col("statistic")
+    tail = F.when(F.col("statistic").isNotNull(), _kolmogorov_tail(scaled))
+    return every.withColumn("p_value", tail).withColumn(
+        "drifted", F.coalesce(F.col("p_value") < F.lit(alert_below), F.lit(True))
     )

@@ -5,39 +5,45 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1_000
-
-
-def fit_levels(
-    df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
-) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     """Distinct non-null levels per column, sorted by code point.
 
-    The result is the schema of the encoded table, so it comes to the driver; a
-    column with more than ``max_levels`` levels is refused, and no more than that
-    many rows per column are ever fetched.
+    The levels become columns of the encoded table, so they come to the driver; a
+    column with very many of them belongs into ``sparse_one_hot``.
     """
     pairs = [
         df.select(F.lit(c).alias("name"), F.col(c).cast("string").alias("level"))
         .where(F.col("level").isNotNull())
         .distinct()
-        .limit(max_levels + 1)
         for c in cols
     ]
     rows = reduce(DataFrame.unionByName, pairs).collect()
     levels: dict[str, list[str]] = {c: [] for c in cols}
     for row in rows:
         levels[row.name].append(row.level)
-    for c, found in levels.items():
-        if len(found) > max_levels:
-            raise ValueError(f"column {c} has more than {max_levels} levels")
+    for found in levels.values():
         found.sort()
     return levels
 
 
+def sparse_one_hot(cols: Sequence[str], to: str = "categories") -> Pipeline:
+    """All columns as one sparse vector: levels by code point, then one place for null and unseen ones.
+
+    For columns whose levels are too many to be columns themselves.
+    """
+    codes, parts = [f"_code_{c}" for c in cols], [f"_part_{c}" for c in cols]
+    indexer = StringIndexer(
+        inputCols=list(cols), outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"
+    )
+    encoder = OneHotEncoder(inputCols=codes, outputCols=parts, dropLast=False)
+    return Pipeline(stages=[indexer, encoder, VectorAssembler(inputCols=parts, outputCol=to)])
+
+
 def encoded_names(
     levels: dict[str, list[str]], drop_first: bool = True, null_column: bool = True
 ) -> list[str]:
@@ -101,3 +107,22 @@ def alignment_report(
         "missing": [name for name in features if name not in given],
         "ignored": [c for c in given if c not in features],
     }
+
+
+def alignment_table(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(column, status, rows): ``missing`` features filled with 0 and how many rows that meets,
+    ``ignored`` columns and the rows that have a value other than null, false or 0 there."""
+    report = alignment_report(df, features, keep)
+    told = [F.count("*").alias(f"missing|{c}") for c in report["missing"]]
+    for c in report["ignored"]:
+        value = F.col(f"`{c}`").cast("string")
+        told.append(F.count_if(~value.isin("false", "0", "0.0")).alias(f"ignored|{c}"))
+    schema = "column STRING, status STRING, rows BIGINT"
+    if not told:
+        return df.sparkSession.createDataFrame([], schema)
+    long = df.agg(*told).unpivot([], [F.col(f"`{c}`") for c in (f"{s}|{n}" for s in report for n in report[s])], "name", "rows")
+    return long.select(
+        F.split_part("name", F.lit("|"), F.lit(2)).alias("column"),
+        F.split_part("name", F.lit("|"), F.lit(1)).alias("status"),
+        "rows",
+    )

@@ -4,7 +4,8 @@ The neighbour search never pairs the whole minority class with itself:
 
 1. Equal points are folded to one *site*; only a site's k+1 smallest keys can be
    anyone's neighbour.
-2. Sites are cut into cells of about equal size along the feature axes.
+2. Sites are cut into cells, each along the axis on which it has most values,
+   until no cell is over the limit; two sites differ on some axis, so this ends.
 3. Each cell finds the nearest candidates among its own sites.
 4. A site whose ball of that radius reaches over its cell's edge visits the cells
    it touches; what is nearer there replaces the farthest.
@@ -21,145 +22,161 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayline.functions import hash_bucket, hash_fraction
-from stayline.operators.skew import HOT_ROWS, join_per_user
 from stayline.operators.splitting import SEED, smallest_by_hash
 from stayline.staging import stage
 
 NEIGHBORS = 5
 CELL_SITES = 2_000
-MAX_PARTS = 1_024
-MAX_LEVELS = 6
+# Children of one cut; a cell that is still too large is cut again.
+FAN_OUT = 64
+# Synthetic rows of one minority row that are made by one task.
+COPIES_AT_ONCE = 10_000
 
 CANDIDATES = "array<struct<d2: double, key: bigint, at: array<double>>>"
 
 
-def _child(splits: Column, x: Column) -> Column:
-    """Which of a cell's parts ``x`` falls into: the number of split points up to it."""
-    return F.size(F.filter(splits, lambda s: s <= x)).cast("bigint")
+def _on_axis(at: str = "at", axis: str = "axis") -> Column:
+    return F.element_at(at, F.col(axis) + 1)
 
 
-def _parts_of(sites: DataFrame, axis: int, share: float, cell_sites: int) -> DataFrame | None:
-    """Split points along one axis for each cell that is still too large, if any.
-
-    A cell is cut into (sites / cell_sites) ** share parts.  The points come to the
-    driver and go back as a literal table, so that a recomputed task cuts the
-    cells the same way; in all there are about sites / cell_sites of them.
-    """
-    x = F.col("at")[axis]
-    steps = [i / MAX_PARTS for i in range(1, MAX_PARTS)]
-    measured = sites.groupBy("cell").agg(
-        F.count("*").alias("n"), F.percentile_approx(x, steps, 10 * MAX_PARTS).alias("grid")
+def _cuts_of(placed: DataFrame, axes: int, cell_sites: int) -> DataFrame:
+    """(cell, axis, splits) for each cell that is still too large."""
+    kinds = [F.approx_count_distinct(F.col("at")[a]).alias(f"d{a}") for a in range(axes)]
+    measured = placed.groupBy("cell").agg(F.count("*").alias("n"), *kinds).where(F.col("n") > cell_sites)
+    most = F.greatest(*[f"d{a}" for a in range(axes)]) if axes > 1 else F.col("d0")
+    axis = F.array_position(F.array(*[f"d{a}" for a in range(axes)]), most) - 1
+    large = stage(measured.select("cell", "n", axis.cast("int").alias("axis")))
+    x = _on_axis()
+    steps = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    grid = (
+        placed.join(large, "cell")
+        .groupBy("cell", "axis", "n")
+        .agg(F.percentile_approx(x, steps, 10 * FAN_OUT).alias("grid"), F.min(x).alias("low"), F.max(x).alias("high"))
     )
-    parts = F.ceil(F.pow(F.col("n") / F.lit(cell_sites), F.lit(share)))
-    cut = (
-        measured.where(F.col("n") > cell_sites)
-        .withColumn("parts", F.least(F.lit(MAX_PARTS), parts).cast("int"))
-        .select(
-            "cell",
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.col("parts") - 1),
-                    lambda i: F.element_at("grid", F.floor(i * MAX_PARTS / F.col("parts")).cast("int")),
-                )
-            ).alias("splits"),
-        )
+    parts = F.least(F.lit(FAN_OUT), F.ceil(F.col("n") / cell_sites)).cast("int")
+    chosen = F.transform(
+        F.sequence(F.lit(1), parts - 1),
+        lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * FAN_OUT / parts).cast("int"))),
     )
-    rows = [(r.cell, list(r.splits)) for r in cut.collect()]
-    if not rows:
-        return None
-    return sites.sparkSession.createDataFrame(rows, "cell BIGINT, splits ARRAY<DOUBLE>")
+    splits = F.array_sort(F.array_distinct(F.filter(chosen, lambda s: s > F.col("low"))))
+    found = F.when(F.size(splits) > 0, splits).otherwise(F.array("high"))
+    return stage(grid.select("cell", "axis", found.alias("splits")))
 
 
-def _descend(df: DataFrame, splits: DataFrame, low: Column, high: Column) -> DataFrame:
-    """Move rows from their cell to every child cell between ``low`` and ``high``."""
-    joined = df.join(F.broadcast(splits), "cell", "left")
-    points = F.coalesce("splits", F.array().cast("array<double>"))
-    children = F.sequence(_child(points, low), _child(points, high))
-    return (
-        joined.withColumn("_child", F.explode(children))
-        .withColumn("cell", F.col("cell") * MAX_PARTS + F.col("_child"))
-        .drop("splits", "_child")
-    )
+def _descend(df: DataFrame, cuts: DataFrame, reach: Column) -> DataFrame:
+    """Move rows from their cell to every child cell their ball touches; uncut cells stay."""
+    joined = df.join(cuts, "cell", "left")
+    x = _on_axis()
+    # more than what rounding can hide, and nothing for a row that only looks for its own cell
+    wide = F.when(reach > 0, reach + F.abs(x) * 1e-14).otherwise(F.lit(0.0))
+    child = lambda at: F.size(F.filter("splits", lambda s: s <= at))
+    children = F.when(F.col("splits").isNotNull(), F.sequence(child(x - wide), child(x + wide)))
+    moved = joined.withColumn("_child", F.explode(F.coalesce(children, F.array(F.lit(None).cast("int")))))
+    path = F.when(F.col("_child").isNull(), F.col("cell")).otherwise(F.concat_ws(".", "cell", "_child"))
+    return moved.withColumn("cell", path).drop("splits", "axis", "_child")
 
 
-def _nearest(wanted: int):
-    """Return a function that finds nearest candidates with numpy, in blocks."""
+def _nearest(points, limits, at, keys, rows, wanted: int):
+    """For each point the ``wanted`` nearest candidates within its limit, by distance then key.
+
+    ``keys`` is sorted and ``rows`` tells whose place in ``at`` a key has.  Returns
+    the number found per point, then distances and candidate numbers in order.
+    """
+    import numpy as np
+
+    counts, distances, numbers = [], [], []
+    here = at[rows]
+    block = max(1, 4_000_000 // max(1, len(keys)))
+    for start in range(0, len(points), block):
+        chunk = points[start : start + block]
+        d2 = np.zeros((len(chunk), len(keys)))
+        for axis in range(at.shape[1]):
+            step = chunk[:, axis, None] - here[None, :, axis]
+            d2 += step * step
+        far = limits[start : start + block]
+        if len(keys) > wanted:
+            far = np.minimum(far, np.partition(d2, wanted - 1, axis=1)[:, wanted - 1])
+        point, number = np.nonzero(d2 <= far[:, None])
+        distance = d2[point, number]
+        order = np.lexsort((number, distance, point))
+        point, number, distance = point[order], number[order], distance[order]
+        first = np.searchsorted(point, np.arange(len(chunk)))
+        kept = np.arange(len(point)) - first[point] < wanted
+        counts.append(np.bincount(point[kept], minlength=len(chunk)))
+        distances.append(distance[kept])
+        numbers.append(number[kept])
+    return np.concatenate(counts), np.concatenate(distances), np.concatenate(numbers)
+
+
+def _stacked(column):
+    """A column of equally long lists as a matrix."""
+    import numpy as np
+
+    return np.array(column.to_pylist(), dtype=float)
+
+
+def _answer(points, limits, sites, wanted: int):
+    """The candidates of ``points`` among ``sites`` as an Arrow list column."""
+    import numpy as np
+    import pyarrow as pa
+
+    at = _stacked(sites.column("at"))
+    lists = sites.column("keys").to_pylist()
+    keys = np.concatenate([np.asarray(k, dtype="int64") for k in lists])
+    rows = np.repeat(np.arange(len(lists)), [len(k) for k in lists])
+    order = np.argsort(keys, kind="stable")
+    keys, rows = keys[order], rows[order]
+    counts, distances, numbers = _nearest(points, limits, at, keys, rows, wanted)
+    places = at[rows[numbers]]
+    ends = np.arange(0, len(numbers) * at.shape[1] + 1, at.shape[1], dtype="int32")
+    found = pa.StructArray.from_arrays(
+        [pa.array(distances), pa.array(keys[numbers]), pa.ListArray.from_arrays(ends, pa.array(places.ravel()))],
+        names=["d2", "key", "at"],
+    )
+    return pa.ListArray.from_arrays(np.append(0, np.cumsum(counts)).astype("int32"), found)
 
-    def search(points, sites, limits):
-        import numpy as np
 
-        at = np.stack(sites["at"].to_numpy()).astype(float)
-        lengths = sites["keys"].map(len).to_numpy()
-        keys = np.concatenate([np.asarray(k, dtype="int64") for k in sites["keys"]])
-        rows = np.repeat(np.arange(len(sites)), lengths)
-        order = np.argsort(keys, kind="stable")
-        keys, rows = keys[order], rows[order]
-        here = at[rows]
-        block = max(1, 4_000_000 // max(1, len(keys)))
-        for start in range(0, len(points), block):
-            chunk = points[start : start + block]
-            d2 = np.zeros((len(chunk), len(keys)))
-            for axis in range(at.shape[1]):
-                step = chunk[:, axis, None] - here[None, :, axis]
-                d2 += step * step
-            far = limits[start : start + block]
-            if len(keys) > wanted:
-                kth = np.partition(d2, wanted - 1, axis=1)[:, wanted - 1]
-                far = np.minimum(far, kth)
-            for i in range(len(chunk)):
-                near = np.flatnonzero(d2[i] <= far[i])
-                near = near[np.argsort(d2[i, near], kind="stable")][:wanted]
-                yield [
-                    {"d2": float(d2[i, n]), "key": int(keys[n]), "at": here[n].tolist()}
-                    for n in near
-                ]
-
-    return search
+def _nothing():
+    """No candidates, in the columns of an answer."""
+    import pyarrow as pa
+
+    place = pa.list_(pa.float64())
+    candidate = pa.struct([("d2", pa.float64()), ("key", pa.int64()), ("at", place)])
+    return pa.table({"at": pa.array([], place), "near": pa.array([], pa.list_(candidate))})
 
 
 def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -> DataFrame:
     """The ``wanted`` nearest candidates of each site, by distance then key."""
     levels = []
-    placed = sites.withColumn("cell", F.lit(0).cast("bigint"))
-    for level in range(MAX_LEVELS):
-        # First once along each axis; an axis with few values leaves cells too
-        # large, and those are cut again along the others.
-        axis, left = level % axes, max(1, min(axes, MAX_LEVELS) - level)
-        splits = _parts_of(placed, axis, 1.0 / left, cell_sites)
-        if splits is None:
+    placed = sites.withColumn("cell", F.lit("0"))
+    while True:
+        cuts = _cuts_of(placed, axes, cell_sites)
+        if cuts.isEmpty():
             break
-        x = F.col("at")[axis]
-        placed = _descend(placed, splits, x, x)
-        levels.append((axis, splits))
-    search = _nearest(wanted)
+        placed = stage(_descend(placed, cuts, F.lit(0.0)))
+        levels.append(cuts)
 
     def in_cell(group):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        points = np.stack(group["at"].to_numpy()).astype(float)
-        found = list(search(points, group, np.full(len(points), np.inf)))
-        return pd.DataFrame({"at": group["at"], "cell": group["cell"], "near": found})
+        points = _stacked(group.column("at"))
+        near = _answer(points, np.full(len(points), np.inf), group, wanted)
+        return pa.table({"at": group.column("at"), "cell": group.column("cell"), "near": near})
 
-    local = placed.groupBy("cell").applyInPandas(
-        in_cell, f"at array<double>, cell bigint, near {CANDIDATES}"
-    )
+    local = placed.groupBy("cell").applyInArrow(in_cell, f"at array<double>, cell string, near {CANDIDATES}")
     if not levels:
         return local.select("at", "near")
     local = stage(local)
 
     # The distance to the farthest candidate; without enough of them, no limit.
     limit = F.when(
-        F.size("near") >= wanted, F.element_at("near", wanted)["d2"]
+        F.size("near") >= wanted, F.try_element_at("near", F.lit(wanted))["d2"]
     ).otherwise(F.lit(float("inf")))
     visits = local.select("at", F.col("cell").alias("home"), limit.alias("limit"))
-    visits = visits.withColumns(
-        {"cell": F.lit(0).cast("bigint"), "_reach": F.sqrt("limit") * 1.000000001 + 1e-12}
-    )
-    for axis, splits in levels:
-        x = F.col("at")[axis]
-        reach = F.col("_reach") + F.abs(x) * 1e-14  # more than what rounding can hide
-        visits = _descend(visits, splits, x - reach, x + reach)
+    visits = visits.withColumns({"cell": F.lit("0"), "_reach": F.sqrt("limit") * 1.000000001 + 1e-12})
+    for cuts in levels:
+        visits = _descend(visits, cuts, F.col("_reach"))
     visits = visits.where(F.col("cell") != F.col("home")).select("cell", "at", "limit")
 
     # A cell with many visitors is answered by several tasks, each with its sites.
@@ -174,19 +191,18 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     hosts = placed.join(numbered, "cell").select("cell", "at", "keys", "task")
 
     def on_visit(visitors, group):
-        import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        if len(visitors) == 0 or len(group) == 0:
-            return pd.DataFrame({"at": [], "near": []}, dtype=object)
-        points = np.stack(visitors["at"].to_numpy()).astype(float)
-        found = list(search(points, group, visitors["limit"].to_numpy()))
-        return pd.DataFrame({"at": visitors["at"], "near": found})
+        if visitors.num_rows == 0 or group.num_rows == 0:
+            return _nothing()
+        limits = visitors.column("limit").to_numpy()
+        near = _answer(_stacked(visitors.column("at")), limits, group, wanted)
+        return pa.table({"at": visitors.column("at"), "near": near})
 
     foreign = (
         visits.groupBy("cell", "task")
         .cogroup(hosts.groupBy("cell", "task"))
-        .applyInPandas(on_visit, f"at array<double>, near {CANDIDATES}")
+        .applyInArrow(on_visit, f"at array<double>, near {CANDIDATES}")
     )
     each = (
         local.select("at", "near")
@@ -202,6 +218,27 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
     )
 
 
+def _neighbor_lists(
+    df: DataFrame, features: Sequence[str], label: str, key: str, k: int, minority: int, cell_sites: int
+) -> DataFrame:
+    """(key, at, others): the k nearest minority rows of each minority row, in order."""
+    refuse = F.raise_error(F.lit("a feature is null")).cast("double")
+    at = F.array(*[F.coalesce(F.col(f).cast("double"), refuse) for f in features])
+    points = stage(
+        df.where(F.col(label) == minority).select(F.col(key).cast("bigint").alias("key"), at.alias("at"))
+    )
+    first = W.partitionBy("at").orderBy("key")
+    sites = stage(
+        points.withColumn("_n", F.row_number().over(first))
+        .where(F.col("_n") <= k + 1)
+        .groupBy("at")
+        .agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    )
+    near = _site_neighbors(sites, len(features), k + 1, cell_sites)
+    others = F.slice(F.filter("near", lambda c: c["key"] != F.col("key")), 1, k)
+    return points.join(near, "at").select("key", "at", others.alias("others"))
+
+
 def smote_neighbors(
     df: DataFrame,
     features: Sequence[str],
@@ -210,7 +247,6 @@ def smote_neighbors(
     k: int = NEIGHBORS,
     minority: int = 1,
     cell_sites: int = CELL_SITES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The k nearest minority rows of each minority row, itself excluded.
 
@@ -218,22 +254,8 @@ def smote_neighbors(
     go to the smaller key.  A null feature is an error, not a dropped row.
     Columns: key, rank, neighbor, distance2, at, neighbor_at.
     """
-    refuse = F.raise_error(F.lit("a feature is null")).cast("double")
-    at = F.array(*[F.coalesce(F.col(f).cast("double"), refuse) for f in features])
-    points = df.where(F.col(label) == minority).select(
-        F.col(key).cast("bigint").alias("key"), at.alias("at")
-    )
-    first = W.partitionBy("at").orderBy("key")
-    sites = stage(
-        points.withColumn("_n", F.row_number().over(first))
-        .where(F.col("_n") <= k + 1)
-        .groupBy("at")
-        .agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    )
-    near = _site_neighbors(sites, len(features), k + 1, cell_sites)
-    others = F.slice(F.filter("near", lambda c: c["key"] != F.col("key")), 1, k)
-    listed = join_per_user(points, near, "at", "inner", hot_rows)
-    return listed.select("key", "at", F.posexplode(others).alias("_pos", "c")).select(
+    listed = _neighbor_lists(df, features, label, key, k, minority, cell_sites)
+    return listed.select("key", "at", F.posexplode("others").alias("_pos", "c")).select(
         F.col("key").alias(key),
         (F.col("_pos") + 1).cast("int").alias("rank"),
         F.col("c.key").alias("neighbor"),
@@ -252,47 +274,46 @@ def smote_resample(
     seed: int = SEED,
     cell_sites: int = CELL_SITES,
 ) -> DataFrame:
-    """All rows, and synthetic minority rows until both classes are equal.
+    """All rows, and synthetic rows of the smaller class (0 or 1) until both are equal.
 
     Each synthetic row lies between a minority row and one of its neighbours, both
     drawn by hash.  Draws are spread evenly: every minority row serves
-    floor(missing / minority) times, and hash-chosen ones once more.  Whole-number
-    features stay whole, rounded towards zero.  ``copy`` is 0 on original rows.
+    floor(missing / minority) times, and hash-chosen ones once more.  Neighbours
+    join a row before it is multiplied, and its copies are made in blocks.
+    Whole-number features stay whole, rounded towards zero.  ``copy`` is 0 on
+    original rows.
     """
-    sizes = df.agg(
-        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
-    ).collect()[0]
+    df = stage(df.select(key, *features, label))
+    counted = {r[label]: r["count"] for r in df.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     original = df.select(key, F.lit(0).alias("copy"), *features, label)
-    missing = sizes.n0 - sizes.n1
-    if missing <= 0 or sizes.n1 == 0:
+    sizes = {flag: counted.get(flag, 0) for flag in (0, 1)}
+    minority = 1 if sizes[1] <= sizes[0] else 0
+    rows, missing = sizes[minority], sizes[1 - minority] - sizes[minority]
+    if not missing or not rows:
         return original
-    if sizes.n1 == 1:
+    if rows == 1:
         raise ValueError("one minority row has no neighbour to interpolate with")
-    minority = df.where(F.col(label) == 1).select(F.col(key).cast("bigint").alias(key), label)
-    once_more = smallest_by_hash(minority, key, F.lit(missing % sizes.n1), label, seed)
-    draws = (
-        once_more.select(
-            key,
-            F.explode(
-                F.sequence(
-                    F.lit(0), F.lit(missing // sizes.n1) + F.col("_chosen").cast("int")
-                )
-            ).alias("copy"),
-        )
-        .where(F.col("copy") > 0)
-        .withColumn("_draw", F.concat_ws("-", F.col(key), F.col("copy")))
-        .withColumns(
-            {
-                "rank": (hash_bucket("_draw", f"-near-{seed}", min(k, sizes.n1 - 1)) + 1).cast("int"),
-                "_gap": hash_fraction("_draw", f"-gap-{seed}"),
-            }
-        )
+    own = df.where(F.col(label) == minority).select(F.col(key).cast("bigint").alias("key"), label)
+    served = smallest_by_hash(own, "key", F.lit(missing % rows), label, seed)
+    served = served.select("key", (F.lit(missing // rows) + F.col("_chosen").cast("int")).alias("copies"))
+    lists = _neighbor_lists(df, features, label, key, k, minority, cell_sites).join(served, "key")
+    blocks = F.sequence(F.lit(0), F.ceil(F.col("copies") / COPIES_AT_ONCE).cast("int") - 1)
+    spread = lists.where("copies > 0").withColumn("_block", F.explode(blocks)).repartition("key", "_block")
+    start = F.col("_block") * COPIES_AT_ONCE
+    copies = F.sequence(start + 1, F.least(start + COPIES_AT_ONCE, F.col("copies")))
+    draws = spread.withColumn("copy", F.explode(copies)).withColumn("copy", F.col("copy").cast("int"))
+    draws = draws.withColumn("_draw", F.concat_ws("-", "key", "copy")).withColumns(
+        {
+            "_rank": (hash_bucket("_draw", f"-near-{seed}", min(k, rows - 1)) + 1).cast("int"),
+            "_gap": hash_fraction("_draw", f"-gap-{seed}"),
+        }
     )
-    neighbors = smote_neighbors(df, features, label, key, k, 1, cell_sites)
-    made = draws.join(neighbors, [key, "rank"])
+    to = F.element_at("others", F.col("_rank"))["at"]
     values = []
     for i, f in enumerate(features):
-        value = F.col("at")[i] + F.col("_gap") * (F.col("neighbor_at")[i] - F.col("at")[i])
+        value = F.col("at")[i] + F.col("_gap") * (to[i] - F.col("at")[i])
         values.append(value.cast(df.schema[f].dataType).alias(f))
-    synthetic = made.select(key, "copy", *values, F.lit(1).cast(df.schema[label].dataType).alias(label))
+    synthetic = draws.select(
+        F.col("key").alias(key), "copy", *values, F.lit(minority).cast(df.schema[label].dataType).alias(label)
+    )
     return original.unionByName(synthetic)

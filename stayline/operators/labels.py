@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.operators.cleaning import on_page
-from stayline.operators.skew import HOT_ROWS, join_per_user
 from stayline.operators.users import known_users, last_interaction
 from stayline.schemas import CANCELLATION, TRIGGER_PAGES
 
@@ -21,9 +20,9 @@ def trigger_users(log: DataFrame, triggers: Sequence[str] = TRIGGER_PAGES) -> Da
     return on_page(known_users(log), *triggers).select("userId").distinct()
 
 
-def events_of(log: DataFrame, users: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Events of the given users."""
-    return join_per_user(known_users(log), users.select("userId"), "userId", "left_semi", hot_rows)
+def events_of(log: DataFrame, users: DataFrame) -> DataFrame:
+    """Events of the given users; adaptive execution splits the events of heavy ones."""
+    return known_users(log).join(users.select("userId"), "userId", "left_semi")
 
 
 def inactive_users(log: DataFrame, threshold: timedelta = INACTIVITY) -> DataFrame:
@@ -51,11 +50,9 @@ def explicit_churn(log: DataFrame, page: str = CANCELLATION) -> DataFrame:
     return known_users(log).groupBy("userId").agg(F.coalesce(visited, F.lit(0)).alias("churn"))
 
 
-def flag_events(log: DataFrame, labels: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flag_events(log: DataFrame, labels: DataFrame) -> DataFrame:
     """Carry a per-user label to each of the user's events; 0 where none exists."""
-    labelled = join_per_user(
-        known_users(log), labels.select("userId", "churn"), "userId", "left", hot_rows
-    )
+    labelled = known_users(log).join(labels.select("userId", "churn"), "userId", "left")
     return labelled.withColumn("churn", F.coalesce("churn", F.lit(0)))
 
 

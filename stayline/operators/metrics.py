@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import safe_ratio
-from stayline.operators.ranking import RANGES, running_totals
-from stayline.operators.skew import join_per_user
+from stayline.operators.ranking import running_totals
 
 THRESHOLD = 0.5
 
@@ -36,7 +35,7 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataF
 
 
 def _ranked(
-    df: DataFrame, label: str, score: str, by: Sequence[str], ranges: int
+    df: DataFrame, label: str, score: str, by: Sequence[str], ranges: int | None
 ) -> DataFrame:
     """Distinct scores with counts of both classes at them, up to them and overall."""
     folded = _by_score(df, label, score, by)
@@ -82,7 +81,7 @@ def roc_auc(
     label: str = "churn",
     score: str = "score",
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Area under the ROC curve; tied scores count one half.
 
@@ -106,7 +105,7 @@ def pr_curve(
     label: str = "churn",
     score: str = "score",
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Precision and recall at every distinct score taken as the threshold."""
     hits, misses = _flagged_from_here()
@@ -125,7 +124,7 @@ def pr_auc(
     label: str = "churn",
     score: str = "score",
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Trapezoid area under the precision-recall curve from (recall 0, precision 1)."""
     ranked = _ranked(df, label, score, by, ranges)
@@ -171,7 +170,7 @@ def evaluate(
     score: str = "score",
     by: Sequence[str] = (),
     threshold: float = THRESHOLD,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """ROC AUC, PR AUC, precision, recall and F1 from one ranking of the scores."""
     called = F.col("_score") > F.lit(threshold)
@@ -226,17 +225,22 @@ def promotion_gate(
     metric: str = "F1_Score",
     factor: float = 1.05,
 ) -> DataFrame:
-    """Whether the candidate run's metric exceeds the current run's by ``factor``."""
-    rows = metrics.where(F.col("metric") == metric)
-    old = rows.where(F.col("run_id") == current).select(
-        "metric", F.col("value").alias("current_value")
-    )
-    new = rows.where(F.col("run_id") == candidate).select(
-        "metric", F.col("value").alias("candidate_value")
-    )
-    return old.join(new, "metric").withColumn(
-        "promote", F.col("candidate_value") > F.lit(factor) * F.col("current_value")
+    """Whether the candidate run's metric exceeds the current run's by ``factor``; one row.
+
+    A run recorded again counts with its latest record (``recorded_at``).
+    """
+    if "recorded_at" not in metrics.columns:
+        metrics = metrics.withColumn("recorded_at", F.lit(0))
+    rows = metrics.where((F.col("metric") == metric) & F.col("run_id").isin(current, candidate))
+
+    def latest(run: str) -> Column:
+        return F.max_by("value", F.when(F.col("run_id") == run, F.struct("recorded_at", "value")))
+
+    found = rows.groupBy("metric").agg(
+        latest(current).alias("current_value"), latest(candidate).alias("candidate_value")
     )
+    found = found.where(F.col("current_value").isNotNull() & F.col("candidate_value").isNotNull())
+    return found.withColumn("promote", F.col("candidate_value") > F.lit(factor) * F.col("current_value"))
 
 
 def prediction_share(history: DataFrame, score: str = "score", day: str = "day") -> DataFrame:
@@ -252,7 +256,5 @@ def delayed_metrics(
     history: DataFrame, labels: DataFrame, period: str, score: str = "score"
 ) -> DataFrame:
     """AUC and F1 per period once the true labels of a scored history are known."""
-    judged = join_per_user(
-        history.select("userId", period, score), labels.select("userId", "churn"), "userId", "inner"
-    )
+    judged = history.select("userId", period, score).join(labels.select("userId", "churn"), "userId")
     return evaluate(judged, "churn", score, [period]).drop("pr_auc")

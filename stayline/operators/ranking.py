@@ -9,28 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 256
-
-
-def range_splits(df: DataFrame, cols: Sequence[str], ranges: int = RANGES) -> list[list[float]]:
-    """Split points of about equal row counts per column; at most ``ranges`` each."""
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.approxQuantile(list(cols), shares, 1.0 / (4 * ranges))
-    return [[float("-inf"), *sorted(set(points)), float("inf")] for points in found]
-
-
-def with_ranges(df: DataFrame, cols: Sequence[str], splits: list[list[float]]) -> DataFrame:
-    """Add the range number of each column as ``_range_<col>``."""
-    names = [f"_range_{c}" for c in cols]
-    usable = [s if len(s) >= 3 else [s[0], 0.0, s[-1]] for s in splits]
-    return Bucketizer(
-        inputCols=list(cols), outputCols=names, splitsArray=usable, handleInvalid="keep"
-    ).transform(df)
+from stayline.staging import stage
 
 
 def running_totals(
@@ -38,24 +21,22 @@ def running_totals(
     value: str,
     sums: Sequence[str],
     by: Sequence[str] = (),
-    ranges: int = RANGES,
-    range_col: str | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add running and overall sums in ascending order of ``value``.
 
     ``grouped`` holds one row per (``by``, ``value``).  Adds ``cum_<s>`` (this row
-    included) and ``total_<s>`` for each of ``sums``.  The table of range totals
-    has at most ``ranges`` rows per ``by`` group.
+    included) and ``total_<s>`` for each of ``sums``.  Rows are cut into even
+    ranges of (``by``, ``value``) and staged with the range's number, so all that
+    follows sees the same cuts; ``ranges`` left out follows the session's settings.
     """
     by = list(by)
-    if range_col is None:
-        splits = range_splits(grouped, [value], ranges)
-        grouped = with_ranges(grouped, [value], splits)
-        range_col = f"_range_{value}"
+    keys = [F.col(c) for c in (*by, value)]
+    ranged = grouped.repartitionByRange(ranges, *keys) if ranges else grouped.repartitionByRange(*keys)
     # One non-null key for window and join alike: a null group is a group like any
     # other, and rows that the window has placed need not move for the join.
-    slot = F.struct(*by, F.col(range_col).cast("int").alias("_range")).alias("_slot")
-    grouped = grouped.select(*[c for c in grouped.columns if c != range_col], slot)
+    slot = F.struct(*by, F.spark_partition_id().alias("_range")).alias("_slot")
+    grouped = stage(ranged.select(*grouped.columns, slot))
     totals = grouped.groupBy("_slot").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     over_ranges = W.partitionBy(*[f"_slot.{b}" for b in by]).orderBy("_slot._range")
     below = over_ranges.rowsBetween(W.unboundedPreceding, -1)
@@ -73,25 +54,28 @@ def running_totals(
     return summed.drop("_slot", *[f"_below_{s}" for s in sums])
 
 
-def exact_quantiles(
+def counted_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Long table (``by``, column, _value, _n): equal values counted, nulls left out."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value")) for c in cols]
+    long = df.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*")
+    counted = long.where(F.col("_value").isNotNull()).groupBy(*by, "column", "_value")
+    return counted.agg(F.count("*").alias("_n"))
+
+
+def column_quantiles(
     df: DataFrame,
-    value: str,
+    cols: Sequence[str],
     shares: dict[str, float],
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per ``by`` group.
+    """Exact quantiles with linear interpolation, one row per ``by`` group and column.
 
     Equal values are counted before any ordering, so neither a group nor a value
-    that holds most rows ends up in one task.
+    that holds most rows ends up in one task; all columns share one ranking.
     """
-    by = list(by)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-    )
-    ranked = running_totals(counted, "_value", ["_n"], by, ranges)
+    keys = [*by, "column"]
+    ranked = running_totals(counted_values(df, cols, by), "_value", ["_n"], keys, ranges)
 
     def at_least(position: Column) -> Column:
         return F.min(F.when(F.col("cum__n") > position, F.col("_value")))
@@ -104,14 +88,20 @@ def exact_quantiles(
             at_least(F.ceil(position)).alias(f"_hi_{name}"),
             F.max(position - F.floor(position)).alias(f"_part_{name}"),
         ]
-    found = ranked.groupBy(*by).agg(*aggregates)
-    return found.select(
-        *by,
-        *[
-            (
-                F.col(f"_lo_{n}")
-                + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")
-            ).alias(n)
-            for n in shares
-        ],
-    )
+    between = {
+        n: F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")
+        for n in shares
+    }
+    found = ranked.groupBy(*keys).agg(*aggregates)
+    return found.select(*keys, *[value.alias(n) for n, value in between.items()])
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    shares: dict[str, float],
+    by: Sequence[str] = (),
+    ranges: int | None = None,
+) -> DataFrame:
+    """``column_quantiles`` of one column, one row per ``by`` group."""
+    return column_quantiles(df, [value], shares, by, ranges).drop("column")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayline.functions import hash_bucket
+from stayline.staging import stage
 
 SEED = 42
 BUCKET_DIGITS = 4  # 65,536 buckets of the leading md5 digits
@@ -21,8 +22,8 @@ def smallest_by_hash(
 ) -> DataFrame:
     """Add ``_chosen``: true for exactly ``wanted`` rows per class, in md5 order.
 
-    ``by`` is a 0/1 label; ``wanted`` may use ``n``, the size of the class; ``key``
-    is unique.  Rows are counted per leading hash digits first.  Only the bucket
+    ``by`` is a label of any classes; ``wanted`` may use ``n``, the size of the
+    class; ``key`` is unique.  Rows are counted per leading hash digits first.  Only the bucket
     in which the wanted number is reached is ranked row by row, about one row in
     65,536 of a class.
     """
@@ -42,14 +43,14 @@ def smallest_by_hash(
     ).withColumn("_wanted", wanted)
     edge = (
         cumulative.where((F.col("_upto") >= F.col("_wanted")) & (F.col("_wanted") > 0))
-        .where(F.col(label).isin(0, 1))
         .groupBy(label)
         .agg(
             F.min("_bucket").alias("_edge"),
             F.min_by(F.col("_wanted") - F.col("_upto") + F.col("_n"), "_bucket").alias("_rest"),
         )
     )
-    joined = hashed.join(F.broadcast(edge), label, "left")  # at most two rows
+    edge = stage(edge.withColumnRenamed(label, "_class"))
+    joined = hashed.join(edge, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
     in_edge = F.col("_bucket") == F.col("_edge")
     # Rows off the edge bucket need no rank, so they are kept out of the window.
     rank = F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_hash", key))

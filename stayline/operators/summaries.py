@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import code_label, floor_days, safe_ratio
-from stayline.operators.ranking import exact_quantiles
+from stayline.operators.ranking import column_quantiles, counted_values, exact_quantiles
 from stayline.operators.users import known_users
 from stayline.schemas import CANCELLATION, PLAY_PAGE
+from stayline.staging import stage
 
 STATUS = {0: "Active", 1: "Churned"}
 
@@ -36,9 +36,9 @@ def preview(log: DataFrame, rows: int = 5, order: Sequence[str] = ("ts", "tie"))
 
 
 def frequency(df: DataFrame, col: str) -> DataFrame:
-    """Rows per value and their share; the shares divide a handful of counts."""
+    """Rows per value and their share of the sum of these counts."""
     counted = df.groupBy(col).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
+    total = counted.agg(F.sum("n")).scalar()
     return counted.withColumn("share", safe_ratio("n", total))
 
 
@@ -83,8 +83,9 @@ def songs_by_cohort(log: DataFrame, churn_page: str = CANCELLATION) -> DataFrame
 
 def cohort_medians(users: DataFrame, cols: Sequence[str], cohort: str = "churn") -> DataFrame:
     """Exact median of each column per cohort."""
-    medians = [exact_quantiles(users, c, {f"median_{c}": 0.5}, [cohort]) for c in cols]
-    return reduce(lambda left, right: left.join(right, cohort, "full"), medians)
+    long = column_quantiles(users, cols, {"median": 0.5}, [cohort])
+    wide = [F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"median_{c}") for c in cols]
+    return long.groupBy(cohort).agg(*wide)
 
 
 def counts_by(users: DataFrame, *cols: str) -> DataFrame:
@@ -116,24 +117,16 @@ def histogram(
 
 
 def boxplot(df: DataFrame, col: str, cohort: str = "churn") -> DataFrame:
-    """Quartiles, whiskers at the last values inside 1.5 IQR, rows outside.
-
-    ``cohort`` is a 0/1 label, so the fences are at most two rows.
-    """
+    """Quartiles, whiskers at the last values inside 1.5 IQR, rows outside, per cohort."""
     quartiles = exact_quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [cohort])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quartiles.where(F.col(cohort).isin(0, 1)).withColumns(
-        {"_low": F.col("q1") - reach, "_high": F.col("q3") + reach}
-    )
+    fences = quartiles.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
+    fences = stage(fences.withColumnRenamed(cohort, "_cohort"))
     # Count equal values first: what is joined is one row per cohort and value.
-    counted = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(cohort, F.col(col).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-    )
+    counted = counted_values(df, [col], [cohort])
     inside = F.col("_value").between(F.col("_low"), F.col("_high"))
     return (
-        counted.join(F.broadcast(fences), cohort)
+        counted.join(fences, F.col(cohort).eqNullSafe(F.col("_cohort")))
         .groupBy(cohort, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_value"))).alias("whisker_low"),

@@ -40,13 +40,24 @@ def last_interaction(log: DataFrame) -> DataFrame:
 
 
 def engagement_counts(log: DataFrame) -> DataFrame:
-    """Songs, listen time, distinct artists and distinct sessions per user."""
+    """Songs, listen time, distinct artists and distinct sessions per user.
+
+    Two aggregates: counters would otherwise go through the expansion that
+    distinct counts need.
+    """
+    per_user = known_users(log).groupBy("userId")
+    sums = per_user.agg(
+        F.count("song").alias("total_songs"),
+        F.coalesce(F.sum("length"), F.lit(0.0)).alias("total_listen_time"),
+    )
+    return sums.join(_distinct_counts(log), "userId")
+
+
+def _distinct_counts(log: DataFrame) -> DataFrame:
     return (
         known_users(log)
         .groupBy("userId")
         .agg(
-            F.count("song").alias("total_songs"),
-            F.coalesce(F.sum("length"), F.lit(0.0)).alias("total_listen_time"),
             F.count_distinct("artist").alias("num_artists"),
             F.count_distinct("sessionId").alias("num_sessions"),
         )
@@ -58,6 +69,17 @@ def page_counts(log: DataFrame, pages: dict[str, str] = PAGE_COUNTS) -> DataFram
     return known_users(log).groupBy("userId").agg(*counts)
 
 
+def _moment() -> Column:
+    """Place of an event in the log's order (ts, tie), as one whole number.
+
+    A number fits a hash-aggregate buffer, a struct would not.
+    """
+    micros = micros_between(F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "ts")
+    tie = F.coalesce(F.col("tie"), F.lit(0)).cast("decimal(38,0)")
+    two_to = {n: F.lit(str(2**n)).cast("decimal(20,0)") for n in (63, 64)}
+    return (micros.cast("decimal(19,0)") * two_to[64] + tie + two_to[63]).cast("decimal(38,0)")
+
+
 def _first_known(value: str, at: str) -> Column:
     return F.min_by(value, F.when(F.col(value).isNotNull(), F.struct(at, value)))
 
@@ -67,7 +89,7 @@ def _last_known(value: str, at: str) -> Column:
 
 
 def _value_spans(log: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """First and last time of each combination of values a user shows.
+    """First and last event of each combination of values a user shows.
 
     Strings cannot sit in a hash-aggregate buffer, so a direct ``max_by`` over
     events would sort every event.  Grouping by the values keeps the buffers
@@ -76,28 +98,32 @@ def _value_spans(log: DataFrame, cols: Sequence[str]) -> DataFrame:
     return (
         known_users(log)
         .groupBy("userId", *cols)
-        .agg(F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts"))
+        .agg(
+            F.min(_moment()).alias("from"),
+            F.max(_moment()).alias("to"),
+            F.max("ts").alias("to_ts"),
+        )
     )
 
 
 def first_profile(log: DataFrame) -> DataFrame:
-    """First known gender and registration; equal times go to the smaller value."""
+    """First known gender and registration in the order (ts, tie)."""
     return (
         _value_spans(log, ("gender", "registration"))
         .groupBy("userId")
         .agg(
-            _first_known("gender", "from_ts").alias("gender"),
-            _first_known("registration", "from_ts").alias("registration"),
+            _first_known("gender", "from").alias("gender"),
+            _first_known("registration", "from").alias("registration"),
         )
     )
 
 
 def last_level(log: DataFrame) -> DataFrame:
-    """Last known subscription level; equal times go to the larger value."""
+    """Last known subscription level in the order (ts, tie)."""
     return (
         _value_spans(log, ("level",))
         .groupBy("userId")
-        .agg(_last_known("level", "to_ts").alias("last_level"))
+        .agg(_last_known("level", "to").alias("last_level"))
     )
 
 
@@ -155,8 +181,9 @@ def user_aggregates(
     counted = [c for c in required if c not in profile]
     events = known_users(log)
     folded = events.groupBy("userId", *profile).agg(
-        F.min("ts").alias("_from"),
-        F.max("ts").alias("_to"),
+        F.min(_moment()).alias("_from"),
+        F.max(_moment()).alias("_to"),
+        F.max("ts").alias("_to_ts"),
         F.count("song").alias("_songs"),
         F.sum("length").alias("_length"),
         F.count_if(F.col("page").isin(*triggers)).alias("_triggers"),
@@ -166,7 +193,7 @@ def user_aggregates(
     per_user = folded.groupBy("userId").agg(
         _first_known("gender", "_from").alias("gender"),
         _first_known("registration", "_from").alias("registration"),
-        F.max("_to").alias("last_ts"),
+        F.max("_to_ts").alias("last_ts"),
         F.sum("_songs").alias("total_songs"),
         F.coalesce(F.sum("_length"), F.lit(0.0)).alias("total_listen_time"),
         *[F.sum(f"_{n}").alias(n) for n in PAGE_COUNTS],
@@ -178,12 +205,8 @@ def user_aggregates(
     condition = F.lit(True)
     for c in required:
         condition = condition & (F.col(f"_n_{c}") > 0 if c in counted else F.col(c).isNotNull())
-    distinct = events.groupBy("userId").agg(
-        F.count_distinct("artist").alias("num_artists"),
-        F.count_distinct("sessionId").alias("num_sessions"),
-    )
     complete = per_user.where(condition).drop(*[f"_n_{c}" for c in counted])
-    return complete.join(distinct, "userId")
+    return complete.join(_distinct_counts(log), "userId")
 
 
 def with_derived_features(users: DataFrame) -> DataFrame:
@@ -200,7 +223,7 @@ def tenure_user(log: DataFrame) -> DataFrame:
     """Days from the first known registration to the last event."""
     spans = _value_spans(log, ("registration",))
     users = spans.groupBy("userId").agg(
-        _first_known("registration", "from_ts").alias("registration"),
+        _first_known("registration", "from").alias("registration"),
         F.max("to_ts").alias("last_ts"),
     )
     return users.select("userId", floor_days("registration", "last_ts").alias("tenure"))

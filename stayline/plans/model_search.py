@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.metrics import roc_auc
 from stayline.operators.splitting import SEED, with_balanced_weight, with_folds
 from stayline.plans.training import (
+    NOT_FEATURES,
     feature_list,
     gradient_boosting,
     logistic_regression,
@@ -20,48 +23,126 @@ from stayline.plans.training import (
     random_forest,
     spread,
     with_probability,
+    with_stop_rows,
 )
+from stayline.sources.tables import load_feature_list, save_feature_list
 from stayline.staging import stage
 
 FOLDS = 8
 WEIGHT_STEP = 0.05
+BLEND = "WeightedEnsemble"
 
 Builder = Callable[[Sequence[str]], Pipeline]
 
 
 def candidates(trees: int = 100, rounds: int = 100) -> dict[str, Builder]:
+    """Boosting may stop before ``rounds``, on rows of its own part of the training fold."""
     return {
         "RandomForestGini": lambda f: random_forest(f, trees=trees),
         "RandomForestEntr": lambda f: random_forest(f, trees=trees, impurity="entropy"),
-        "GradientBoosting": lambda f: gradient_boosting(f, rounds=rounds, validation=None),
+        "GradientBoosting": lambda f: gradient_boosting(f, rounds=rounds),
         "LogisticRegression": lambda f: logistic_regression(f),
     }
 
 
-def out_of_fold(
-    df: DataFrame,
-    models: dict[str, Builder],
-    folds: int = FOLDS,
-    seed: int = SEED,
-) -> tuple[DataFrame, dict[str, float]]:
-    """Long table (model, userId, churn, score) and seconds of fitting per model.
+@dataclass(frozen=True)
+class Search:
+    """All fold models of a search, the out-of-fold scores and the seconds of fitting."""
+
+    features: list[str]
+    models: dict[str, list[PipelineModel]]
+    scores: DataFrame
+    seconds: dict[str, float]
 
-    Each row is scored by the models that were fitted without its fold.
+
+def search(
+    df: DataFrame, models: dict[str, Builder], folds: int = FOLDS, seed: int = SEED, at_once: int = 4
+) -> Search:
+    """Fit every model without each fold and score that fold.
+
+    ``scores`` is a long table (model, row_id, userId, churn, score); ``row_id``
+    tells a user's rows apart.  Several folds are fitted at once, since one fit
+    rarely fills a cluster.
     """
     features = feature_list(df)
-    table = stage(with_folds(model_input(df, features), "userId", folds, seed))
-    parts, seconds = [], {}
-    for name, build in models.items():
+    numbered = model_input(df, features).withColumn("row_id", F.monotonically_increasing_id())
+    table = stage(with_stop_rows(with_folds(numbered, "userId", folds, seed), seed=seed))
+
+    def fit(build: Builder, fold: int) -> tuple[PipelineModel, float]:
+        started = time.monotonic()
+        training = with_balanced_weight(table.where(F.col("fold") != fold))
+        return build(features).fit(spread(training)), time.monotonic() - started
+
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: [pool.submit(fit, build, k) for k in range(folds)] for name, build in models.items()}
+        done = {name: [f.result() for f in fits] for name, fits in running.items()}
+    fitted = {name: [model for model, _ in fits] for name, fits in done.items()}
+    parts = [
+        with_probability(model, table.where(F.col("fold") == fold)).select(
+            F.lit(name).alias("model"), "row_id", "userId", "churn", "score"
+        )
+        for name, own in fitted.items()
+        for fold, model in enumerate(own)
+    ]
+    scores = stage(reduce(DataFrame.unionByName, parts))
+    return Search(features, fitted, scores, {name: sum(s for _, s in fits) for name, fits in done.items()})
+
+
+def out_of_fold(
+    df: DataFrame, models: dict[str, Builder], folds: int = FOLDS, seed: int = SEED
+) -> tuple[DataFrame, dict[str, float]]:
+    """Scores of the models that were fitted without a row's fold, and seconds of fitting."""
+    found = search(df, models, folds, seed)
+    return found.scores, found.seconds
+
+
+def score_rows(
+    found: Search, df: DataFrame, weights: dict[str, float], keep: Sequence[str] = NOT_FEATURES
+) -> DataFrame:
+    """Score new rows: the weighted mean over models, each the mean of its fold models."""
+    rows = model_input(df, found.features, keep)
+    total = F.lit(0.0)
+    for name, weight in weights.items():
+        for fold, model in enumerate(found.models[name]):
+            scored = f"_{name}_{fold}"
+            rows = with_probability(model, rows).withColumnRenamed("score", scored).drop("prediction")
+            total = total + F.lit(weight / len(found.models[name])) * F.col(scored)
+    return rows.select(*keep, total.alias("score"))
+
+
+def save_search(found: Search, weights: dict[str, float], path: str, spark: SparkSession) -> None:
+    """Store all fold models, the feature list and the blend under one location."""
+    for name, own in found.models.items():
+        for fold, model in enumerate(own):
+            model.write().overwrite().save(f"{path}/models/{name}/{fold}")
+    save_feature_list(spark, found.features, f"{path}/features")
+    rows = [(name, len(own), float(weights.get(name, 0.0)), found.seconds[name]) for name, own in found.models.items()]
+    frame = spark.createDataFrame(rows, "model STRING, folds INT, weight DOUBLE, seconds DOUBLE")
+    frame.coalesce(1).write.mode("overwrite").json(f"{path}/blend")
+    found.scores.write.mode("overwrite").parquet(f"{path}/scores")
+
+
+def load_search(path: str, spark: SparkSession) -> tuple[Search, dict[str, float]]:
+    rows = spark.read.schema("model STRING, folds INT, weight DOUBLE, seconds DOUBLE").json(f"{path}/blend").collect()
+    models = {r.model: [PipelineModel.load(f"{path}/models/{r.model}/{k}") for k in range(r.folds)] for r in rows}
+    seconds = {r.model: r.seconds for r in rows}
+    found = Search(load_feature_list(spark, f"{path}/features"), models, spark.read.parquet(f"{path}/scores"), seconds)
+    return found, {r.model: r.weight for r in rows if r.weight}
+
+
+def tested_leaderboard(found: Search, weights: dict[str, float], test: DataFrame) -> DataFrame:
+    """Every model and the blend with AUC out of fold and on ``test``, and seconds of fitting and scoring."""
+    blend = ensemble_scores(found.scores, weights).withColumn("model", F.lit(BLEND))
+    every = found.scores.unionByName(blend.select(*found.scores.columns))
+    board = leaderboard(every, {**found.seconds, BLEND: 0.0})
+    rows = []
+    for name in (*found.models, BLEND):
         started = time.monotonic()
-        for fold in range(folds):
-            training = with_balanced_weight(table.where(F.col("fold") != fold))
-            model = build(features).fit(spread(training))
-            held_out = with_probability(model, table.where(F.col("fold") == fold))
-            parts.append(
-                held_out.select(F.lit(name).alias("model"), "userId", "churn", "score")
-            )
-        seconds[name] = time.monotonic() - started
-    return stage(reduce(DataFrame.unionByName, parts)), seconds
+        scored = stage(score_rows(found, test, weights if name == BLEND else {name: 1.0}))
+        seconds = time.monotonic() - started
+        rows.append((name, roc_auc(scored).collect()[0].roc_auc, seconds))
+    tested = test.sparkSession.createDataFrame(rows, "model STRING, score_test DOUBLE, pred_time DOUBLE")
+    return board.join(tested, "model").orderBy(F.desc("score_val"), "model")
 
 
 def leaderboard(scores: DataFrame, seconds: dict[str, float]) -> DataFrame:
@@ -93,7 +174,7 @@ def ensemble_weights(
 ) -> dict[str, float]:
     """Greedy blend: start from the best model, mix in others while the AUC grows."""
     wide = stage(
-        scores.groupBy("userId", "churn").pivot("model", list(models)).agg(F.first("score"))
+        scores.groupBy("row_id", "churn").pivot("model", list(models)).agg(F.first("score"))
     )
     singles = _blend_aucs(wide, {m: {m: 1.0} for m in models})
     best = max(sorted(singles), key=lambda m: singles[m])
@@ -119,12 +200,12 @@ def ensemble_weights(
 
 
 def ensemble_scores(scores: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """Weighted mean of the members' scores per user."""
+    """Weighted mean of the members' scores per row."""
     weight = F.lit(0.0)
     for model, share in weights.items():
         weight = F.when(F.col("model") == model, F.lit(float(share))).otherwise(weight)
     return (
         scores.where(F.col("model").isin(list(weights)))
-        .groupBy("userId", "churn")
+        .groupBy("row_id", "userId", "churn")
         .agg(F.sum(weight * F.col("score")).alias("score"))
     )

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.operators.metrics import THRESHOLD
+from stayline.operators.encoding import alignment_table
+from stayline.operators.metrics import THRESHOLD, predicted_class
 from stayline.plans.training import model_input, with_probability
-from stayline.schemas import OPTIONAL_REQUEST_FIELDS, REQUIRED_REQUEST_FIELDS
+from stayline.schemas import OPTIONAL_REQUEST_FIELDS, REQUEST_DUMMIES, REQUIRED_REQUEST_FIELDS
 
 NOT_LOADED = "Model not loaded."
 
 
 def first_missing(fields: Sequence[str]) -> Column:
     """Message naming the first required field that is null, or null."""
-    return F.coalesce(
-        *[F.when(F.col(f"`{f}`").isNull(), F.lit(f"Field required: {f}")) for f in fields]
-    )
+    message = F.lit(None).cast("string")
+    for f in reversed(fields):
+        message = F.when(F.col(f"`{f}`").isNull(), F.lit(f"Field required: {f}")).otherwise(message)
+    return message
 
 
 def with_request_defaults(requests: DataFrame) -> DataFrame:
@@ -45,7 +47,9 @@ def score_batch(
     """
     present = [f for f in required if f in rows.columns]
     absent = [f for f in required if f not in rows.columns]
-    error = F.lit(f"Field required: {absent[0]}") if absent else first_missing(present)
+    error = first_missing(present)
+    if absent:
+        error = F.lit(f"Field required: {next(f for f in required if f in absent)}")
     if model is None:
         error = F.lit(NOT_LOADED)
     # Features and kept columns may share names; the error is computed beforehand.
@@ -54,20 +58,39 @@ def score_batch(
         scored = checked.select(*keep, "_error").withColumn("score", F.lit(None).cast("double"))
     else:
         scored = with_probability(model, model_input(checked, features, [*keep, "_error"]), threshold)
+    return answers(scored, keep, threshold)
+
+
+def answers(scored: DataFrame, keep: Sequence[str] = (), threshold: float = THRESHOLD) -> DataFrame:
+    """Prediction, probability and error of rows with ``score`` and ``_error``."""
     valid = F.col("_error").isNull()
     return scored.select(
         *keep,
-        F.when(valid, (F.col("score") > F.lit(threshold)).cast("int")).alias("churn_prediction"),
+        F.when(valid, predicted_class("score", threshold)).alias("churn_prediction"),
         F.when(valid, F.col("score")).alias("churn_probability"),
         F.col("_error").alias("error"),
     )
 
 
+def with_feature_names(requests: DataFrame, names: Mapping[str, str] = REQUEST_DUMMIES) -> DataFrame:
+    """Request fields under the names of the training columns they stand for."""
+    return requests.withColumnsRenamed({old: new for old, new in names.items() if old != new})
+
+
 def score_requests(
     requests: DataFrame,
     model: PipelineModel | None,
     features: Sequence[str],
     keep: Sequence[str] = (),
+    names: Mapping[str, str] = REQUEST_DUMMIES,
+) -> DataFrame:
+    """Score request records: optional fields take their defaults, then their features' names."""
+    named = with_feature_names(with_request_defaults(requests), names)
+    return score_batch(named, model, features, keep)
+
+
+def request_alignment(
+    requests: DataFrame, features: Sequence[str], names: Mapping[str, str] = REQUEST_DUMMIES
 ) -> DataFrame:
-    """Score request records: optional fields take their defaults first."""
-    return score_batch(with_request_defaults(requests), model, features, keep)
+    """Training columns no request field fills, and fields no training column takes, with row counts."""
+    return alignment_table(with_feature_names(with_request_defaults(requests), names), features)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.functions import hash_bucket
 from stayline.operators.encoding import align
 from stayline.operators.metrics import THRESHOLD, predicted_class, run_metrics
 from stayline.operators.splitting import (
@@ -81,7 +83,7 @@ def gradient_boosting(
     column_share: float = 0.8,
     row_share: float = 0.8,
     tolerance: float = 0.001,
-    validation: str | None = "is_test",
+    validation: str | None = "is_stop",
     seed: int = SEED,
 ) -> Pipeline:
     """Boosted trees; stops early when the loss on ``validation`` rows stalls.
@@ -123,16 +125,22 @@ def prepare(df: DataFrame, features: Sequence[str], test_share: float = 0.2, see
 
 
 def spread(df: DataFrame, key: str = "userId") -> DataFrame:
-    """Training rows over as many cores as they are worth, in a fixed order.
+    """Training rows in even parts and a fixed order.
 
-    Fitting reads the rows many times, so a shuffle up front is cheap; and row
-    sampling depends on where rows lie, so this makes a seed repeatable.
+    Fitting reads the rows many times, so a shuffle up front is cheap.  Row
+    sampling depends on where rows lie, so the number of parts follows from the
+    number of rows alone: a seed gives the same model on every cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = min(cores, max(1, -(-df.count() // ROWS_PER_TASK)))
+    rows = df.count()
+    parts = max(1, -(-rows // max(ROWS_PER_TASK, math.isqrt(rows))))
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
+def with_stop_rows(df: DataFrame, key: str = "userId", share: int = 5, seed: int = SEED) -> DataFrame:
+    """Add ``is_stop``: one row in ``share``, by hash, that only tells boosting when to stop."""
+    return df.withColumn("is_stop", hash_bucket(key, f"-stop-{seed}", share) == 0)
+
+
 def train_random_forest(
     df: DataFrame, run_id: str = "random_forest", test_share: float = 0.2, **options
 ) -> tuple[PipelineModel, list[str], DataFrame, DataFrame]:
@@ -152,10 +160,14 @@ def train_random_forest(
 def train_gradient_boosting(
     df: DataFrame, run_id: str = "gradient_boosting", test_share: float = 0.2, **options
 ) -> tuple[PipelineModel, list[str], DataFrame, DataFrame]:
-    """Fit with early stopping on the test rows, positives weighted up."""
+    """Fit on the training rows, positives weighted up.
+
+    A part of the training rows decides when to stop; the test rows are only scored.
+    """
     features = feature_list(df)
-    prepared = with_positive_weight(prepare(df, features, test_share))
-    model = gradient_boosting(features, **options).fit(spread(prepared))
+    prepared = prepare(df, features, test_share)
+    training = with_stop_rows(with_positive_weight(prepared.where(~F.col("is_test"))))
+    model = gradient_boosting(features, **options).fit(spread(training))
     scored = stage(
         with_probability(model, prepared.where("is_test")).select(
             "userId", "churn", "score", "prediction"

@@ -6,7 +6,6 @@ with windows over events, neighbours come from comparing every pair.
 
 from __future__ import annotations
 
-from stayline.functions.agents import BROWSER_PATTERNS, EMPTY_AGENT, NO_MATCH, OS_PATTERNS
 from stayline.registry.queries import DRIFT_FEATURES, SCORING_LIST
 from stayline.sources.adapters import AGENTS
 
@@ -23,6 +22,7 @@ log AS (
          WHEN event_type = 'purchase' THEN 'Add Friend'
          WHEN event_type = 'signup' THEN 'Home'
          WHEN k >= 95 THEN 'Submit Downgrade'
+         WHEN k = 94 THEN 'Cancellation Confirmation'
          WHEN k < 5 THEN 'Thumbs Down'
          ELSE 'Error' END AS page,
     CAST(day(ts) AS BIGINT) AS "sessionId",
@@ -69,16 +69,17 @@ clean AS (SELECT * FROM filled WHERE {" AND ".join(f'"{c}" IS NOT NULL' for c in
 """
 
 
-def _family(patterns, column: str = '"userAgent"') -> str:
-    cases = "".join(
-        f" WHEN regexp_matches({column}, '{pattern}') THEN '{family}'" for family, pattern in patterns
-    )
-    return (
-        f"CASE WHEN {column} IS NULL OR {column} = '' THEN '{EMPTY_AGENT}'{cases} ELSE '{NO_MATCH}' END"
-    )
-
-
-OS, BROWSER = _family(OS_PATTERNS), _family(BROWSER_PATTERNS)
+# Families told by hand, for the agents of the test log and their kin.
+OS = """CASE WHEN coalesce("userAgent", '') = '' THEN 'Unknown'
+  WHEN contains("userAgent", 'iPhone') THEN 'iOS'
+  WHEN contains("userAgent", 'Windows NT') THEN 'Windows'
+  WHEN contains("userAgent", 'Macintosh') THEN 'Mac OS X'
+  WHEN contains("userAgent", 'Ubuntu') THEN 'Ubuntu' ELSE 'Other' END"""
+BROWSER = """CASE WHEN coalesce("userAgent", '') = '' THEN 'Unknown'
+  WHEN contains("userAgent", 'Trident') THEN 'IE'
+  WHEN contains("userAgent", 'Chrome/') THEN 'Chrome'
+  WHEN contains("userAgent", 'Firefox/') THEN 'Firefox'
+  WHEN contains("userAgent", 'iPhone') THEN 'Mobile Safari' ELSE 'Other' END"""
 
 
 def _days(start: str, end: str) -> str:
@@ -406,10 +407,55 @@ def _f1(scale: float) -> str:
     return f"(SELECT coalesce((2 * {tp}) / nullif(2 * {tp} + {fp} + {fn}, 0), 0.0) FROM cu)"
 
 
+SPLIT = """
+split AS (
+  SELECT "userId", churn, row_number() OVER (PARTITION BY churn ORDER BY md5("userId" || '-42'), "userId")
+    <= round(0.2 * count(*) OVER (PARTITION BY churn)) AS is_test FROM cu
+)"""
+CHECKED_TEST = 'SELECT "userId", churn, TRUE AS is_probability, TRUE AS follows_threshold FROM split WHERE is_test'
+
+# Two fixed scores in place of fitted models.
+FIXED = """
+fixed AS (
+  SELECT "userId", churn, 9.0::DOUBLE / (9.0::DOUBLE + num_sessions) AS a,
+    1.0::DOUBLE / (1.0::DOUBLE + ("userId" % 97) / 10.0::DOUBLE + total_songs / 20.0::DOUBLE) AS b FROM cu
+)"""
+
+
+def _area(score: str, source: str = "fixed") -> str:
+    """AUC of one score column by ranks."""
+    return f"""(SELECT (sum(r) FILTER (churn = 1) - count(*) FILTER (churn = 1) * (count(*) FILTER (churn = 1) + 1) / 2.0)
+      / (CAST(count(*) FILTER (churn = 1) AS DOUBLE) * count(*) FILTER (churn = 0))
+    FROM (SELECT churn, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r
+      FROM (SELECT churn, {score} AS s FROM {source})))"""
+
+
+MODEL_AUCS = f"""
+aucs AS (
+  SELECT 'a' AS model, {_area("a")} AS score_val, 1.5::DOUBLE AS fit_time
+  UNION ALL SELECT 'b', {_area("b")}, 0.5::DOUBLE
+)"""
+# The first model with the highest area, and the first share of the other that raises it most.
+_OPTIONS = " UNION ALL ".join(
+    f"SELECT {i} AS i, '{i}' AS name, {i * 0.05!r}::DOUBLE AS share, CASE WHEN (SELECT model FROM top) = 'a' "
+    f"THEN {_area(f'{1 - i * 0.05!r}::DOUBLE * a + {i * 0.05!r}::DOUBLE * b')} "
+    f"ELSE {_area(f'{1 - i * 0.05!r}::DOUBLE * b + {i * 0.05!r}::DOUBLE * a')} END AS auc"
+    for i in range(1, 20)
+)
+BLENDS = f"""
+top AS (SELECT model, score_val FROM aucs ORDER BY score_val DESC, model LIMIT 1),
+options AS ({_OPTIONS}),
+best AS (SELECT share, auc FROM options ORDER BY auc DESC, name LIMIT 1),
+taken AS (SELECT CASE WHEN auc > (SELECT score_val FROM top) THEN share ELSE 0.0 END AS share FROM best),
+chosen AS (
+  SELECT aucs.model, CASE WHEN aucs.model = top.model THEN 1 - share ELSE share END AS weight FROM aucs, top, taken
+)"""
+
+
 ORACLES: dict[str, str] = {
     "filter_logged_in": f'WITH {LOG} SELECT "userId", ts, tie, auth, page FROM li',
     "filter_page": f"WITH {LOG} SELECT \"userId\", ts, tie, page FROM li WHERE page = 'Thumbs Down'",
-    "cancel_like_pages": f"WITH {LOG} SELECT DISTINCT page FROM li WHERE lower(page) LIKE '%down%'",
+    "cancel_like_pages": f"WITH {LOG} SELECT DISTINCT page FROM li WHERE lower(page) LIKE '%cancel%'",
     "distinct_pages": f"WITH {LOG} SELECT DISTINCT page FROM li ORDER BY page",
     "trigger_users": f"""WITH {LOG} SELECT "userId" FROM li WHERE page = 'Submit Downgrade'
         UNION SELECT "userId" FROM li WHERE page = 'Thumbs Down'""",
@@ -471,6 +517,8 @@ ORACLES: dict[str, str] = {
     "churn_label": f"""WITH {LOG}, {FILLED}, {_labelled("12 HOURS")}
         SELECT "userId", max(ts) AS last_ts, max(churn) AS churn FROM labelled GROUP BY 1""",
     "churn_label_explicit": f"WITH {LOG}, {EXPLICIT} SELECT * FROM explicit",
+    "churn_label_cancelled": f"""WITH {LOG} SELECT "userId",
+        CAST(bool_or(page = 'Cancellation Confirmation') AS INTEGER) AS churn FROM li GROUP BY 1""",
     "user_features": EVENTS_FEATURES + f"SELECT {FEATURES} FROM wide",
     "user_features_fanout": EVENTS_FEATURES
     + ", ua AS (SELECT DISTINCT \"userId\", \"userAgent\" FROM clean), "
@@ -544,4 +592,33 @@ ORACLES: dict[str, str] = {
         CASE churn WHEN 0 THEN 'Active' WHEN 1 THEN 'Churned' END AS status FROM resampled GROUP BY 1""",
     "scatter_points_resampled": f"""WITH {COMMERCE}, {POINTS}, {NEIGHBORS}, {SMOTE}, {RESAMPLED}
         SELECT tenure_days, total_songs, churn, count(*) AS n FROM resampled GROUP BY 1, 2, 3""",
+    "one_hot_sparse": f"""WITH {LOG}, cities AS (
+          SELECT location AS level, row_number() OVER (ORDER BY location) - 1 AS code
+          FROM (SELECT DISTINCT location FROM li WHERE location IS NOT NULL)),
+        names AS (
+          SELECT "lastName" AS level, row_number() OVER (ORDER BY "lastName") - 1 AS code
+          FROM (SELECT DISTINCT "lastName" FROM li WHERE "lastName" IS NOT NULL))
+        SELECT tie, (SELECT count(*) FROM cities) + (SELECT count(*) FROM names) + 2 AS width,
+          CAST(coalesce(c.code, (SELECT count(*) FROM cities)) AS VARCHAR) || ',' ||
+          CAST((SELECT count(*) FROM cities) + 1 + coalesce(n.code, (SELECT count(*) FROM names)) AS VARCHAR) AS places
+        FROM li LEFT JOIN cities c ON c.level = li.location LEFT JOIN names n ON n.level = li."lastName" """,
+    "rf_churn_scores": f"WITH {COMMERCE}, {SPLIT} {CHECKED_TEST}",
+    "gbt_churn_scores": f"WITH {COMMERCE}, {SPLIT} {CHECKED_TEST}",
+    "score_batch": f"""WITH {COMMERCE} SELECT "userId", TRUE AS is_probability, TRUE AS follows_threshold,
+        CAST(NULL AS VARCHAR) AS error FROM cu""",
+    "model_leaderboard": f"""WITH {COMMERCE} SELECT model, (SELECT count(*) FROM cu) AS rows_scored,
+        TRUE AS is_probability, TRUE AS in_order
+        FROM (VALUES ('RandomForestGini'), ('RandomForestEntr'), ('GradientBoosting'), ('LogisticRegression')) t(model)""",
+    "score_answers": f"""WITH {COMMERCE}, {FIXED},
+        r AS (SELECT "userId", a, CASE WHEN "userId" % 7 = 0 THEN 'Field required: tenure'
+          WHEN "userId" % 11 = 0 THEN 'Field required: total_songs' END AS error FROM fixed)
+        SELECT "userId", CASE WHEN error IS NULL THEN CAST(a > 0.5 AS INTEGER) END AS churn_prediction,
+          CASE WHEN error IS NULL THEN a END AS churn_probability, error FROM r""",
+    "fold_assignment": f"""WITH {COMMERCE} SELECT "userId", CAST({_hex("\"userId\" || '-fold-42'")} % 8 AS INTEGER) AS fold FROM cu""",
+    "leaderboard_order": f"""WITH {COMMERCE}, {FIXED}, {MODEL_AUCS}
+        SELECT model, round(score_val, 9) AS score_val, fit_time,
+          CAST(row_number() OVER (ORDER BY score_val DESC, model) AS INTEGER) AS place FROM aucs""",
+    "ensemble_scores": f"""WITH {COMMERCE}, {FIXED} SELECT "userId", churn, round(0.25 * a + 0.75 * b, 9) AS score FROM fixed""",
+    "ensemble_weights": f"""WITH {COMMERCE}, {FIXED}, {MODEL_AUCS}, {BLENDS}
+        SELECT model, round(weight, 9) AS weight FROM chosen WHERE weight > 0""",
 }

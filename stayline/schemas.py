@@ -75,7 +75,7 @@ ACTIVITY_LOG = T.StructType(
     ]
 )
 
-# One scoring request: the required fields, then the optional ones with defaults.
+# One scoring request, the required fields, then the optional ones with defaults.
 REQUIRED_REQUEST_FIELDS = (
     ("tenure", T.LongType()),
     ("total_songs", T.LongType()),
@@ -88,6 +88,14 @@ REQUIRED_REQUEST_FIELDS = (
     ("num_downgrades", T.LongType()),
     ("avg_songs_per_session", T.DoubleType()),
 )
+# The request's names of dummies and the columns that featurize gives them.
+REQUEST_DUMMIES = {
+    "gender_Male": "gender_M",
+    "last_level_paid": "last_level_paid",
+    "os_Linux": "os_Linux",
+    "os_Mac_OS_X": "os_Mac OS X",
+    "os_Windows": "os_Windows",
+}
 OPTIONAL_REQUEST_FIELDS = (
     ("gender_Male", False),
     ("last_level_paid", True),

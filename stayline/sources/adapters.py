@@ -45,6 +45,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "purchase", "Add Friend")
         .when(kind == "signup", "Home")
         .when(k >= 95, "Submit Downgrade")
+        .when(k == 94, "Cancellation Confirmation")
         .when(k < 5, "Thumbs Down")
         .otherwise("Error")
     )

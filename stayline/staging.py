@@ -4,17 +4,23 @@ A step that is read several times (the per-user table, a scored table) is
 written once as Parquet to the shared folder the cluster names in
 ``spark.checkpoint.dir``.  That cuts the lineage, keeps column pruning, and a
 lost executor costs no recomputation of the event scan.
+
+A ``run`` owns a folder of its own there and deletes it at its end; tables staged
+outside any run stay, because a lazy result may still read them.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_written: list[str] = []
+_folder: ContextVar[str | None] = ContextVar("staging folder", default=None)
+_local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -24,23 +30,27 @@ def staging_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-"))
-        root = context.getCheckpointDir()
+        root = _local_roots.get(context.applicationId) or tempfile.mkdtemp(prefix="stayline-")
+        _local_roots[context.applicationId] = root
     return root.rstrip("/")
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and return it as a table scan."""
-    path = f"{staging_root(df.sparkSession)}/stayline/{uuid.uuid4().hex}"
+    """Write ``df`` to the folder of the current run and return it as a table scan."""
+    folder = _folder.get() or f"{staging_root(df.sparkSession)}/stayline"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables this process staged; call once their results are written."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def run(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside belongs to this run and is deleted with it; write results before."""
+    folder = f"{staging_root(spark)}/stayline/run-{uuid.uuid4().hex}"
+    token = _folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _folder.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

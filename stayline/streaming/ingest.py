@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from stayline.sources.tables import json_schema, parse_log
+from stayline.sources.tables import MissingInput, json_schema, parse_log, read_parsed_log
+
+FILES_PER_DAY = 8
 
 
 def ingest_new_logs(spark: SparkSession, source: str, target: str, state: str) -> int:
@@ -16,12 +18,15 @@ def ingest_new_logs(spark: SparkSession, source: str, target: str, state: str) -
 
     ``state`` is the query's checkpoint folder on shared storage; a run that is
     lost half-way is repeated without duplicates.  ``target`` is partitioned by
-    day, so a featurize run over a date range reads only its days.
+    day, so a featurize run over a date range reads only its days; a day's events
+    meet in a few tasks first, so a day is a few files.
     """
+    before = _rows(spark, target)
     raw = spark.readStream.schema(json_schema()).json(source)
     query = (
         parse_log(raw)
         .withColumn("day", F.to_date("ts"))
+        .repartition(F.col("day"), F.pmod(F.col("tie"), F.lit(FILES_PER_DAY)))
         .writeStream.format("parquet")
         .partitionBy("day")
         .option("path", target)
@@ -30,4 +35,12 @@ def ingest_new_logs(spark: SparkSession, source: str, target: str, state: str) -
         .start()
     )
     query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    return _rows(spark, target) - before
+
+
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows of the log, from its file footers; progress reports keep the last batches only."""
+    try:
+        return read_parsed_log(spark, target).count()
+    except MissingInput:
+        return 0

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -14,7 +15,7 @@ def spark(tmp_path_factory):
 
     session = build_session(
         "tests",
-        "local[8]",
+        f"local[{min(8, os.cpu_count() or 1)}]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "4",

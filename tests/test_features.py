@@ -97,17 +97,59 @@ def test_clean_log_window_form_matches_aggregate_form(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [25, 100, 400])
-def test_fill_of_heavy_users_matches_plain_fill(spark, hot_rows):
-    log = random_log(spark, seed=hot_rows)
-    plain = cleaning.fill_profile(log)
-    split = cleaning.fill_profile(log, hot_rows=hot_rows)
-    assert rows_of(split) == rows_of(plain)
+def filled_by_pandas(log, cols):
+    pdf = log.where("userId is not null").toPandas().sort_values(["userId", "ts", "tie"])
+    pdf[cols] = pdf.groupby("userId")[cols].transform(lambda x: x.ffill().bfill())
+    return pdf
+
+
+def assert_filled(log, parts, cols=("location", "userAgent", "gender", "registration")):
+    cols = list(cols)
+    pdf = filled_by_pandas(log, cols)
+    ours = cleaning.fill_profile(log, cols, parts=parts).toPandas().sort_values(["userId", "ts", "tie"])
+    assert ours["tie"].tolist() == pdf["tie"].tolist()
+    for c in cols:
+        assert [None if x != x else x for x in ours[c]] == [None if x != x else x for x in pdf[c]]
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_fill_is_the_same_in_any_number_of_parts(spark, parts):
+    assert_filled(random_log(spark, seed=parts), parts)
+
 
+@pytest.mark.parametrize("parts", [1, 20])
+def test_fill_of_heavy_user_with_one_moment(spark, parts):
+    log = random_log(spark, events=400, hot_share=0.9)
+    assert_filled(log.withColumn("ts", F.expr("TIMESTAMP_NTZ'2020-01-01 00:00:00'")), parts)
 
-def test_fill_of_heavy_user_with_one_moment(spark):
-    log = random_log(spark, events=200).withColumn("ts", F.expr("TIMESTAMP_NTZ'2020-01-01 00:00:00'"))
-    assert rows_of(cleaning.fill_profile(log, hot_rows=20)) == rows_of(cleaning.fill_profile(log))
+
+def test_fill_of_many_heavy_users(spark):
+    assert_filled(random_log(spark, users=300, events=6000, hot_share=0.0), 40)
+
+
+def test_equal_times_go_by_the_tie_everywhere(spark):
+    rows = []
+    for user, order in ((1, (3, 1, 2)), (2, (2, 3, 1))):
+        for tie, level, gender, agent in zip(order, ("free", "paid", None), ("M", None, "F"), ("b", "c", "a"), strict=True):
+            rows.append((user, tie, level, gender, agent))
+    log = spark.createDataFrame(rows, "userId long, tie long, level string, gender string, userAgent string").selectExpr(
+        "userId", "timestamp_ntz'2020-01-01 00:00:00' ts", "tie", "timestamp_ntz'2019-01-01' registration", "'Logged In' auth",
+        "'NextSong' page", "1L sessionId", "'s' song", "'a' artist", "1.0D length", "level", "gender", "'x' location",
+        "'f' firstName", "'l' lastName", "userAgent",
+    )
+    want = {}
+    for user in (1, 2):
+        own = sorted((r for r in rows if r[0] == user), key=lambda r: r[1])
+        last = lambda i: [r[i] for r in own if r[i] is not None][-1]  # noqa: B023, E731
+        want[user] = ([r[3] for r in own if r[3]][0], last(2), last(4))
+    got = {r.userId: (r.gender, r.last_level, r.userAgent) for r in users.user_aggregates(log).collect()}
+    assert got == want
+    assert {r.userId: r.gender for r in users.first_profile(log).collect()} == {u: v[0] for u, v in want.items()}
+    assert {r.userId: r.last_level for r in users.last_level(log).collect()} == {u: v[1] for u, v in want.items()}
+    clean = cleaning.clean_log(log).orderBy("userId", "ts", "tie").collect()
+    for user in (1, 2):
+        own = [r for r in clean if r.userId == user]
+        assert own[0].gender == want[user][0] and own[-1].userAgent == want[user][2]
 
 
 def test_fill_against_pandas(spark):
@@ -120,14 +162,13 @@ def test_fill_against_pandas(spark):
         assert [None if x != x else x for x in ours[c]] == [None if x != x else x for x in pdf[c]]
 
 
-@pytest.mark.parametrize("hot_rows", [20, 10**9])
-def test_heavy_key_join_matches_plain_join(spark, hot_rows):
+def test_event_joins_keep_every_event(spark):
     log = random_log(spark)
-    found = labels.events_of(log, labels.trigger_users(log), hot_rows)
+    found = labels.events_of(log, labels.trigger_users(log))
     plain = log.join(labels.trigger_users(log), "userId", "left_semi")
     assert rows_of(found, *log.columns) == rows_of(plain, *log.columns)
     flags = labels.explicit_churn(log, "Submit Downgrade").where("userId % 3 <> 1")
-    ours = labels.flag_events(log, flags, hot_rows)
+    ours = labels.flag_events(log, flags)
     plain = log.where("userId is not null").join(flags, "userId", "left").na.fill(0, ["churn"])
     assert rows_of(ours, *log.columns, "churn") == rows_of(plain, *log.columns, "churn")
 
@@ -148,11 +189,23 @@ def test_unseen_levels_are_counted_and_encoded_false(spark):
     assert encoding.unseen_levels(df, levels).collect()[0].unseen_rows == 1
 
 
-def test_levels_are_sorted_and_bounded(spark):
+def test_levels_are_sorted(spark):
     df = spark.createDataFrame([("iOS",), ("Windows",), (None,), ("Ubuntu",)], "os string")
     assert encoding.fit_levels(df, ["os"]) == {"os": ["Ubuntu", "Windows", "iOS"]}
-    with pytest.raises(ValueError):
-        encoding.fit_levels(df, ["os"], max_levels=2)
+
+
+def test_wide_categories_become_one_sparse_vector(spark):
+    df = spark.range(3000).selectExpr("id", "concat('c', lpad(id % 2500, 4, '0')) city", "if(id % 3 = 0, null, 'x') kind")
+    model = encoding.sparse_one_hot(("city", "kind")).fit(df)
+    rows = {r.id: r.categories for r in model.transform(df).where("id in (0, 7, 2507)").collect()}
+    assert rows[7].size == 2500 + 1 + 1 + 1 and rows[7] == rows[2507]
+    assert rows[7].indices.tolist() == [7, 2501] and rows[0].indices.tolist() == [0, 2502]
+
+
+def test_alignment_table_counts_rows(spark):
+    df = spark.createDataFrame([(1, True, 2.0), (2, False, None), (3, None, 0.0)], "userId long, gender_Male boolean, `a b` double")
+    got = {(r.column, r.status): r.rows for r in encoding.alignment_table(df, ["gender_M", "tenure"], ["userId"]).collect()}
+    assert got == {("gender_M", "missing"): 3, ("tenure", "missing"): 3, ("gender_Male", "ignored"): 1, ("a b", "ignored"): 1}
 
 
 def test_align_fills_missing_columns(spark):
@@ -190,9 +243,8 @@ def test_fanout_of_heavy_users_keeps_users_without_agents(spark):
         spark.sql("select 999L as userId, timestamp_ntz'2020-01-01' as last_ts")
     )
     plain = people.join(agents.distinct_user_agents(log), "userId", "left")
-    for hot_rows in (1, 10**9):
-        found = agents.user_agent_fanout(people, log, hot_rows)
-        assert rows_of(found, *plain.columns) == rows_of(plain)
+    found = agents.user_agent_fanout(people, log)
+    assert rows_of(found, *plain.columns) == rows_of(plain)
 
 
 def test_staging_uses_the_folder_the_cluster_names(spark):
@@ -214,16 +266,18 @@ def test_staging_uses_the_folder_the_cluster_names(spark):
         staging.staging_root(cluster)
 
 
-def test_staged_tables_can_be_dropped(spark):
-    staged = staging.stage(spark.range(3))
-    path = staged.inputFiles()[0]
-    assert staged.count() == 3
-    kept = list(staging._written)
-    staging._written[:] = kept[-1:]
-    staging.drop_staged(spark)
-    staging._written[:] = kept[:-1]
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(path).count()
+def test_a_run_deletes_what_it_staged_and_nothing_else(spark):
+    outside = staging.stage(spark.range(3))
+    with staging.run(spark) as folder:
+        inside = staging.stage(spark.range(4))
+        with staging.run(spark):
+            inner = staging.stage(spark.range(5)).inputFiles()[0]
+        assert inside.count() == 4 and folder in inside.inputFiles()[0]
+        path = inside.inputFiles()[0]
+    assert outside.count() == 3
+    for gone in (path, inner):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(gone).count()
 
 
 def test_missing_input_names_the_path(spark, tmp_path):

@@ -51,7 +51,7 @@ def test_neighbors_match_brute_force(spark, n, axes, spread, copies, cell):
 
 def test_neighbors_of_heavy_copies(spark):
     df, names = points(spark, 300, 2, 20, 0.6)
-    near = imbalance.smote_neighbors(df, names, cell_sites=4, hot_rows=10)
+    near = imbalance.smote_neighbors(df, names, cell_sites=4)
     found = {}
     for r in near.orderBy("userId", "rank").collect():
         found.setdefault(r.userId, []).append((r.distance2, r.neighbor))
@@ -86,6 +86,34 @@ def test_resampled_classes_are_equal_and_rows_lie_between_parents(spark):
     assert out.exceptAll(again).count() == 0
 
 
+@pytest.mark.parametrize("smaller", [0, 1])
+def test_whichever_class_is_smaller_grows(spark, smaller):
+    df, names = points(spark, 100, 2)
+    df = df.withColumn("churn", F.when(F.col("userId") < 10, smaller).otherwise(1 - smaller).cast("int"))
+    out = imbalance.smote_resample(df, names)
+    assert {r.churn: r["count"] for r in out.groupBy("churn").count().collect()} == {0: 90, 1: 90}
+    assert {r.churn for r in out.where("copy > 0").collect()} == {smaller}
+
+
+def test_two_rows_against_very_many(spark):
+    df = spark.range(300_000).selectExpr("id userId", "cast(id < 2 as int) churn", "cast(id as double) x")
+    out = imbalance.smote_resample(df, ["x"])
+    sizes = out.where("churn = 1").agg(F.count("*").alias("n"), F.max("copy").alias("most"), F.min("x"), F.max("x")).first()
+    assert sizes.n == 299_998 and sizes.most <= 149_999 and 0 <= sizes[2] <= sizes[3] <= 1
+
+
+def test_flags_before_real_features(spark):
+    df = spark.range(400).selectExpr(
+        "id userId", "1 churn", "0.0D f0", "1.0D f1", "cast(id % 2 as double) f2", "0.0D f3", "0.0D f4", "1.0D f5",
+        "cast(id * 37 % 101 as double) x", "cast(id * 53 % 211 as double) y",
+    )
+    names = ["f0", "f1", "f2", "f3", "f4", "f5", "x", "y"]
+    found = {}
+    for r in imbalance.smote_neighbors(df, names, cell_sites=20).orderBy("userId", "rank").collect():
+        found.setdefault(r.userId, []).append((r.distance2, r.neighbor))
+    assert found == brute(df.collect(), names, 5)
+
+
 def test_balanced_input_is_unchanged(spark):
     df, names = points(spark, 20, 2)
     df = df.withColumn("churn", (F.col("userId") < 10).cast("int"))

@@ -5,6 +5,8 @@ from golden import raw_rows
 from test_models import REQUEST
 
 from stayline import jobs
+from stayline.plans import model_search
+from stayline.plans.monitoring import read_metrics
 from stayline.sources.tables import load_levels, save_levels
 
 
@@ -51,12 +53,21 @@ def test_jobs_end_to_end(spark, raw_path, tmp_path, capsys):
 
     features = at("features_json")
     assert run("search", "--features", features, "--trees", "3", "--rounds", "2", "--folds", "2",
-               "--leaderboard", at("board")) == 0
+               "--leaderboard", at("board"), "--models", at("found"), "--hold-out") == 0
     assert "best model" in capsys.readouterr().out
-    assert spark.read.parquet(at("board")).count() == 5
+    board = spark.read.parquet(at("board"))
+    assert board.count() == 5 and {"score_val", "score_test", "fit_time", "pred_time"} <= set(board.columns)
+    found, weights = model_search.load_search(at("found"), spark)
+    assert model_search.score_rows(found, first, weights).count() == 150
     assert run("train", "--features", features, "--trees", "5", "--model", at("model"),
-               "--metrics", at("metrics"), "--curve", at("curve"), "--run", "r1") == 0
-    assert {r.run_id for r in spark.read.parquet(at("metrics")).collect()} == {"r1"}
+               "--metrics", at("metrics"), "--curve", at("curve"), "--run", "r1",
+               "--parameters", at("parameters")) == 0
+    assert {r.run_id for r in read_metrics(spark, at("metrics")).collect()} == {"r1"}
+    told = {r.name: r.value for r in spark.read.parquet(at("parameters")).collect()}
+    assert told["trees"] == "5" and told["model_type"] == "forest"
+    for _ in range(2):
+        assert run("train", "--features", features, "--trees", "2", "--model", at("other"), "--metrics", at("metrics")) == 0
+    assert read_metrics(spark, at("metrics")).select("run_id").distinct().count() == 3
     assert spark.read.parquet(at("curve")).count() > 0
     assert run("score", "--features", features, "--model", at("model"), "--scores", at("scores"),
                "--history", at("history"), "--day", "2024-05-01") == 0
@@ -64,9 +75,11 @@ def test_jobs_end_to_end(spark, raw_path, tmp_path, capsys):
     assert scores.count() == 150 and scores.where("error is not null").count() == 0
     assert spark.read.parquet(at("history")).where("day = date'2024-05-01'").count() == 150
 
+    capsys.readouterr()
     (tmp_path / "requests.json").write_text(json.dumps(REQUEST) + "\n" + json.dumps({"tenure": 120}))
     assert run("score", "--requests", at("requests.json"), "--model", at("model"),
                "--scores", at("answers")) == 0
+    assert "missing" in capsys.readouterr().out
     errors = [r.error for r in spark.read.parquet(at("answers")).collect()]
     assert sorted(errors, key=str) == ["Field required: total_songs", None]
 

@@ -108,6 +108,14 @@ def test_run_records_and_gate(spark):
     assert not metrics.promotion_gate(records, "new", "old").collect()[0].promote
 
 
+def test_a_rerun_counts_with_its_latest_record(spark):
+    rows = [("old", "F1_Score", 0.5, 1), ("final", "F1_Score", 0.2, 1), ("final", "F1_Score", 0.9, 2), ("other", "F1_Score", 1.0, 9)]
+    records = spark.createDataFrame(rows, "run_id string, metric string, value double, recorded_at int")
+    gate = metrics.promotion_gate(records, "old", "final").collect()
+    assert [(r.current_value, r.candidate_value, r.promote) for r in gate] == [(0.5, 0.9, True)]
+    assert metrics.promotion_gate(records, "old", "never").count() == 0
+
+
 @pytest.mark.parametrize("ranges", [1, 2, 5, 256])
 def test_quantiles_match_numpy(spark, ranges):
     rng = random.Random(5)
@@ -197,6 +205,23 @@ def test_ks_ignores_nulls_per_feature(spark):
     assert found == {"x": (2, 1), "k": (1, 2)}
 
 
+def test_ks_reports_a_vanished_feature(spark):
+    a = spark.createDataFrame([(float(i), 1.0, None) for i in range(50)], "x double, k double, z double")
+    b = spark.createDataFrame([(float(i), None, None) for i in range(50)], "x double, k double, z double")
+    found = {r.feature: r for r in drift.ks_drift(a, b, ["x", "k", "z"]).collect()}
+    assert not found["x"].drifted and found["x"].statistic == 0
+    for f, n in (("k", 50), ("z", 0)):
+        assert found[f].drifted and found[f].statistic is None and (found[f].n_reference, found[f].n_current) == (n, 0)
+
+
+def test_any_number_of_classes_is_split_and_drawn(spark):
+    df = spark.range(300).selectExpr("id userId", "cast(id % 3 as int) churn", "id * 1.0D v")
+    split = splitting.stratified_split(df.select("userId", "churn"))
+    assert {r.churn: r.n for r in split.where("is_test").groupBy("churn").agg(F.count("*").alias("n")).collect()} == {0: 20, 1: 20, 2: 20}
+    boxes = summaries.boxplot(df.withColumn("churn", F.when(F.col("churn") < 2, F.col("churn"))), "v").collect()
+    assert {r.churn for r in boxes} == {0, 1, None} and all(r.outliers == 0 for r in boxes)
+
+
 def test_useless_features(spark):
     rows = [(i, float(i), 1.0, float(i), i % 2 == 0) for i in range(20)]
     df = spark.createDataFrame(rows, "userId long, a double, b double, c double, d boolean")
