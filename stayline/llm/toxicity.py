@@ -32,11 +32,10 @@ from pyspark.sql.window import Window
 
 from stayline.staging import stage
 
-_SENTENCE = re.compile(r"[^.!?。！？\n]+")
 _WORD = re.compile(r"\w+")
+#: A sentence with a word.
+_WORDED = re.compile(r"[^.!?。！？\n\w]*\w[^.!?。！？\n]*")
 PREFIXES = (4, 5, 6)
-#: Words a worker remembers the weight of.
-KNOWN_WORDS = 300_000
 
 
 @dataclass(frozen=True)
@@ -60,9 +59,6 @@ class Model:
     bias: float
     weights: dict[str, float]
 
-    def word_weight(self, word: str) -> float:
-        return sum(self.weights.get(f, 0.0) for f in features(word))
-
 
 def features(word: str) -> list[str]:
     """A word, and its first letters where it is longer; the hyphen tells the two apart."""
@@ -71,7 +67,7 @@ def features(word: str) -> list[str]:
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Spans in code points."""
-    return [m.span() for m in _SENTENCE.finditer(text) if _WORD.search(m[0])]
+    return [m.span() for m in _WORDED.finditer(text)]
 
 
 def in_training(doc_id: Column) -> Column:
@@ -102,35 +98,33 @@ def training_sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
 
 def fit_weights(texts: list[str], toxic: list[int], weight: list[float], fit: Fit) -> Model:
     """Fit the noisy-or by gradient steps with soft thresholds."""
-    bags = [[set(_WORD.findall(text[a:b].lower())) for a, b in sentences(text)] for text in texts]
     y, importance = np.array(toxic, float), np.array(weight, float)
     if not y.sum() or y.all():
         return Model(-50.0, {})
-    known: dict[str, list[str]] = {}
-    for bag in bags:
-        for words in bag:
-            for word in words:
-                if word not in known:
-                    known[word] = features(word)
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for bag, flag in zip(bags, toxic, strict=True):
-        seen[flag].update({f for words in bag for word in words for f in known[word]})
+    for flag in (1, 0):  # features of clean documents count where toxic ones have them
+        for text in (t for t, k in zip(texts, toxic, strict=True) if k == flag):
+            held = {f for word in set(_WORD.findall(text.lower())) for f in features(word)}
+            seen[flag].update(held if flag else held & seen[1].keys())
+        if flag:
+            for f in [f for f, n in seen[1].items() if n < fit.min_docs]:
+                del seen[1][f]
     total = [max(1.0, float((importance * (y == k)).sum())) for k in (0, 1)]
     scale = [float(importance[y == k].mean()) if (y == k).any() else 1.0 for k in (0, 1)]
     lift = {
         f: (n * scale[1] / total[1] - seen[0][f] * scale[0] / total[0]) * math.log((n + 1) / (seen[0][f] * total[1] * scale[0] / (total[0] * scale[1]) + 1))
         for f, n in seen[1].items()
-        if n >= fit.min_docs and n * scale[1] / total[1] > seen[0][f] * scale[0] / total[0]
+        if n * scale[1] / total[1] > seen[0][f] * scale[0] / total[0]
     }
     chosen = sorted(lift, key=lambda f: (-lift[f], f))[: fit.max_features]
     number = {f: i for i, f in enumerate(chosen)}
     cells: list[int] = []
     owner: list[int] = []
     doc_of: list[int] = []
-    plain = np.zeros(len(bags))
-    for d, bag in enumerate(bags):
-        for words in bag:
-            here = {number[f] for word in words for f in known[word] if f in number}
+    plain = np.zeros(len(texts))
+    for d, text in enumerate(texts):
+        for a, b in sentences(text):
+            here = {number[f] for word in _WORD.findall(text[a:b].lower()) for f in features(word) if f in number}
             if here:
                 cells += here
                 owner += [len(doc_of)] * len(here)
@@ -145,7 +139,7 @@ def fit_weights(texts: list[str], toxic: list[int], weight: list[float], fit: Fi
     # plain accelerated steps: what many documents share is learned before what few share
     for t in range(1, fit.rounds + 1):
         z = bias + np.bincount(row, ahead[column], len(doc))
-        risk = np.bincount(doc, np.logaddexp(0, z), len(bags)) + plain * np.logaddexp(0, bias)
+        risk = np.bincount(doc, np.logaddexp(0, z), len(texts)) + plain * np.logaddexp(0, bias)
         pull = importance * np.where(y == 1, -1 / np.expm1(np.clip(risk, 1e-9, 500)), 1.0)
         chance = 1 / (1 + np.exp(-z))
         slope = np.clip(pull[doc], -50, 50) * chance
@@ -176,40 +170,34 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 
 
 class Scorer:
-    """Applies a model; remembers the weights of words."""
+    """Applies a model.
+
+    All features of a word begin as the word does, so a text none of whose words
+    begins like a feature has only sentences at the bias.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model = model
         self.base = math.log1p(math.exp(model.bias))
-
-    def _weights(self, words: set[str]) -> dict[str, float]:
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for word in words:
-            if word not in known:
-                known[word] = self.model.word_weight(word)
-        return known
+        self.starts = {f.rstrip("-")[: PREFIXES[0]] for f in model.weights}
 
     def spans(self, text: str) -> list[tuple[int, int, float]]:
-        """Sentences with their log odds."""
-        found = []
+        """Sentences with their log odds; a feature counts once in a sentence, as in the fit."""
+        weights, found = self.model.weights, []
         for a, b in sentences(text):
-            words = set(_WORD.findall(text[a:b].lower()))
-            # one feature counts once in a sentence, as in the fit
-            told = {f for word in words if self._weights(words)[word] for f in features(word)}
-            found.append((a, b, self.model.bias + sum(self.model.weights.get(f, 0.0) for f in told)))
+            words = [w for w in _WORD.findall(text[a:b].lower()) if w[: PREFIXES[0]] in self.starts]
+            told = {f for word in words for f in features(word) if f in weights}
+            found.append((a, b, self.model.bias + sum(map(weights.__getitem__, sorted(told)))))
         return found
 
     def score(self, text: str) -> float:
-        words = set(_WORD.findall(text.lower()))
+        words = _WORD.findall(text.lower())
         if not words:
             return 0.0
-        known = self._weights(words)
-        if any(map(known.__getitem__, words)):
-            risk = sum(max(z, 0) + math.log1p(math.exp(-abs(z))) for _, _, z in self.spans(text))
+        if self.starts.isdisjoint({w[: PREFIXES[0]] for w in words}):
+            risk = self.base * len(_WORDED.findall(text))
         else:
-            risk = self.base * len(sentences(text))
+            risk = sum(max(z, 0) + math.log1p(math.exp(-abs(z))) for _, _, z in self.spans(text))
         return -math.expm1(-risk)
 
 
