@@ -7,9 +7,10 @@ weight; so a shortage leaves a family only when all of it is exhausted.  A leaf'
 budget is a number of whole epochs and a rest, which takes the prefix of the next
 epoch's seeded order.
 
-Budgets are whole numbers.  Only totals per leaf and order bucket are windowed, and
-then the rows of the one bucket where the prefix ends, so the largest leaf is never
-sorted.  The outcome per leaf is two numbers, so documents are chosen where they are read.
+Budgets are whole numbers.  The order is cut into 256 buckets by its first digits; only
+totals per leaf and bucket are windowed, then the bucket where the prefix ends is cut
+again, three times in all, so the largest leaf is never sorted.  The outcome per leaf
+is two numbers, so documents are chosen where they are read.
 
 Cases: null levels are a leaf of their own; null text has no tokens; a leaf without
 tokens gives nothing; rows with equal id and text have one place in the order and
@@ -29,8 +30,9 @@ from pyspark.sql.window import Window
 
 from stayline.staging import stage
 
-#: Hexadecimal digits of an order, and of the bucket it begins with.
-ORDER_DIGITS, BUCKET_DIGITS = 15, 4
+#: Hexadecimal digits of an order; the bucket in which a prefix ends is narrowed down by
+#: STEP_DIGITS at a time, so no window sees more than 16 ** STEP_DIGITS buckets of a leaf.
+ORDER_DIGITS, STEP_DIGITS, NARROWED_DIGITS = 15, 2, 6
 WIDE = "decimal(38,0)"
 
 
@@ -78,14 +80,15 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     own = _own(mix)
     given = leaves.withColumn("capacity", F.col("tokens").cast(WIDE) * mix.max_epochs)
     asked = F.floor(F.sum("tokens").cast(WIDE) * mix.share / 100).cast(WIDE)
-    above = given.agg(F.least(asked, F.sum("capacity")).cast(WIDE).alias("budget")).withColumn("__root", F.lit(0))
-    keys = ["__root"]
+    root = given.agg(F.least(asked, F.sum("capacity")).cast(WIDE)).scalar()
+    above, keys = None, ["__root"]
     for depth in range(1, len(own) + 1):
         path = own[:depth]
         pairs = [F.lit(x) for name, weight in mix.weights.items() if name.count("/") == depth - 1 for x in (name, weight)]
         told = F.try_element_at(F.create_map(*pairs), _path(path)) if pairs else F.lit(None).cast("int")
         nodes = given.groupBy(F.lit(0).alias("__root"), *path).agg(F.sum("capacity").cast(WIDE).alias("capacity"))
-        nodes = nodes.withColumn("weight", F.coalesce(told, F.lit(mix.default)).cast(WIDE)).join(above, keys)
+        nodes = nodes.withColumn("weight", F.coalesce(told, F.lit(mix.default)).cast(WIDE))
+        nodes = nodes.join(above, keys) if above is not None else nodes.withColumn("budget", root)
         # siblings run dry in the order of capacity by weight; the first that does not sets the level for the rest
         ratio = F.when(F.col("weight") == 0, F.lit(float("inf"))).otherwise(F.col("capacity") / F.col("weight"))
         family = Window.partitionBy(*keys).orderBy("ratio", *path)
@@ -111,19 +114,23 @@ def cuts(measured: DataFrame, mix: Mix) -> DataFrame:
     epochs = F.when(F.col("tokens") > 0, F.floor(F.try_divide("budget", "tokens"))).otherwise(0).cast("long")
     shares = shares.withColumn("epochs", epochs).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     shares = stage(shares)
-    placed = measured.join(shares.where("rest > 0").select(*own, "epochs", "rest"), own)
-    placed = placed.withColumn("place", _order(mix, "epochs", "fingerprint"))
-    placed = placed.withColumn("bucket", F.shiftright("place", 4 * (ORDER_DIGITS - BUCKET_DIGITS)))
+    asked = shares.where("rest > 0").select(*own, "epochs", "rest")
+    placed = measured.join(asked, own).withColumn("place", _order(mix, "epochs", "fingerprint"))
+    placed = stage(placed.select(*own, "rest", "tokens", "place", F.lit(0).cast("long").alias("so_far")))
 
     def before(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumn("before", F.coalesce(F.sum("tokens").over(window), F.lit(0)))
-
-    totals = placed.groupBy(*own, "rest", "bucket").agg(F.sum("tokens").alias("tokens"))
-    ends = before(totals, own, "bucket").where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("tokens")))
-    ends = stage(ends.select(*own, "bucket", F.col("before").alias("so_far")))
-    last = placed.join(ends, [*own, "bucket"]).groupBy(*own, "rest", "so_far", "place").agg(F.sum("tokens").alias("tokens"))
-    inside = before(last, own, "place").where(F.col("so_far") + F.col("before") < F.col("rest"))
+        return rows.withColumn("before", F.col("so_far") + F.coalesce(F.sum("tokens").over(window), F.lit(0)))
+
+    for digits in range(STEP_DIGITS, NARROWED_DIGITS + 1, STEP_DIGITS):
+        bucket = F.shiftright("place", 4 * (ORDER_DIGITS - digits))
+        placed = placed.withColumn("bucket", bucket)
+        totals = placed.groupBy(*own, "rest", "so_far", "bucket").agg(F.sum("tokens").alias("tokens"))
+        ends = before(totals, own, "bucket").where(F.col("before") < F.col("rest"))
+        ends = stage(ends.where(F.col("rest") <= F.col("before") + F.col("tokens")).select(*own, "bucket", "before"))
+        placed = placed.join(ends, [*own, "bucket"]).select(*own, "rest", "tokens", "place", F.col("before").alias("so_far"))
+    last = placed.groupBy(*own, "rest", "so_far", "place").agg(F.sum("tokens").alias("tokens"))
+    inside = before(last, own, "place").where(F.col("before") < F.col("rest"))
     found = inside.groupBy(*own).agg((F.max("place") + 1).alias("cut"))
     return shares.join(found, own, "left").select(*own, "epochs", F.coalesce("cut", F.lit(0)).alias("cut"))
 
