@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 #: Characters of one encoded segment, texts of one Arrow batch, matches a worker remembers.
 SEGMENT_CHARS = 65_536
 TEXTS_AT_ONCE = 64
-KNOWN_MATCHES = 200_000
+KNOWN_MATCHES = 400_000
 #: Blocks whose code points all have a class; a text of these alone needs no second look.
 _SETTLED = re.compile(r"[^\x00-\u024f\u2010-\u2027\u20a0-\u20bf]")
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -118,6 +119,14 @@ def segments(text: str) -> list[str]:
     return [*parts, text[start:]]
 
 
+def _encoded(model, words: list[str]) -> Iterator[tuple[int, ...]]:
+    """Ids of each word; the library gets them as one text that is already split."""
+    found = model.encode(words, is_pretokenized=True, add_special_tokens=False)
+    ids = found.ids
+    ends = np.cumsum(np.bincount(found.word_ids, minlength=len(words))).tolist()
+    return (tuple(ids[a:b]) for a, b in zip([0, *ends], ends))
+
+
 def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[list[int]]:
     """Ids of each text; the library is asked once for a match that occurs again and again."""
     model, _, matches = load(path, pattern)
@@ -126,12 +135,11 @@ def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[list[int
         ids: list[int] = []
         for part in segments(text):
             words = matches(part)
-            if missing := [w for w in {*words} if w not in known]:
-                if len(known) > KNOWN_MATCHES:
-                    known.clear()
-                    missing = list({*words})
-                found = model.encode_batch_fast(missing, add_special_tokens=False)
-                known.update(zip(missing, (tuple(one.ids) for one in found), strict=True))
+            different = {*words}
+            if len(known) > KNOWN_MATCHES:
+                known.clear()
+            if missing := list(different.difference(known)):
+                known.update(zip(missing, _encoded(model, missing), strict=True))
             ids.extend(chain.from_iterable(map(known.__getitem__, words)))
             if len(part) > SEGMENT_CHARS * 4:
                 known.clear()
