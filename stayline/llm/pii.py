@@ -15,8 +15,8 @@ Only narrow rows (hashed contexts of identifier-like tokens) are shuffled.  An
 instance or a pattern that a third of all documents hold is met by sums with a
 map-side combine over different (pattern, instance) pairs.
 
-Cases: null text counts as empty and holds nothing; a very long text is one row and
-its memory follows its length; repeated rows get equal spans and count as one text
+Cases: null text counts as empty and holds nothing; a very long text gives several
+rows of identifiers, so what a task holds follows the text and not their number; repeated rows get equal spans and count as one text
 for evidence; an empty table gives an empty result; ``redact`` keeps all columns and
 sets ``n_chars``, where there is one, to the new length.
 """
@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import pandas as pd
 import pyarrow as pa
@@ -49,6 +50,8 @@ _DIGIT = re.compile(r"[0-9]")
 LEAST_CHARS, LEAST_DIGITS = 6, 4
 #: Words on either side that tell how common a pattern is, and characters looked through for them.
 AROUND, REACH = 8, 400
+#: Identifiers and candidates of a text in one row.
+MARKS_A_ROW = 1_000
 
 
 @dataclass(frozen=True)
@@ -157,13 +160,16 @@ def _surroundings(text: str, a: int, b: int) -> tuple[list[tuple[int, str]], lis
 
 
 SCHEMA = (
-    "counts array<long>, base string, "
+    "part int, counts array<long>, base string, "
     "marks array<struct<start:int,end:int,kind:int,instance:long,patterns:array<struct<pattern:long,wording:string>>,others:array<long>>>"
 )
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: key, base spans, and identifiers and candidates (kind -1) with their contexts."""
+    """One pass over the texts: key, base spans, and identifiers and candidates (kind -1) with their contexts.
+
+    A text with very many of them takes several rows; counts and base spans are in part 0.
+    """
     mark = pa.struct(
         [
             ("start", pa.int32()),
@@ -175,35 +181,50 @@ def scan(docs: DataFrame) -> DataFrame:
         ]
     )
 
-    def marks_of(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-        found = []
-        for a, b, kind in [*((a, b, kind) for a, kind, b in spans), *((a, b, -1) for a, b in _candidates(text, spans))]:
+    def marks_of(text: str, spans: list[tuple[int, int, int]]) -> Iterator[dict]:
+        seeds = ((a, b, kind) for a, kind, b in spans)
+        for a, b, kind in chain(seeds, ((a, b, -1) for a, b in _candidates(text, spans))):
             patterns, others = _surroundings(text, a, b)
-            found.append(
-                {
-                    "start": a,
-                    "end": b,
-                    "kind": kind,
-                    "instance": _hash("i", [text[a:b].lower()]),
-                    "patterns": [{"pattern": h, "wording": w} for h, w in patterns],
-                    "others": others,
-                }
-            )
-        return found
+            yield {
+                "start": a,
+                "end": b,
+                "kind": kind,
+                "instance": _hash("i", [text[a:b].lower()]),
+                "patterns": [{"pattern": h, "wording": w} for h, w in patterns],
+                "others": others,
+            }
+
+    def rows_of(text: str) -> Iterator[tuple]:
+        spans = base_spans(text)
+        counts = [sum(kind == k for _, kind, _ in spans) for k in range(len(KINDS))]
+        marks = marks_of(text, spans) if spans or _DIGIT.search(text) else iter(())
+        yield 0, counts, written(spans), list(islice(marks, MARKS_A_ROW))
+        part = 0
+        while more := list(islice(marks, MARKS_A_ROW)):
+            part += 1
+            yield part, None, None, more
 
     def scanned(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for at in range(0, part.num_rows, 512):
-                few = part.slice(at, 512)
-                counts, base, marks = [], [], []
-                for text in few.column(few.num_columns - 1).to_pylist():
-                    text = text or ""
-                    spans = base_spans(text)
-                    counts.append([sum(kind == k for _, kind, _ in spans) for k in range(len(KINDS))])
-                    base.append(written(spans))
-                    marks.append(marks_of(text, spans) if spans or _DIGIT.search(text) else [])
-                columns = [*few.columns[:-1], pa.array(counts, pa.list_(pa.int64())), pa.array(base), pa.array(marks, pa.list_(mark))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "text_key2", "counts", "base", "marks"])
+        for batch in parts:
+            texts = batch.column(batch.num_columns - 1)
+            found: list[tuple] = []
+            held = 0
+            for place in range(batch.num_rows):
+                for row in rows_of(texts[place].as_py() or ""):
+                    found.append((place, *row))
+                    held += 1 + len(row[-1])
+                    if held >= 4 * MARKS_A_ROW:
+                        yield packed(batch, found)
+                        found, held = [], 0
+            if found:
+                yield packed(batch, found)
+
+    def packed(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        places, part, counts, base, marks = zip(*found, strict=True)
+        keys = [column.take(pa.array(places)) for column in batch.columns[:-1]]
+        told = [pa.array(part, pa.int32()), pa.array(counts, pa.list_(pa.int64())), pa.array(base, pa.string())]
+        names = ["doc_id", "text_key", "text_key2", "part", "counts", "base", "marks"]
+        return pa.RecordBatch.from_arrays([*keys, *told, pa.array(marks, pa.list_(mark))], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", *_text_keys(), "text")
@@ -267,7 +288,7 @@ def find(docs: DataFrame, bootstrap: Bootstrap = Bootstrap()) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found) of every document."""
     scanned = stage(scan(docs))
     extra = stage(found_spans(scanned, bootstrap))
-    rows = scanned.select("doc_id", "text_key", "text_key2", "counts", "base").join(extra, ["text_key", "text_key2"], "left")
+    rows = scanned.where("part = 0").select("doc_id", "text_key", "text_key2", "counts", "base").join(extra, ["text_key", "text_key2"], "left")
     names = F.array(*(F.lit(k) for k in KINDS))
     told = F.array_sort(
         F.concat(

@@ -82,6 +82,14 @@ def test_redact(spark):
     assert pii.redact(frame(spark, [])).count() == 0 and pii.find(frame(spark, [])).count() == 0
 
 
+def test_very_many_identifiers_in_one_text(spark):
+    text = " ".join(f"a{k}@mail.org AB-{100000 + k}" for k in range(3000))
+    docs = frame(spark, [(1, text), (2, "AB-1234567")])
+    assert pii.scan(docs).where("doc_id = 1").count() == 6
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert len(got) == 2 and got[1].n_email == 3000 and got[2].spans == ""
+
+
 def test_masks_join_overlaps():
     assert pii.masked("a 1.2.3.4 b", [(2, 1, 9)]) == "a [IP] b"
     assert pii.masked("+1.2.3.456", [(0, 3, 10), (1, 1, 8)]) == "[PHONE]"
