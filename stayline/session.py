@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "stayline", master: str | None = None, **conf: str) -> SparkSession:
     """Return a session with adaptive execution, skew handling and UTC on.
 
-    Operators do not depend on these: timestamps are TIMESTAMP_NTZ, hot keys are
-    split explicitly.  On a cluster leave ``master`` unset, and size
+    Results do not depend on these: timestamps are TIMESTAMP_NTZ.  Adaptive skew
+    handling is what splits heavy users in joins.  On a cluster leave ``master`` unset, and size
     ``spark.sql.shuffle.partitions`` to about 2-3x the cores; adaptive execution
     coalesces what is too fine.
     """
