@@ -97,10 +97,11 @@ def _value_spans(log: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     return (
         known_users(log)
+        .withColumn("_at", _moment())
         .groupBy("userId", *cols)
         .agg(
-            F.min(_moment()).alias("from"),
-            F.max(_moment()).alias("to"),
+            F.min("_at").alias("from"),
+            F.max("_at").alias("to"),
             F.max("ts").alias("to_ts"),
         )
     )
@@ -180,9 +181,9 @@ def user_aggregates(
     profile = ("gender", "registration", "level", "userAgent")
     counted = [c for c in required if c not in profile]
     events = known_users(log)
-    folded = events.groupBy("userId", *profile).agg(
-        F.min(_moment()).alias("_from"),
-        F.max(_moment()).alias("_to"),
+    folded = events.withColumn("_at", _moment()).groupBy("userId", *profile).agg(
+        F.min("_at").alias("_from"),
+        F.max("_at").alias("_to"),
         F.max("ts").alias("_to_ts"),
         F.count("song").alias("_songs"),
         F.sum("length").alias("_length"),
