@@ -191,7 +191,29 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def op7_knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector at cosine 0.9."""
-    return knn_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    found = knn_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+LLM_ORACLES["op7_knn_graph"] = """
+WITH RECURSIVE vectors AS MATERIALIZED (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(node, other) AS (
+    SELECT a, b FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a
+), named AS (
+    SELECT node, least(node, min(other)) AS component_id FROM reach GROUP BY node
+), counted AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN named ON named.node = vec_id LEFT JOIN counted ON counted.a = vec_id
+"""
 
 
 def domain_of() -> Column:
