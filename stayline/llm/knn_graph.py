@@ -8,8 +8,9 @@ been computed in double precision.
 
 A list whose entries all reach the threshold is saturated and may hide more.  It is
 enlarged to everything its saturated region hangs together with: the members meet in
-blocks of bounded size and every pair is compared exactly.  Links between lists that
-are not saturated are verified one by one.
+blocks of bounded size and every pair is compared exactly.  Its lists may hide another
+region as well, so two regions also meet whole wherever their mean directions and
+widest angles allow a link.  Other links are verified one by one.
 
 Recall is audited: the links of a bounded set of queries, drawn by a hash, are counted
 against all vectors, and refinement goes on until the audit reaches ``recall``.
@@ -36,6 +37,9 @@ from stayline.llm.blocks import in_blocks, local_components, whole_groups
 from stayline.llm.graphs import components
 from stayline.staging import stage
 
+#: Added to angles that decide what meets, so that rounding never keeps a link apart.
+SLACK = 1e-6
+
 
 @dataclass(frozen=True)
 class Descent:
@@ -221,32 +225,24 @@ def _vectors(classes: DataFrame) -> DataFrame:
     return classes.select("node", "dim", "v", "copies")
 
 
-def exact_links(lists: DataFrame, classes: DataFrame, descent: Descent) -> DataFrame:
-    """(node, linked, smallest): copies linked with in a block or by a pair, and a smaller node it hangs together with."""
-    near = lists.where(F.col("similarity") >= descent.threshold - descent.margin)
-    full = near.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= descent.k).select(F.col("node").alias("full"))
-    edges = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    marked = edges.join(full.withColumnRenamed("full", "a").withColumn("a_full", F.lit(True)), "a", "left")
-    marked = stage(marked.join(full.withColumnRenamed("full", "b").withColumn("b_full", F.lit(True)), "b", "left"))
-    dense = F.coalesce("a_full", "b_full", F.lit(False))
-    regions = stage(components(marked.where(dense).select("a", "b")))
+FOUND = "node long, linked long, smallest long"
 
-    sizes = regions.groupBy("component").agg(F.count("*").alias("members"))
-    members = regions.join(sizes, "component").join(_vectors(classes), "node")
-    blocks = in_blocks(members, "node", "members", descent.block)
-    blocks = blocks.select("component", "low", "high", "node", "side", "dim", "copies", "v")
-    blocks = blocks.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "side", "node")
 
-    def within(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, group in whole_groups(parts, 3, 1_024):
+def _links(blocks: DataFrame, keys: list[str], threshold: float, across: bool) -> DataFrame:
+    """What ``exact_links`` returns, from the pairs of each group of ``keys``; ``across``: only those of the two sides."""
+
+    def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(parts, len(keys), 1_024):
             nodes, side, copies, dims = (table.column(c).to_numpy() for c in ("node", "side", "copies", "dim"))
             linked, label = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
             bounds = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                u = unit(_stack(table.column("v").slice(a, b - a), dims[a]))
                 split = a + int((side[a:b] == 0).sum())
+                if across and split in (a, b):
+                    continue
+                u = unit(_stack(table.column("v").slice(a, b - a), dims[a]))
                 left, right = (np.arange(a, split), np.arange(split, b)) if split < b else (np.arange(a, b),) * 2
-                linked_here = u[left - a] @ u[right - a].T >= descent.threshold
+                linked_here = u[left - a] @ u[right - a].T >= threshold
                 if split == b:
                     np.fill_diagonal(linked_here, False)
                     linked[left] += linked_here @ copies[left]
@@ -259,10 +255,117 @@ def exact_links(lists: DataFrame, classes: DataFrame, descent: Descent) -> DataF
             columns = [pa.array(x[some]) for x in (nodes, linked, nodes[label])]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "linked", "smallest"])
 
-    schema = "node long, linked long, smallest long"
+    rows = blocks.select(*keys, "node", "side", "dim", "copies", "v")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "side", "node").mapInArrow(meet, FOUND)
+
+
+def links_within(members: DataFrame, descent: Descent) -> DataFrame:
+    """Every pair of each component; rows hold component, members (their number), node, dim, v and copies."""
+    return _links(in_blocks(members, "node", "members", descent.block), ["component", "low", "high"], descent.threshold, False)
+
+
+def balls(members: DataFrame) -> DataFrame:
+    """(component, dim, members, centre, radius): the mean direction of each component and the widest angle from it."""
+
+    def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(parts, 1, 1_024):
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            ends = np.append(first[1:], len(group))
+            dims = table.column("dim").to_numpy()[first]
+            totals = [unit(_stack(table.column("v").slice(a, b - a), d)).sum(0) for a, b, d in zip(first, ends, dims, strict=True)]
+            columns = [table.column("component").take(pa.array(first)).combine_chunks(), pa.array(totals, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["component", "total"])
+
+    rows = members.select("component", "dim", "v", "node").repartitionByRange("component", "node").sortWithinPartitions("component")
+    totals = rows.mapInArrow(summed, "component long, total array<double>").select("component", F.posexplode("total").alias("at", "x"))
+    totals = totals.groupBy("component", "at").agg(F.sum("x").alias("x")).groupBy("component")
+    centres = totals.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda c: c["x"]).alias("centre"))
+    # vectors that cancel each other out have no mean direction: any will do
+    centres = stage(centres.withColumn("centre", F.when(F.exists("centre", lambda x: F.abs(x) > 1e-9), F.col("centre")).otherwise(F.transform("centre", lambda x: F.lit(1.0)))))
+    angles = _angles(members.join(centres, "component").select("component", "members", "dim", "v", "centre"), ["component", "members"])
+    return angles.groupBy("component", "dim", "members").agg(F.max("angle").alias("radius")).join(centres, "component")
+
+
+def _angles(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without ``centre``, but with the angle between it and ``v``."""
+    kept = [*keys, "dim", "v"]
+
+    def measure(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            lengths = part.column(len(keys)).to_numpy()
+            for dim in np.unique(lengths):
+                few = part.filter(pa.array(lengths == dim))
+                u, w = (unit(_stack(few.column(len(keys) + k), dim)) for k in (1, 2))
+                angle = pa.array(np.arccos(np.clip((u * w).sum(1), -1, 1)))
+                yield pa.RecordBatch.from_arrays([*few.columns[:-1], angle], names=[*kept, "angle"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
+    return rows.select(*kept, "centre").mapInArrow(measure, f"{schema}, angle double")
+
+
+def close_balls(found: DataFrame, descent: Descent) -> DataFrame:
+    """(one, two): the pairs of components, ``one`` smaller, of which some members could be linked."""
+    reach = float(np.arccos(descent.threshold)) + SLACK
+
+    def close(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(parts, 3, 1_024):
+            names, radius, side = (table.column(c).to_numpy() for c in ("component", "radius", "side"))
+            bounds = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                u = unit(_stack(table.column("centre").slice(a, b - a), int(table.column("dim")[int(a)].as_py())))
+                angle = np.arccos(np.clip(u @ u.T, -1, 1))
+                near = angle <= radius[a:b, None] + radius[None, a:b] + reach
+                split = int((side[a:b] == 0).sum())
+                i, j = np.nonzero(near[:split, split:] if split < b - a else np.triu(near, 1))
+                one, two = names[a + i], names[a + j + (split if split < b - a else 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["one", "two"])
+
+    counted = found.join(found.groupBy("dim").agg(F.count("*").alias("balls")), "dim")
+    met = in_blocks(counted, "component", "balls", descent.block).select("dim", "low", "high", "side", "component", "radius", "centre")
+    met = met.repartition("dim", "low", "high").sortWithinPartitions("dim", "low", "high", "side", "component")
+    return met.mapInArrow(close, "one long, two long")
+
+
+def links_across(members: DataFrame, descent: Descent) -> DataFrame:
+    """Every link between members of different components.
+
+    Two components meet only if their balls allow a link, and of each only the members
+    that the other's ball allows one; by the triangle inequality of angles none is lost.
+    """
+    found = stage(balls(members))
+    close = stage(close_balls(found, descent))
+    if close.isEmpty():
+        return members.sparkSession.createDataFrame([], FOUND)
+    reach = float(np.arccos(descent.threshold)) + SLACK
+    sides = []
+    for side, (own, other) in enumerate((("one", "two"), ("two", "one"))):
+        away = found.select(F.col("component").alias(other), "centre", "radius", F.col("members").alias("others"))
+        rows = members.withColumnRenamed("component", own).join(close.join(away, other), own)
+        keys = ["one", "two", "node", "copies", "members", "others", "radius"]
+        rows = _angles(rows.select(*keys, "dim", "v", "centre"), keys).where(F.col("angle") <= F.col("radius") + reach)
+        n, m = (F.ceil(F.col(c) / descent.block).cast("int") for c in ("members", "others"))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), n).cast("int"))
+        rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), m - 1)))
+        low, high = ("own", "met") if side == 0 else ("met", "own")
+        sides.append(rows.select("one", "two", F.col(low).alias("low"), F.col(high).alias("high"), F.lit(side).alias("side"), "node", "dim", "copies", "v"))
+    return _links(sides[0].unionByName(sides[1]), ["one", "two", "low", "high"], descent.threshold, True)
+
+
+def exact_links(lists: DataFrame, classes: DataFrame, descent: Descent) -> DataFrame:
+    """(node, linked, smallest): copies linked with in a block or by a pair, and a smaller node it hangs together with."""
+    near = lists.where(F.col("similarity") >= descent.threshold - descent.margin)
+    full = near.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= descent.k).select(F.col("node").alias("full"))
+    edges = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    marked = edges.join(full.withColumnRenamed("full", "a").withColumn("a_full", F.lit(True)), "a", "left")
+    marked = stage(marked.join(full.withColumnRenamed("full", "b").withColumn("b_full", F.lit(True)), "b", "left"))
+    dense = F.coalesce("a_full", "b_full", F.lit(False))
+    regions = stage(components(marked.where(dense).select("a", "b")))
+
+    sizes = regions.groupBy("component").agg(F.count("*").alias("members"))
+    members = stage(regions.join(sizes, "component").join(_vectors(classes), "node"))
     one, two = (regions.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")) for c in "ab")
     apart = marked.where(~dense).join(one, "a", "left").join(two, "b", "left")
-    apart = apart.where(F.coalesce(F.col("in_a") != F.col("in_b"), F.lit(True))).select("a", "b")
+    apart = apart.where(F.col("in_a").isNull() | F.col("in_b").isNull()).select("a", "b")  # within and across regions all pairs meet
     ends = [_vectors(classes).select(F.col("node").alias(c), F.col("v").alias(f"v_{c}"), F.col("copies").alias(f"n_{c}")) for c in "ab"]
     pairs = apart.join(ends[0], "a").join(ends[1], "b").where(F.size("v_a") == F.size("v_b"))
 
@@ -277,8 +380,8 @@ def exact_links(lists: DataFrame, classes: DataFrame, descent: Descent) -> DataF
                 columns = [np.concatenate(x) for x in ((a, b), (n, m), (a, a))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["node", "linked", "smallest"])
 
-    sparse = pairs.select("a", "b", "v_a", "v_b", "n_a", "n_b").mapInArrow(between, schema)
-    return blocks.mapInArrow(within, schema).unionByName(sparse)
+    sparse = pairs.select("a", "b", "v_a", "v_b", "n_a", "n_b").mapInArrow(between, FOUND)
+    return links_within(members, descent).unionByName(links_across(members, descent)).unionByName(sparse)
 
 
 def audit(classes: DataFrame, found: DataFrame, descent: Descent) -> float:

@@ -65,6 +65,28 @@ def test_links_and_components_equal_brute_force(spark, descent):
     assert got[0].recall >= 0.98
 
 
+def clumps():
+    """Two clumps of 30, about 0.98 inside and 0.93 across, and a third that only touches the second."""
+    rng = np.random.default_rng(11)
+    axes = np.linalg.qr(rng.normal(size=(32, 32)))[0]
+    apart = np.arccos(0.949)
+    rows = []
+    for n in range(3):
+        for _ in range(30):
+            noise = rng.normal(size=32)
+            rows.append(np.cos(n * apart) * axes[0] + np.sin(n * apart) * axes[1] + 0.143 * noise / np.linalg.norm(noise))
+    rows += [rng.normal(size=32) for _ in range(100)]
+    return [(k, [float(x) for x in v]) for k, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_clumps_that_fill_each_others_lists_are_linked(spark, block):
+    rows = clumps()
+    got = kg.near_duplicates(frame(spark, rows), kg.Descent(block=block)).collect()
+    assert told(got) == brute(rows)
+    assert max(links for _, links, _ in brute(rows)) >= 59
+
+
 def test_audit_sees_missing_links(spark):
     rows = corpus()
     classes = kg.stage(kg.classes_of(frame(spark, rows)))
