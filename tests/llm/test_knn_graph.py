@@ -95,6 +95,24 @@ def test_audit_sees_missing_links(spark):
     assert kg.audit(classes.limit(0), none, kg.Descent()) == 1
 
 
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    rng = np.random.default_rng(5)
+    centres = [rng.normal(size=32)] * 80 + [x for x in rng.normal(size=(10, 32)) for _ in range(2)]
+    rows = [(k, [float(x) for x in centre + 0.05 * rng.normal(size=32)]) for k, centre in enumerate(centres)]
+    classes = kg.stage(kg.classes_of(frame(spark, rows)))
+    everything = kg.all_links(classes, kg.Descent(block=8)).groupBy("node").sum("linked").toDF("node", "linked")
+    assert kg.audit(classes, everything, kg.Descent()) == 1
+    assert kg.audit(classes, everything.where("linked > 1"), kg.Descent()) == 0
+
+
+def test_all_vectors_meet_where_the_turns_do_not_suffice(spark):
+    rows = corpus()
+    descent = kg.Descent(k=1, tables=1, cell=2, rounds=0, more_rounds=0, told=1)
+    got = kg.near_duplicates(frame(spark, rows), descent).collect()
+    assert told(got) == brute(rows)
+    assert got[0].recall == 1
+
+
 def test_empty_and_unusable_tables(spark):
     assert kg.near_duplicates(frame(spark, [])).count() == 0
     got = kg.near_duplicates(frame(spark, [(1, None), (2, [0.0])])).collect()
