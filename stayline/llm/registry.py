@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import archive, bpe, chat, knn_graph, line_rules, mixing, ngram_join, pii, toxicity, wrappers
+from stayline.llm import archive, bpe, chat, hard_negatives, knn_graph, line_rules, mixing, ngram_join, pii, substrings, toxicity, variants, wrappers
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -304,3 +304,116 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every whole text."""
     return pii.find(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector; labels of every seventh are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+LLM_ORACLES["op11_hard_negatives"] = """
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@_registered
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that no earlier window of 20 words covers."""
+    found = substrings.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LLM_ORACLES["op12_substring_dedup"] = r"""
+WITH texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+    FROM documents
+), windows AS MATERIALIZED (
+    SELECT r, doc_id, i, md5(list_aggregate(ws[i:i + 19], 'string_agg', ' ')) AS print
+    FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM texts WHERE len(ws) >= 20)
+), later AS (
+    SELECT r, i FROM windows QUALIFY rank() OVER (PARTITION BY print ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT r, list(DISTINCT p) AS places FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM later) GROUP BY r
+), words AS (
+    SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM texts WHERE r IN (SELECT r FROM gone)
+), removed AS (
+    SELECT r, unnest(places) AS p FROM gone
+), cut AS (
+    SELECT words.r, string_agg(w, ' ' ORDER BY words.p) AS kept
+    FROM words ANTI JOIN removed ON words.r = removed.r AND words.p = removed.p GROUP BY words.r
+)
+SELECT doc_id, len(ws) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone.r IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM texts LEFT JOIN gone ON gone.r = texts.r LEFT JOIN cut ON cut.r = texts.r
+"""
+
+
+@_registered
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one run in 31 garbled, with the word that each is a variant of."""
+    return variants.group_variants(_table(spark, sf_dir, "documents"), variants.Spelling(garble=31))
+
+
+LLM_ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE bits(i, k, c) AS (
+    SELECT i, 0, CAST(i AS BIGINT) FROM range(256) t(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), steps AS MATERIALIZED (
+    SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8
+), runs AS MATERIALIZED (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents WHERE text IS NOT NULL)
+    WHERE length(run) >= 7 GROUP BY ALL
+), prints AS (
+    SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM runs
+), lots AS (
+    SELECT run, n, xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(hx), 2), lambda p: CAST('0x' || substr(hx, p, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, step[1 + (xor(c, b) & 255)])), 4294967295) AS lot
+    FROM prints, steps
+), garbled AS (
+    SELECT CASE WHEN lot % 31 = 0 THEN left(run, lot % length(run)) || substr(run, lot % length(run) + 2) ELSE run END AS word, n FROM lots
+), words AS MATERIALIZED (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM garbled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS MATERIALIZED (
+    SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest FROM (SELECT *, unnest(range(0, length(word))) AS p FROM words)
+), near AS MATERIALIZED (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS form_n, min(other) FILTER (other_n = most) AS form
+    FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word
+), formed AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), walk(word, here) AS (
+    SELECT word, word FROM formed
+    UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.here WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT walk.word, walk.here AS root FROM walk JOIN formed ON formed.word = walk.here WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
