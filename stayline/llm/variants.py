@@ -44,6 +44,10 @@ class Spelling:
     garble: int = 0
     most: int = 512
 
+    def __post_init__(self) -> None:
+        if self.times < 2:
+            raise ValueError("a form must occur more often than its variant, or forms could lead round in a circle")
+
 
 def _rows_of_the_matrix() -> dict[tuple[int, int, int], list[tuple[int, int, int] | None]]:
     """The row after each row, by which of the three characters beside it agree (bits 0 to 2); None beyond one edit.

@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, db, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in LLM_REGISTERED) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_REGISTERED) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op4_toxicity", "op6_main_text", "op7_knn_graph", "op9_bpe", "op10_pii"])
