@@ -6,13 +6,16 @@
     python -m stayline.jobs score     --features features/ --model model/ --scores scores/
     python -m stayline.jobs pages     --log logs/
     python -m stayline.jobs ingest    --source incoming/ --log parsed/ --state state/
+    python -m stayline.jobs fold      --source incoming/ --store users/ --state state/
+    python -m stayline.jobs compact   --store users/ --before 2024-01-01
+    python -m stayline.jobs featurize --log users/ --log-format state --features features/
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +26,11 @@ from stayline.operators.metrics import pr_curve
 from stayline.operators.splitting import stratified_split
 from stayline.operators.summaries import churn_distribution, distinct_pages
 from stayline.plans import featurize as feat
-from stayline.plans import model_search, scoring, training
+from stayline.plans import incremental, model_search, scoring, training
 from stayline.plans.monitoring import append_metrics, append_parameters, append_scores
 from stayline.session import build_session
 from stayline.sources.tables import (
+    MalformedInput,
     MissingInput,
     load_levels,
     read_activity_log,
@@ -37,24 +41,29 @@ from stayline.sources.tables import (
     write_features,
 )
 from stayline.staging import run, stage
-from stayline.streaming.ingest import ingest_new_logs
+from stayline.streaming.ingest import ingest_new_logs, ingest_state
 
 
 def _log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.log_format == "parsed":
         return read_parsed_log(spark, args.log)
-    return read_activity_log(spark, args.log, args.log_format)
+    return read_activity_log(spark, args.log, args.log_format, args.quarantine, args.bad_share)
 
 
 def featurize(spark: SparkSession, args: argparse.Namespace) -> None:
     known = load_levels(spark, args.use_levels) if args.use_levels else None
-    table, levels = feat.featurize(
-        _log(spark, args),
-        timedelta(days=args.days),
-        ua_mode=args.agents,
-        levels=known,
-        require_churn=not args.allow_no_churn,
-    )
+    if args.log_format == "state":
+        state = incremental.read_state(spark, args.log, args.until)
+        users = stage(incremental.user_features(state, timedelta(days=args.days), args.agents))
+        table, levels = feat.encoded(users, known, not args.allow_no_churn)
+    else:
+        table, levels = feat.featurize(
+            _log(spark, args),
+            timedelta(days=args.days),
+            ua_mode=args.agents,
+            levels=known,
+            require_churn=not args.allow_no_churn,
+        )
     table = stage(table)
     if table.isEmpty():
         print("no churned users were found; the log may be too sparse; nothing written")
@@ -131,6 +140,16 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"{ingest_new_logs(spark, args.source, args.log, args.state)} events added")
 
 
+def fold(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"{len(ingest_state(spark, args.source, args.store, args.state))} batches added")
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"all batches are now {incremental.compact(spark, args.store, args.before)}")
+    if args.clean:
+        incremental.clean(spark, args.store)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="stayline.jobs")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -146,12 +165,17 @@ def parser() -> argparse.ArgumentParser:
         "log-format",
         {"default": "json", "choices": ["json", "parquet", "orc", "parsed"]},
     )
+    with_state = ("log-format", {**log_format[1], "choices": [*log_format[1]["choices"], "state"]})
+    day = {"default": None, "type": date.fromisoformat}
+    broken = (("quarantine", optional), ("bad-share", {"type": float, "default": 0.0}))
     table_format = ("format", {"default": "parquet", "choices": ["parquet", "csv"]})
     trees = ("trees", {"type": int, "default": 100})
     job(
         featurize,
         ("log", needed),
-        log_format,
+        with_state,
+        ("until", day),
+        *broken,
         ("features", needed),
         table_format,
         ("levels", optional),
@@ -194,7 +218,9 @@ def parser() -> argparse.ArgumentParser:
         ("history", optional),
         ("day", optional),
     )
-    job(pages, ("log", needed), log_format)
+    job(pages, ("log", needed), log_format, *broken)
+    job(fold, ("source", needed), ("store", needed), ("state", needed))
+    job(compact, ("store", needed), ("before", day), ("clean", {"action": "store_true"}))
     job(ingest, ("source", needed), ("log", needed), ("state", needed))
     return top
 
@@ -209,7 +235,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         with run(spark):
             args.start(spark, args)
-    except MissingInput as error:
+    except (MalformedInput, MissingInput) as error:
         print(f"error: {error}", file=sys.stderr)
         return 1
     return 0

@@ -163,25 +163,23 @@ def user_activity(
     return per_user.where(condition).drop(*[f"_n_{c}" for c in required])
 
 
-def user_aggregates(
+#: What a user's events are folded by; few values a user, so folding shrinks a log to a few rows a user.
+FOLD_KEYS = ("gender", "registration", "level", "userAgent")
+
+
+def profile_folds(
     log: DataFrame,
     triggers: Sequence[str] = TRIGGER_PAGES,
     required: Sequence[str] = PROFILE_COLUMNS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """All per-user aggregates of complete users.
+    """Events folded by user and profile values (and ``by``): sums, minima and maxima alone.
 
-    Two scans that share little more than the user column.  The first folds
-    events by the profile values a user shows, with additive counts; its buffers
-    are primitive, so it hash-aggregates with map-side combine, and the second
-    step sees a few rows per user.  The other counts distinct artists and
-    sessions, which would otherwise drag every counter through the expansion
-    that distinct counts need.  Both end partitioned by user, so joining them
-    moves nothing.  Keep a large log as Parquet: JSON would be parsed twice.
+    Such rows merge: folds of parts of a log together are as good as folds of the whole.
     """
-    profile = ("gender", "registration", "level", "userAgent")
-    counted = [c for c in required if c not in profile]
+    counted = [c for c in required if c not in FOLD_KEYS]
     events = known_users(log)
-    folded = events.withColumn("_at", _moment()).groupBy("userId", *profile).agg(
+    return events.withColumn("_at", _moment()).groupBy("userId", *by, *FOLD_KEYS).agg(
         F.min("_at").alias("_from"),
         F.max("_at").alias("_to"),
         F.max("ts").alias("_to_ts"),
@@ -191,7 +189,24 @@ def user_aggregates(
         *[F.count_if(F.col("page") == p).alias(f"_{n}") for n, p in PAGE_COUNTS.items()],
         *[F.count(c).alias(f"_n_{c}") for c in counted],
     )
-    per_user = folded.groupBy("userId").agg(
+
+
+def merged_folds(folds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Folds with equal keys as one."""
+    keys = ["userId", *by, *FOLD_KEYS]
+    lowest, highest = ("_from",), ("_to", "_to_ts")
+    sums = [c for c in folds.columns if c not in (*keys, *lowest, *highest)]
+    return folds.groupBy(keys).agg(
+        *[F.min(c).alias(c) for c in lowest],
+        *[F.max(c).alias(c) for c in highest],
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
+def users_of_folds(folds: DataFrame, required: Sequence[str] = PROFILE_COLUMNS) -> DataFrame:
+    """Complete users with everything that folds tell about them."""
+    counted = [c for c in required if c not in FOLD_KEYS]
+    per_user = folds.groupBy("userId").agg(
         _first_known("gender", "_from").alias("gender"),
         _first_known("registration", "_from").alias("registration"),
         F.max("_to_ts").alias("last_ts"),
@@ -206,7 +221,25 @@ def user_aggregates(
     condition = F.lit(True)
     for c in required:
         condition = condition & (F.col(f"_n_{c}") > 0 if c in counted else F.col(c).isNotNull())
-    complete = per_user.where(condition).drop(*[f"_n_{c}" for c in counted])
+    return per_user.where(condition).drop(*[f"_n_{c}" for c in counted])
+
+
+def user_aggregates(
+    log: DataFrame,
+    triggers: Sequence[str] = TRIGGER_PAGES,
+    required: Sequence[str] = PROFILE_COLUMNS,
+) -> DataFrame:
+    """All per-user aggregates of complete users.
+
+    Two scans that share little more than the user column.  The first folds
+    events by the profile values a user shows, with additive counts; its buffers
+    are primitive, so it hash-aggregates with map-side combine, and the second
+    step sees a few rows per user.  The other counts distinct artists and
+    sessions, which would otherwise drag every counter through the expansion
+    that distinct counts need.  Both end partitioned by user, so joining them
+    moves nothing.  Keep a large log as Parquet: JSON would be parsed twice.
+    """
+    complete = users_of_folds(profile_folds(log, triggers, required), required)
     return complete.join(_distinct_counts(log), "userId")
 
 

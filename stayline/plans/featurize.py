@@ -85,6 +85,13 @@ def featurize(
     users = user_features(log, threshold, triggers, ua_mode)
     if ua_mode == "fanout":
         users = stage(users)  # below a join; the other form is a scan of a staged table
+    return encoded(users, levels, require_churn)
+
+
+def encoded(
+    users: DataFrame, levels: dict[str, list[str]] | None = None, require_churn: bool = True
+) -> tuple[DataFrame, dict[str, list[str]]]:
+    """A wide per-user table with its categories encoded, and the levels; ``users`` is read several times."""
     if levels is None:
         levels = fit_levels(users, CATEGORICAL_COLUMNS)
     if require_churn:

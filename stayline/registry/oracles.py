@@ -6,7 +6,7 @@ with windows over events, neighbours come from comparing every pair.
 
 from __future__ import annotations
 
-from stayline.registry.queries import DRIFT_FEATURES, SCORING_LIST
+from stayline.registry.queries import AS_OF, DRIFT_FEATURES, SCORING_LIST
 from stayline.sources.adapters import AGENTS
 
 LOG = f"""
@@ -139,6 +139,13 @@ DUMMY_SQL = ", ".join(
 )
 
 
+def _as_of() -> str:
+    """User features of the events up to the end of each day."""
+    whole = "WHERE auth = 'Logged In'"
+    days = [f"{EVENTS_FEATURES} SELECT {FEATURES}, DATE '{day}' AS as_of FROM wide".replace(whole, f"{whole} AND ts < DATE '{day}' + 1") for day in AS_OF]
+    return " UNION ALL ".join(f"SELECT * FROM ({day})" for day in days)
+
+
 def _featurized(inactivity: str) -> str:
     return (
         f"WITH {LOG}, {FILLED}, {_labelled(inactivity)}, {SCALARS}, "
@@ -520,6 +527,12 @@ ORACLES: dict[str, str] = {
     "churn_label_cancelled": f"""WITH {LOG} SELECT "userId",
         CAST(bool_or(page = 'Cancellation Confirmation') AS INTEGER) AS churn FROM li GROUP BY 1""",
     "user_features": EVENTS_FEATURES + f"SELECT {FEATURES} FROM wide",
+    "incremental_user_features": EVENTS_FEATURES + f"SELECT {FEATURES} FROM wide",
+    "incremental_features_as_of": _as_of(),
+    "sketched_engagement": f"""WITH {LOG}, {FILLED} SELECT "userId", count(DISTINCT artist) AS num_artists,
+        count(DISTINCT "sessionId") AS num_sessions FROM clean GROUP BY 1""",
+    "log_quarantine": """SELECT CASE event_id % 40 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'wrong type'
+        WHEN 2 THEN 'no time' WHEN 3 THEN 'bad time' ELSE 'sound' END AS reason, count(*) AS n FROM events GROUP BY 1""",
     "user_features_fanout": EVENTS_FEATURES
     + ", ua AS (SELECT DISTINCT \"userId\", \"userAgent\" FROM clean), "
     'fan AS (SELECT wide.* EXCLUDE ("userAgent"), ua."userAgent" FROM wide LEFT JOIN ua ON ua."userId" = wide."userId") '

@@ -7,7 +7,7 @@ order tables (years, so inactivity is 365 days).
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +27,17 @@ from stayline.operators import (
     summaries,
     users,
 )
+from stayline.operators.state import users_of_state
 from stayline.plans import featurize as feat
-from stayline.plans import model_search, scoring, training
-from stayline.schemas import CATEGORICAL_COLUMNS, PROFILE_COLUMNS, SUBMIT_DOWNGRADE
+from stayline.plans import incremental, model_search, scoring, training
+from stayline.schemas import CATEGORICAL_COLUMNS, PROFILE_COLUMNS, RAW_LOG, SUBMIT_DOWNGRADE
 from stayline.sources.adapters import commerce_log, events_log
-from stayline.staging import stage
+from stayline.sources.tables import read_activity_log, read_quarantine
+from stayline.staging import new_path, stage
 
 EVENTS_INACTIVITY = timedelta(hours=12)
 COMMERCE_INACTIVITY = timedelta(days=365)
+AS_OF = (date(2024, 1, 9), date(2024, 1, 20))
 EXPLICIT_PAGE = SUBMIT_DOWNGRADE
 SCORING_LIST = (
     "tenure",
@@ -281,6 +284,53 @@ def user_features(spark, sf_dir):
     return _round_cents(feat.user_features(events_log(spark, sf_dir), EVENTS_INACTIVITY))
 
 
+def _stored_state(spark: SparkSession, sf_dir: str) -> str:
+    """A store of the events, come in three batches: two by day, one of late events of all days; two of them compacted."""
+    log, store = events_log(spark, sf_dir), new_path(spark)
+    late, first = F.col("tie") % 10 == 3, F.dayofmonth("ts") <= 12
+    incremental.add_batch(log.where(~late & first), store, "first")
+    incremental.add_batch(log.where(~late & ~first), store, "second")
+    incremental.compact(spark, store)
+    incremental.add_batch(log.where(late), store, "late")
+    return store
+
+
+@register
+def incremental_user_features(spark, sf_dir):
+    state = incremental.read_state(spark, _stored_state(spark, sf_dir))
+    return _round_cents(incremental.user_features(state, EVENTS_INACTIVITY))
+
+
+@register
+def incremental_features_as_of(spark, sf_dir):
+    state = incremental.read_state(spark, _stored_state(spark, sf_dir))
+    return _round_cents(incremental.features_of_days(state, AS_OF, EVENTS_INACTIVITY))
+
+
+@register
+def sketched_engagement(spark, sf_dir):
+    """Distinct counts from sketches; of as few values as these the estimate is the count."""
+    state = incremental.read_state(spark, _stored_state(spark, sf_dir))
+    return users_of_state(state, distinct="sketch").select("userId", "num_artists", "num_sessions")
+
+
+@register
+def log_quarantine(spark, sf_dir):
+    """Lines by reason of a log as JSON in which one line in ten is broken, each in one of four ways."""
+    path, aside, kind = new_path(spark), new_path(spark), F.col("tie") % 40
+    log = events_log(spark, sf_dir)
+    millis = {c: F.unix_millis(F.col(c).cast("timestamp")).alias(c) for c in ("ts", "registration")}
+    rows = log.select("tie", *[millis.get(f.name, F.col(f.name)) for f in RAW_LOG])
+    rows = rows.withColumn("ts", F.when(kind == 2, None).when(kind == 3, F.lit(1 << 60)).otherwise(F.col("ts")))
+    line = F.to_json(F.struct(*RAW_LOG.fieldNames()))
+    mistyped = F.replace(line, F.lit('"ts":'), F.lit('"ts":"x","was":'))
+    line = F.when(kind == 0, F.substr(line, F.lit(1), F.length(line) - 4)).when(kind == 1, mistyped).otherwise(line)
+    rows.select(line.alias("value")).write.text(path)
+    sound = read_activity_log(spark, path, quarantine=aside, limit=0.2).groupBy(F.lit("sound").alias("reason"))
+    broken = read_quarantine(spark, aside).groupBy("reason")
+    return sound.agg(F.count("*").alias("n")).unionByName(broken.agg(F.count("*").alias("n")))
+
+
 @register
 def user_features_fanout(spark, sf_dir):
     table = feat.user_features(events_log(spark, sf_dir), EVENTS_INACTIVITY, ua_mode="fanout")

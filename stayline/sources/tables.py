@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stayline.functions import epoch_millis_to_ts
 from stayline.schemas import ACTIVITY_LOG, RAW_LOG, SCORING_REQUEST
-
+from stayline.staging import stage
 
 DAY = T.StructField("day", T.DateType())
 
@@ -20,7 +20,11 @@ class MissingInput(FileNotFoundError):
     """The input path does not exist."""
 
 
-def _scan(reader, fmt: str, path: str) -> DataFrame:
+class MalformedInput(ValueError):
+    """More lines of a log are broken than the caller allows."""
+
+
+def scan(reader, fmt: str, path: str) -> DataFrame:
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as error:
@@ -55,18 +59,77 @@ def json_schema() -> T.StructType:
     )
 
 
-def read_activity_log(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Scan a raw log (JSON lines, or Parquet/ORC with the same columns)."""
-    if fmt == "json":
-        reader = spark.read.schema(json_schema()).option("mode", "PERMISSIVE")
-    else:
-        reader = spark.read.schema(RAW_LOG)
-    return parse_log(_scan(reader, fmt, path))
+#: Column that keeps a JSON line which does not fit the schema, and the last millisecond of the year 9999.
+LINE = "_line"
+LAST_MILLI = 253_402_300_799_999
+
+
+def checked_schema() -> T.StructType:
+    """The raw log's schema with room for the line itself where it does not fit."""
+    return T.StructType([*json_schema().fields, T.StructField(LINE, T.StringType())])
+
+
+def with_reason(raw: DataFrame) -> DataFrame:
+    """Add ``reason``, null for a sound line, to rows read with ``checked_schema``.
+
+    ``unreadable``: no JSON object; ``wrong type``: a field holds something else than
+    its type; ``no time``: there is no ``ts``; ``bad time``: ``ts`` or ``registration``
+    lies outside the calendar.  ``_line`` is filled for every row that has a reason.
+    """
+    fields = [f.name for f in RAW_LOG.fields]
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    out = lambda c: (F.col(c) < -LAST_MILLI) | (F.col(c) > LAST_MILLI)
+    reason = (
+        F.when(F.col(LINE).isNotNull() & nothing, "unreadable")
+        .when(F.col(LINE).isNotNull(), "wrong type")
+        .when(F.col("ts").isNull(), "no time")
+        .when(out("ts") | out("registration"), "bad time")
+    )
+    told = raw.withColumn("reason", reason)
+    return told.withColumn(LINE, F.when(reason.isNotNull(), F.coalesce(LINE, F.to_json(F.struct(*fields)))))
+
+
+def sound_lines(checked: DataFrame) -> DataFrame:
+    return parse_log(checked.where(F.col("reason").isNull()))
+
+
+def bad_lines(checked: DataFrame) -> DataFrame:
+    """(reason, line) of the lines that are kept out of the log."""
+    return checked.where(F.col("reason").isNotNull()).select("reason", F.col(LINE).alias("line"))
+
+
+def read_activity_log(
+    spark: SparkSession, path: str, fmt: str = "json", quarantine: str | None = None, limit: float = 0.0
+) -> DataFrame:
+    """Scan a raw log (JSON lines, or Parquet/ORC with the same columns).
+
+    JSON is parsed once, whole, and staged, so no broken line gets lost unseen: lines
+    that do not fit are counted by reason, more of them than the share ``limit`` of all
+    lines is an error, and fewer are appended to ``quarantine`` where it is given.
+    """
+    if fmt != "json":
+        return parse_log(scan(spark.read.schema(RAW_LOG), fmt, path))
+    reader = spark.read.schema(checked_schema()).option("mode", "PERMISSIVE")
+    raw = scan(reader.option("columnNameOfCorruptRecord", LINE), "json", path)
+    checked = stage(with_reason(raw))
+    counts = {row.reason: row["count"] for row in checked.groupBy("reason").count().collect()}
+    total = sum(counts.values())
+    bad = {reason: n for reason, n in sorted(counts.items(), key=str) if reason is not None}
+    if sum(bad.values()) > limit * total:
+        raise MalformedInput(f"{sum(bad.values())} of {total} lines of {path} do not fit the log: {bad}")
+    if bad and quarantine:
+        bad_lines(checked).write.mode("append").parquet(quarantine)
+    return sound_lines(checked)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, line) of quarantined lines; lines that were mended can be read again as a log."""
+    return scan(spark.read.schema("reason STRING, line STRING"), "parquet", path)
 
 
 def read_parsed_log(spark: SparkSession, path: str) -> DataFrame:
     """Scan a Parquet log that ``streaming.ingest`` wrote; ``day`` prunes folders."""
-    log = _scan(spark.read.schema(T.StructType([*ACTIVITY_LOG.fields, DAY])), "parquet", path)
+    log = scan(spark.read.schema(T.StructType([*ACTIVITY_LOG.fields, DAY])), "parquet", path)
     return log.select(*ACTIVITY_LOG.fieldNames(), "day")
 
 
@@ -84,7 +147,7 @@ def read_features(
         reader = reader if schema else reader.option("inferSchema", True)
     if schema:
         reader = reader.schema(schema)
-    return _scan(reader, fmt, path)
+    return scan(reader, fmt, path)
 
 
 def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -104,7 +167,7 @@ def save_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
 
 
 def load_feature_list(spark: SparkSession, path: str) -> list[str]:
-    table = _scan(spark.read.schema("position INT, name STRING"), "json", path)
+    table = scan(spark.read.schema("position INT, name STRING"), "json", path)
     return [row.name for row in table.orderBy("position").collect()]
 
 
@@ -123,7 +186,7 @@ def save_levels(spark: SparkSession, levels: dict[str, list[str]], path: str) ->
 
 def load_levels(spark: SparkSession, path: str) -> dict[str, list[str]]:
     levels: dict[str, list[str]] = {}
-    table = _scan(spark.read.schema(LEVEL_TABLE), "json", path)
+    table = scan(spark.read.schema(LEVEL_TABLE), "json", path)
     for row in table.orderBy("column", "position").collect():
         found = levels.setdefault(row.name, [])
         if row.level is not None:
@@ -143,4 +206,4 @@ def request_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """Scan request records kept as JSON lines."""
-    return _scan(spark.read.schema(SCORING_REQUEST), "json", path)
+    return scan(spark.read.schema(SCORING_REQUEST), "json", path)

@@ -35,14 +35,25 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the folder of the current run."""
+    folder = _folder.get() or f"{staging_root(spark)}/stayline"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the folder of the current run and return it as a table scan."""
-    folder = _folder.get() or f"{staging_root(df.sparkSession)}/stayline"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def run(spark: SparkSession) -> Iterator[str]:
     """What is staged inside belongs to this run and is deleted with it; write results before."""
@@ -52,5 +63,4 @@ def run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _folder.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)

@@ -101,3 +101,20 @@ def test_levels_round_trip(spark, tmp_path):
     levels = {"os": ["Ubuntu", "iOS"], "gender": [], "browser": ["Chrome"]}
     save_levels(spark, levels, str(tmp_path / "levels"))
     assert load_levels(spark, str(tmp_path / "levels")) == levels
+
+
+def test_state_jobs_give_the_features_of_the_log(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    rows = raw_rows()
+    for name, part in (("a", rows[::2]), ("b", rows[1::2])):
+        (incoming / f"{name}.json").write_text("\n".join(json.dumps(r) for r in part) + "\n{broken\n")
+        where = {n: str(tmp_path / n) for n in ("store", "state", "one", "two", "aside")}
+        assert jobs.main(["fold", "--source", str(incoming), "--store", where["store"], "--state", where["state"]], spark) == 0
+    assert jobs.main(["compact", "--store", where["store"], "--clean"], spark) == 0
+    assert jobs.main(["featurize", "--log", where["store"], "--log-format", "state", "--features", where["one"]], spark) == 0
+    assert jobs.main(["featurize", "--log", str(incoming), "--features", where["two"]], spark) == 1
+    assert jobs.main(["featurize", "--log", str(incoming), "--quarantine", where["aside"], "--bad-share", "0.2", "--features", where["two"]], spark) == 0
+    one, two = (spark.read.parquet(where[n]) for n in ("one", "two"))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect())) != []
+    assert spark.read.parquet(where["aside"]).count() == 2
