@@ -25,6 +25,7 @@ from stayline.operators.splitting import (
     with_balanced_weight,
     with_positive_weight,
 )
+from stayline.plans.boosting import fit_with_patience
 from stayline.sources.tables import load_feature_list, save_feature_list
 from stayline.staging import stage
 
@@ -158,16 +159,34 @@ def train_random_forest(
 
 
 def train_gradient_boosting(
-    df: DataFrame, run_id: str = "gradient_boosting", test_share: float = 0.2, **options
+    df: DataFrame,
+    run_id: str = "gradient_boosting",
+    test_share: float = 0.2,
+    rounds: int = 1000,
+    patience: int | None = 100,
+    **options,
 ) -> tuple[PipelineModel, list[str], DataFrame, DataFrame]:
     """Fit on the training rows, positives weighted up.
 
     A part of the training rows decides when to stop; the test rows are only scored.
+    With ``patience`` the best round by AUC is kept (``boosting.fit_with_patience``);
+    without, MLlib's own rule stops at the first round that gains too little.
     """
     features = feature_list(df)
     prepared = prepare(df, features, test_share)
     training = with_stop_rows(with_positive_weight(prepared.where(~F.col("is_test"))))
-    model = gradient_boosting(features, **options).fit(spread(training))
+    if patience is None:
+        model = gradient_boosting(features, rounds, **options).fit(spread(training))
+    else:
+        marked = stage(training)
+        model, _ = fit_with_patience(
+            lambda n: gradient_boosting(features, n, validation=None, **options),
+            spread(marked.where(~F.col("is_stop"))),
+            marked.where("is_stop"),
+            _inputs(features),
+            rounds,
+            patience,
+        )
     scored = stage(
         with_probability(model, prepared.where("is_test")).select(
             "userId", "churn", "score", "prediction"

@@ -6,7 +6,7 @@ with windows over events, neighbours come from comparing every pair.
 
 from __future__ import annotations
 
-from stayline.registry.queries import AS_OF, DRIFT_FEATURES, SCORING_LIST
+from stayline.registry.queries import AS_OF, DRIFT_FEATURES, SCORING_LIST, STOP_PATIENCE, STOP_ROUNDS
 from stayline.sources.adapters import AGENTS
 
 LOG = f"""
@@ -419,6 +419,10 @@ split AS (
   SELECT "userId", churn, row_number() OVER (PARTITION BY churn ORDER BY md5("userId" || '-42'), "userId")
     <= round(0.2 * count(*) OVER (PARTITION BY churn)) AS is_test FROM cu
 )"""
+KNOWN_TEST = f"""
+known AS (SELECT "userId", CAST(num_sessions < 9 AS INTEGER) AS churn FROM cu),
+{SPLIT.replace("FROM cu", "FROM known").replace("split AS", "known_split AS")},
+known_test AS (SELECT "userId", churn FROM known_split WHERE is_test)"""
 CHECKED_TEST = 'SELECT "userId", churn, TRUE AS is_probability, TRUE AS follows_threshold FROM split WHERE is_test'
 
 # Two fixed scores in place of fitted models.
@@ -622,6 +626,28 @@ ORACLES: dict[str, str] = {
     "model_leaderboard": f"""WITH {COMMERCE} SELECT model, (SELECT count(*) FROM cu) AS rows_scored,
         TRUE AS is_probability, TRUE AS in_order
         FROM (VALUES ('RandomForestGini'), ('RandomForestEntr'), ('GradientBoosting'), ('LogisticRegression')) t(model)""",
+    "forest_of_splits": f"""WITH {COMMERCE}, s AS (SELECT "userId", (CASE WHEN tenure_days <= 1800 THEN 0.75 ELSE 0.125 END
+          + 2 * CASE WHEN total_songs <= 40 THEN 0.625 WHEN tenure_days <= 2200 THEN 0.5 ELSE 0.25 END) / 3.0 AS score FROM cu)
+        SELECT "userId", CAST(round(score, 9) AS DOUBLE) AS score, CAST(score > 0.5 AS INTEGER) AS prediction FROM s""",
+    "rf_known_rule": f"""WITH {COMMERCE}, {KNOWN_TEST}
+        SELECT "userId", churn, CAST(churn AS DOUBLE) AS score, churn AS prediction FROM known_test""",
+    "gbt_known_rule": f"""WITH {COMMERCE}, {KNOWN_TEST} SELECT "userId", churn, churn AS prediction FROM known_test""",
+    "score_known_rule": f"""WITH {COMMERCE}, {KNOWN_TEST}, r AS (SELECT "userId", churn, "userId" % 11 <> 0 AS whole FROM known)
+        SELECT "userId", CASE WHEN whole THEN churn END AS churn_prediction, CASE WHEN whole THEN CAST(churn AS DOUBLE) END AS churn_probability,
+          CASE WHEN NOT whole THEN 'Field required: num_sessions' END AS error FROM r""",
+    "known_rule_leaderboard": f"""WITH {COMMERCE}, {KNOWN_TEST}, told AS (SELECT model, churn, CAST(churn AS DOUBLE) AS p FROM known,
+        (VALUES ('RandomForestGini'), ('RandomForestEntr'), ('LogisticRegression')) t(model)),
+        {_auc("told", "model")} SELECT model, round(roc_auc, 9) AS score_val FROM auc""",
+    "boosting_stop": f"""WITH {COMMERCE}, steps AS (SELECT "userId", churn, m, (("userId" * 7919 + m * 104729) * (m + 13)) % 23
+          + CASE WHEN m <= 12 THEN 3 * churn ELSE -churn END AS step FROM cu, range(1, {STOP_ROUNDS + 1}) r(m)),
+        margins AS (SELECT m, churn, sum(step) OVER (PARTITION BY "userId" ORDER BY m) AS p FROM steps),
+        {_auc("margins", "m")},
+        best AS (SELECT m, roc_auc, max(roc_auc) OVER (ORDER BY m) AS reached FROM auc),
+        tops AS (SELECT m, roc_auc, (SELECT min(b.m) FROM auc b WHERE b.roc_auc = best.reached) AS top FROM best),
+        stop AS (SELECT min(m) AS last FROM tops WHERE m - top >= {STOP_PATIENCE}),
+        kept AS (SELECT top FROM tops WHERE m = coalesce((SELECT last FROM stop), {STOP_ROUNDS}))
+        SELECT CAST(m AS INTEGER) AS round, round(roc_auc, 9) AS roc_auc,
+          m <= coalesce((SELECT last FROM stop), {STOP_ROUNDS}) AS is_counted, m = (SELECT top FROM kept) AS is_best FROM auc""",
     "score_answers": f"""WITH {COMMERCE}, {FIXED},
         r AS (SELECT "userId", a, CASE WHEN "userId" % 7 = 0 THEN 'Field required: tenure'
           WHEN "userId" % 11 = 0 THEN 'Field required: total_songs' END AS error FROM fixed)

@@ -29,7 +29,7 @@ from stayline.operators import (
 )
 from stayline.operators.state import users_of_state
 from stayline.plans import featurize as feat
-from stayline.plans import incremental, model_search, scoring, training
+from stayline.plans import boosting, incremental, model_search, scoring, training, trees
 from stayline.schemas import CATEGORICAL_COLUMNS, PROFILE_COLUMNS, RAW_LOG, SUBMIT_DOWNGRADE
 from stayline.sources.adapters import commerce_log, events_log
 from stayline.sources.tables import read_activity_log, read_quarantine
@@ -584,7 +584,7 @@ def rf_churn_scores(spark, sf_dir):
 
 @register
 def gbt_churn_scores(spark, sf_dir):
-    _, _, scored, _ = training.train_gradient_boosting(_commerce_features(spark, sf_dir))
+    _, _, scored, _ = training.train_gradient_boosting(_commerce_features(spark, sf_dir), rounds=24, patience=6)
     return scored.select("userId", "churn", *_checked(scored, "score", "prediction"))
 
 
@@ -610,6 +610,80 @@ def model_leaderboard(spark, sf_dir):
     return rows.join(ranked, "model")
 
 
+#: A small forest by hand over tenure and songs: two trees of two and three leaves, the second counting twice.
+SPLITS = (
+    (0, 1.0, 0, 0, 1800.0, 1, 2, None),
+    (0, 1.0, 1, None, None, None, None, 0.75),
+    (0, 1.0, 2, None, None, None, None, 0.125),
+    (1, 2.0, 0, 1, 40.0, 1, 2, None),
+    (1, 2.0, 1, None, None, None, None, 0.625),
+    (1, 2.0, 2, 0, 2200.0, 3, 4, None),
+    (1, 2.0, 3, None, None, None, None, 0.5),
+    (1, 2.0, 4, None, None, None, None, 0.25),
+)
+
+
+@register
+def forest_of_splits(spark, sf_dir):
+    """Scores and calls of a forest that is stored as a table of splits."""
+    table = spark.createDataFrame(SPLITS, trees.NODES)
+    points = _commerce_points(spark, sf_dir)
+    scored = trees.forest_scores(points, table, ("tenure_days", "total_songs"), ("userId",))
+    return scored.select("userId", F.round("score", 9).alias("score"), metrics.predicted_class("score").alias("prediction"))
+
+
+def _known_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose label is a rule of the one feature, so what a right fit says of every row is known."""
+    users_ = _commerce_users(spark, sf_dir)
+    return users_.select("userId", (F.col("num_sessions") < 9).cast("int").alias("churn"), F.least("num_sessions", F.lit(24)).alias("num_sessions"))
+
+
+@register
+def rf_known_rule(spark, sf_dir):
+    _, _, scored, _ = training.train_random_forest(_known_rule(spark, sf_dir), trees=20)
+    return scored.select("userId", "churn", F.round("score", 6).alias("score"), "prediction")
+
+
+@register
+def gbt_known_rule(spark, sf_dir):
+    _, _, scored, _ = training.train_gradient_boosting(_known_rule(spark, sf_dir), rounds=6, patience=2, column_share=1.0)
+    return scored.select("userId", "churn", "prediction")
+
+
+@register
+def score_known_rule(spark, sf_dir):
+    """Batch scores of all users by a forest fitted to the rule, users without the feature answered with an error."""
+    table = stage(_known_rule(spark, sf_dir))
+    model, features, _, _ = training.train_random_forest(table, trees=20)
+    rows = table.withColumn("num_sessions", F.when(F.col("userId") % 11 != 0, F.col("num_sessions")))
+    answered = scoring.score_batch(rows, model, features, required=features)
+    return answered.withColumn("churn_probability", F.round("churn_probability", 6))
+
+
+@register
+def known_rule_leaderboard(spark, sf_dir):
+    """Out-of-fold AUC of models that must all find the rule."""
+    offered = {name: build for name, build in model_search.candidates(10, 4).items() if name != "GradientBoosting"}
+    scores, seconds = model_search.out_of_fold(_known_rule(spark, sf_dir), offered, folds=3)
+    board = model_search.leaderboard(scores, seconds)
+    return board.select("model", F.round("score_val", 9).alias("score_val"))
+
+
+STOP_ROUNDS, STOP_PATIENCE = 40, 6
+
+
+@register
+def boosting_stop(spark, sf_dir):
+    """AUC after every round of fixed margins, and the round that patience keeps."""
+    rounds = F.sequence(F.lit(1), F.lit(STOP_ROUNDS))
+    signal = lambda m: F.when(m <= 12, 3 * F.col("churn")).otherwise(-F.col("churn"))
+    step = F.transform(rounds, lambda m: F.pmod((F.col("userId") * 7919 + m * 104_729) * (m + 13), F.lit(23)) + signal(m))
+    running = F.transform(rounds, lambda m: F.aggregate(F.slice("steps", 1, m), F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double"))
+    margins = _commerce_users(spark, sf_dir).withColumn("steps", step).select("churn", running.alias("values"))
+    table = boosting.stopping_table(stage(boosting.staged_auc(stage(margins))), STOP_PATIENCE)
+    return table.withColumn("roc_auc", F.round("roc_auc", 9))
+
+
 def _fixed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two fixed scores of the order log's users in place of fitted models."""
     one = F.lit(1.0)
