@@ -9,6 +9,9 @@
     python -m stayline.jobs fold      --source incoming/ --store users/ --state state/
     python -m stayline.jobs compact   --store users/ --before 2024-01-01
     python -m stayline.jobs featurize --log users/ --log-format state --features features/
+    python -m stayline.jobs monitor   --history history/ --alerts alerts/
+    python -m stayline.jobs drift     --before features/ --features today/
+    python -m stayline.jobs promote   --features hold-out/ --serving serving/ --candidate model/
 """
 
 from __future__ import annotations
@@ -21,13 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.cleaning import logged_in
+from stayline.operators.drift import ks_drift
 from stayline.operators.encoding import alignment_table
 from stayline.operators.metrics import pr_curve
+from stayline.operators.shift import BASELINE_DAYS, score_histogram, shift_alerts, stability_index
+from stayline.operators.significance import REPLICATES
 from stayline.operators.splitting import stratified_split
 from stayline.operators.summaries import churn_distribution, distinct_pages
 from stayline.plans import featurize as feat
-from stayline.plans import incremental, model_search, scoring, training
+from stayline.plans import incremental, model_search, promotion, scoring, training
 from stayline.plans.monitoring import append_metrics, append_parameters, append_scores
+from stayline.schemas import NUMERIC_FEATURES
 from stayline.session import build_session
 from stayline.sources.tables import (
     MalformedInput,
@@ -100,7 +107,7 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         parameters = {"trees": args.trees}
         fitted = training.train_random_forest(features, run_id, **parameters)
     else:
-        parameters = {"rounds": args.rounds}
+        parameters = {"rounds": args.rounds, "patience": args.patience}
         fitted = training.train_gradient_boosting(features, run_id, **parameters)
     model, names, scored, records = fitted
     training.save_model(model, names, args.model, spark)
@@ -150,6 +157,37 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
         incremental.clean(spark, args.store)
 
 
+def monitor(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Days on which the share of flagged users or the distribution of scores shifted."""
+    history = spark.read.parquet(args.history)
+    daily = stage(score_histogram(history, ["day"]))
+    first = daily.select("day").distinct().orderBy("day").limit(args.baseline)
+    index = stability_index(daily, daily.join(first, "day", "left_semi")).drop("scored")
+    found = stage(shift_alerts(history, baseline_days=args.baseline).join(index, "day"))
+    if args.alerts:
+        found.write.mode("overwrite").parquet(args.alerts)
+    found.where(F.col("alert").isNotNull() | F.col("shifted")).orderBy("day").show(1000, truncate=False)
+
+
+def drift(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Features whose distribution differs from that of the training table."""
+    before, after = (read_features(spark, path, fmt=args.format) for path in (args.before, args.features))
+    shared = [f for f in NUMERIC_FEATURES if f in before.columns and f in after.columns]
+    found = stage(ks_drift(before, after, shared))
+    if args.report:
+        found.write.mode("overwrite").parquet(args.report)
+    found.show(1000, truncate=False)
+
+
+def promote(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Put the candidate in the serving model's place if it is better beyond doubt on the same labelled rows."""
+    rows = read_features(spark, args.features, fmt=args.format)
+    decision = promotion.promote(spark, rows, args.serving, args.candidate, args.metric, args.factor, args.replicates)
+    if args.decisions:
+        append_parameters(spark, f"promote-{datetime.now(UTC):%Y%m%dT%H%M%S%f}", decision, args.decisions)
+    print(decision)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="stayline.jobs")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -207,6 +245,7 @@ def parser() -> argparse.ArgumentParser:
         ("kind", {"default": "forest", "choices": ["forest", "boosting"]}),
         trees,
         ("rounds", {"type": int, "default": 1000}),
+        ("patience", {"type": int, "default": 100}),
     )
     job(
         score,
@@ -221,6 +260,19 @@ def parser() -> argparse.ArgumentParser:
     job(pages, ("log", needed), log_format, *broken)
     job(fold, ("source", needed), ("store", needed), ("state", needed))
     job(compact, ("store", needed), ("before", day), ("clean", {"action": "store_true"}))
+    job(monitor, ("history", needed), ("alerts", optional), ("baseline", {"type": int, "default": BASELINE_DAYS}))
+    job(drift, ("before", needed), ("features", needed), table_format, ("report", optional))
+    job(
+        promote,
+        ("features", needed),
+        table_format,
+        ("serving", needed),
+        ("candidate", needed),
+        ("metric", {"default": "f1", "choices": ["f1", "roc_auc"]}),
+        ("factor", {"type": float, "default": 1.05}),
+        ("replicates", {"type": int, "default": REPLICATES}),
+        ("decisions", optional),
+    )
     job(ingest, ("source", needed), ("log", needed), ("state", needed))
     return top
 

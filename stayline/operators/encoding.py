@@ -10,22 +10,45 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def fit_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Distinct non-null levels per column, sorted by code point.
+#: Levels of one column that may become columns of a table.
+MOST_LEVELS = 1_000
 
-    The levels become columns of the encoded table, so they come to the driver; a
-    column with very many of them belongs into ``sparse_one_hot``.
-    """
+
+class TooManyLevels(ValueError):
+    """A column has more levels than a table should have columns."""
+
+
+def level_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """Number of different non-null levels per column; nothing but the numbers leaves the executors."""
+    pairs = _levels(df, cols).groupBy("name").count().collect()
+    return {c: 0 for c in cols} | {row.name: row["count"] for row in pairs}
+
+
+def _levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [
         df.select(F.lit(c).alias("name"), F.col(c).cast("string").alias("level"))
         .where(F.col("level").isNotNull())
         .distinct()
         for c in cols
     ]
-    rows = reduce(DataFrame.unionByName, pairs).collect()
+    return reduce(DataFrame.unionByName, pairs)
+
+
+def fit_levels(df: DataFrame, cols: Sequence[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Distinct non-null levels per column, sorted by code point.
+
+    The levels become columns of the encoded table, so they come to the driver: at
+    most ``most`` of a column, and one more by which an error tells that there are too
+    many.  ``sparse_one_hot`` takes columns of any number of levels.
+    """
+    limited = [_levels(df, [c]).limit(most + 1) for c in cols]
+    rows = reduce(DataFrame.unionByName, limited).collect()
     levels: dict[str, list[str]] = {c: [] for c in cols}
     for row in rows:
         levels[row.name].append(row.level)
+    crowded = [c for c, found in levels.items() if len(found) > most]
+    if crowded:
+        raise TooManyLevels(f"more than {most} levels in {', '.join(crowded)}; use sparse_one_hot for these columns")
     for found in levels.values():
         found.sort()
     return levels

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import code_label, floor_days, safe_ratio
 from stayline.operators.ranking import column_quantiles, counted_values, exact_quantiles
+from stayline.operators.splitting import smallest_by_hash
 from stayline.operators.users import known_users
 from stayline.schemas import CANCELLATION, PLAY_PAGE
 from stayline.staging import stage
@@ -141,6 +142,15 @@ def scatter_points(users: DataFrame, x: str, y: str, cohort: str = "churn") -> D
     return users.groupBy(x, y, cohort).agg(F.count("*").alias("n"))
 
 
+def scatter_sample(users: DataFrame, most: int = 1_000, cohort: str = "churn", key: str = "userId") -> DataFrame:
+    """Rows to draw: exactly ``most`` of every cohort, or all if it has fewer, by a hash of the key.
+
+    The same users are drawn each time, and a larger sample holds the smaller one.
+    """
+    wanted = F.least(F.col("n"), F.lit(most)).cast("bigint")
+    return smallest_by_hash(users, key, wanted, cohort).where("_chosen").select(*users.columns)
+
+
 def useless_features(df: DataFrame, features: Sequence[str], key: str = "userId") -> DataFrame:
     """Features that are constant, and features equal to an earlier one.
 

@@ -6,7 +6,9 @@ with windows over events, neighbours come from comparing every pair.
 
 from __future__ import annotations
 
-from stayline.registry.queries import AS_OF, DRIFT_FEATURES, SCORING_LIST, STOP_PATIENCE, STOP_ROUNDS
+from math import exp, factorial, floor
+
+from stayline.registry.queries import AS_OF, BOOTS, DRIFT_FEATURES, SCORING_LIST, STOP_PATIENCE, STOP_ROUNDS
 from stayline.sources.adapters import AGENTS
 
 LOG = f"""
@@ -146,6 +148,38 @@ def _as_of() -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({day})" for day in days)
 
 
+SHIFTING = """
+history AS (
+  SELECT "userId", CAST(ts AS DATE) AS day, 1.0::DOUBLE / (1.0::DOUBLE + count(song)) AS score FROM li GROUP BY 1, 2
+),
+moved AS (SELECT "userId", day, CASE WHEN day(day) < 15 THEN score ELSE sqrt(score) END AS score FROM history)"""
+
+
+def _significance() -> str:
+    """Bootstrap by copying rows: each is drawn as often as its hash says, then metrics come from the copies."""
+    below = [sum(exp(-1) / factorial(i) for i in range(k + 1)) for k in range(11)]
+    drawn = " + ".join(f"CAST(bits >= {floor(share * 2**32)} AS INTEGER)" for share in below)
+    bits = "CAST('0x' || substr(md5(\"userId\" || '-boot-' || b), 1, 8) AS BIGINT)"
+    auc = lambda p: f"""(sum(r_{p}) FILTER (churn = 1) - count(*) FILTER (churn = 1) * (count(*) FILTER (churn = 1) + 1) / 2.0)
+          / nullif(CAST(count(*) FILTER (churn = 1) AS DOUBLE) * count(*) FILTER (churn = 0), 0)"""
+    f1 = lambda p: f"""coalesce((2 * count(*) FILTER ({p} > 0.5 AND churn = 1)) / nullif(2 * count(*) FILTER ({p} > 0.5 AND churn = 1)
+          + count(*) FILTER ({p} > 0.5 AND churn = 0) + count(*) FILTER ({p} <= 0.5 AND churn = 1), 0), 0.0)"""
+    ranks = ", ".join(f"rank() OVER (PARTITION BY b ORDER BY {p}) + (count(*) OVER (PARTITION BY b, {p}) - 1) / 2.0 AS r_{p}" for p in ("x", "y"))
+    return f"""WITH {COMMERCE},
+        pairs AS (SELECT "userId", churn, 7.0::DOUBLE / (7.0::DOUBLE + num_sessions) AS x, 9.0::DOUBLE / (9.0::DOUBLE + num_sessions) AS y FROM cu),
+        lots AS (SELECT pairs.*, b, {bits} AS bits FROM pairs, range(-1, {BOOTS}) r(b)),
+        times AS (SELECT *, CASE WHEN b < 0 THEN 1 ELSE {drawn} END AS w FROM lots),
+        copies AS (SELECT b, churn, x, y, unnest(range(w)) AS copy FROM times),
+        ranked AS (SELECT *, {ranks} FROM copies),
+        v AS (SELECT b, 'f1' AS metric, {f1("x")} AS cur, {f1("y")} AS cand FROM ranked GROUP BY b
+          UNION ALL SELECT b, 'roc_auc', {auc("x")}, {auc("y")} FROM ranked GROUP BY b),
+        m AS (SELECT metric, max(cur) FILTER (b < 0) AS cur, max(cand) FILTER (b < 0) AS cand,
+          list_sort(list(cand - cur) FILTER (b >= 0)) AS s, avg(CAST(cand - cur > 0 AS INTEGER)) FILTER (b >= 0) AS better FROM v GROUP BY 1)
+        SELECT metric, round(cur, 9) AS current_value, round(cand, 9) AS candidate_value, round(cand - cur, 9) AS difference,
+          round(s[CAST(floor(0.025 * len(s)) AS INTEGER) + 1], 9) AS low, round(s[len(s) - CAST(floor(0.025 * len(s)) AS INTEGER)], 9) AS high,
+          round(better, 9) AS share_better, cand > 1.05 * cur AND s[CAST(floor(0.025 * len(s)) AS INTEGER) + 1] > 0 AS promote FROM m"""
+
+
 def _featurized(inactivity: str) -> str:
     return (
         f"WITH {LOG}, {FILLED}, {_labelled(inactivity)}, {SCALARS}, "
@@ -592,6 +626,31 @@ ORACLES: dict[str, str] = {
     "run_metrics": f"WITH {COMMERCE}, {CURVE}, {_auc('sc')}, {_confusion('sc')} " + _records("orders_9"),
     "promotion_gate": f"""WITH {COMMERCE}, v AS (SELECT {_f1(7.0)} AS current_value, {_f1(9.0)} AS candidate_value)
         SELECT 'F1_Score' AS metric, *, candidate_value > 1.05 * current_value AS promote FROM v""",
+    "promotion_significance": _significance(),
+    "shift_alerts": f"""WITH {LOG}, {SHIFTING}, d AS (SELECT day, count(*) AS scored, count(*) FILTER (score > 0.5) AS flagged,
+          row_number() OVER (ORDER BY day) AS k FROM moved GROUP BY 1),
+        b AS (SELECT sum(flagged) FILTER (k <= 7) / sum(scored) FILTER (k <= 7) AS base FROM d),
+        z AS (SELECT d.*, flagged / scored AS flagged_share, base,
+          CASE WHEN k > 7 THEN (flagged / scored - base) / sqrt(greatest(least(base, 0.999), 0.001)
+            * (1 - greatest(least(base, 0.999), 0.001)) / scored) END AS move FROM d, b),
+        t AS (SELECT *, sum(coalesce(move - 0.5, 0)) OVER (ORDER BY day) AS up, sum(coalesce(-move - 0.5, 0)) OVER (ORDER BY day) AS down FROM z),
+        s AS (SELECT *, up - least(min(up) OVER (ORDER BY day), 0) AS raised, down - least(min(down) OVER (ORDER BY day), 0) AS lowered FROM t)
+        SELECT day, scored, flagged, round(flagged_share, 6) AS flagged_share, round(base, 6) AS baseline_share,
+          round(raised, 6) AS raised, round(lowered, 6) AS lowered,
+          CASE WHEN raised > 5 THEN 'up' WHEN lowered > 5 THEN 'down' END AS alert FROM s""",
+    "score_stability": f"""WITH {LOG}, {SHIFTING}, h AS (SELECT day, least(CAST(floor(score * 10) AS INTEGER), 9) AS bin FROM moved),
+        days AS (SELECT day, count(*) AS scored FROM h GROUP BY 1), bins AS (SELECT CAST(i AS INTEGER) AS bin FROM range(10) r(i)),
+        q AS (SELECT bins.bin, (count(h.bin) + 0.5) / (SELECT count(*) + 5.0 FROM h WHERE day(day) <= 7) AS q
+          FROM bins LEFT JOIN (SELECT * FROM h WHERE day(day) <= 7) h ON h.bin = bins.bin GROUP BY 1),
+        p AS (SELECT days.day, scored, q, ((SELECT count(*) FROM h WHERE h.day = days.day AND h.bin = q.bin) + 0.5) / (scored + 5.0) AS p FROM days, q),
+        i AS (SELECT day, any_value(scored) AS scored, sum((p - q) * ln(p / q)) AS psi FROM p GROUP BY 1)
+        SELECT day, scored, round(psi, 6) AS psi, psi > 0.2 AS shifted FROM i""",
+    "stored_length_quantiles": f"""WITH {LOG}, v AS (SELECT coalesce(level, 'none') AS level, list_sort(list(length)) AS s
+          FROM li WHERE length IS NOT NULL GROUP BY 1)
+        SELECT level, CAST(len(s) AS BIGINT) AS n, s[CAST(ceil(0.25 * len(s)) AS INTEGER)] AS q1, s[CAST(ceil(0.5 * len(s)) AS INTEGER)] AS median,
+          s[CAST(ceil(0.75 * len(s)) AS INTEGER)] AS q3 FROM v""",
+    "scatter_sample": f"""WITH {COMMERCE} SELECT "userId", tenure_days, total_songs, churn FROM cu
+        QUALIFY row_number() OVER (PARTITION BY churn ORDER BY md5("userId" || '-42'), "userId") <= 200""",
     "prediction_share": f"""WITH {LOG}, {HISTORY} SELECT day, count(*) AS scored,
         count(*) FILTER (score > 0.5) AS flagged, count(*) FILTER (score > 0.5) / count(*) AS flagged_share
         FROM history GROUP BY 1""",

@@ -23,6 +23,9 @@ from stayline.operators import (
     imbalance,
     labels,
     metrics,
+    quantiles,
+    shift,
+    significance,
     splitting,
     summaries,
     users,
@@ -37,6 +40,7 @@ from stayline.staging import new_path, stage
 
 EVENTS_INACTIVITY = timedelta(hours=12)
 COMMERCE_INACTIVITY = timedelta(days=365)
+BOOTS = 40
 AS_OF = (date(2024, 1, 9), date(2024, 1, 20))
 EXPLICIT_PAGE = SUBMIT_DOWNGRADE
 SCORING_LIST = (
@@ -514,6 +518,49 @@ def promotion_gate(spark, sf_dir):
     return metrics.promotion_gate(records, "orders_7", "orders_9")
 
 
+@register
+def promotion_significance(spark, sf_dir):
+    old, new = (_commerce_scores(spark, sf_dir, scale) for scale in (7.0, 9.0))
+    both = stage(old.withColumnRenamed("score", "current").join(new.select("userId", F.col("score").alias("candidate")), "userId"))
+    f1, auc = (significance.paired_bootstrap(both, metric=m, replicates=BOOTS) for m in ("f1", "roc_auc"))
+    gated = significance.significant_gate(f1.unionByName(auc))
+    numbers = ("current_value", "candidate_value", "difference", "low", "high", "share_better")
+    return gated.withColumns({c: F.round(c, 9) for c in numbers})
+
+
+def _shifting_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily history with higher scores from the 15th day on."""
+    history = _daily_history(spark, sf_dir)
+    return history.withColumn("score", F.when(F.dayofmonth("day") < 15, F.col("score")).otherwise(F.sqrt("score")))
+
+
+@register
+def shift_alerts(spark, sf_dir):
+    found = shift.shift_alerts(_shifting_history(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 6) for c in ("flagged_share", "baseline_share", "raised", "lowered")})
+
+
+@register
+def score_stability(spark, sf_dir):
+    daily = stage(shift.score_histogram(_shifting_history(spark, sf_dir), ["day"]))
+    found = shift.stability_index(daily, daily.where(F.dayofmonth("day") <= 7))
+    return found.withColumn("psi", F.round("psi", 6))
+
+
+@register
+def stored_length_quantiles(spark, sf_dir):
+    """Quartiles of play lengths per level from daily sketches; exact while a level has fewer plays than a sketch keeps."""
+    plays = _events(spark, sf_dir).select(F.to_date("ts").alias("day"), F.coalesce("level", F.lit("none")).alias("level"), "length")
+    daily = stage(quantiles.quantile_sketches(plays, "length", ["day", "level"]))
+    whole = quantiles.merged_sketches(daily, ["level"])
+    return quantiles.quantiles_of(whole, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+
+
+@register
+def scatter_sample(spark, sf_dir):
+    return summaries.scatter_sample(_commerce_points(spark, sf_dir), 200)
+
+
 @register
 def prediction_share(spark, sf_dir):
     return metrics.prediction_share(_daily_history(spark, sf_dir))

@@ -158,6 +158,17 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str = "userId", buckets: int = 64) -> None:
+    """Write a table in buckets of ``key``, sorted by it, under a name in the session's catalog.
+
+    Tables with the same key and number of buckets join and group by the key without
+    moving rows, so features, scores and labels that meet each day are worth it.  A
+    bucket is one file; choose the number so that a file fits an executor's memory.
+    """
+    rows = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    rows.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+
 def save_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
     """Store the ordered list of training columns beside the model."""
     rows = [(position, name) for position, name in enumerate(names)]

@@ -118,3 +118,41 @@ def test_state_jobs_give_the_features_of_the_log(spark, tmp_path):
     one, two = (spark.read.parquet(where[n]) for n in ("one", "two"))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect())) != []
     assert spark.read.parquet(where["aside"]).count() == 2
+
+
+def test_a_candidate_is_deployed_only_if_it_is_better(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from stayline.plans import training
+
+    at = lambda name: str(tmp_path / name)
+    value = lambda name: F.pmod(F.hash("id", F.lit(name)), F.lit(100)).cast("double").alias(name)
+    rows = spark.range(400).select(F.col("id").alias("userId"), value("a"), value("b"))
+    rows = rows.withColumn("churn", (F.col("a") < 40).cast("int"))
+    rows.write.parquet(at("rows"))
+    for name, feature in (("poor", "b"), ("good", "a")):
+        model, names, _, _ = training.train_random_forest(rows.select("userId", "churn", feature), trees=3, max_depth=3)
+        training.save_model(model, names, at(name), spark)
+    common = ["--features", at("rows"), "--serving", at("serving"), "--replicates", "30", "--decisions", at("decisions")]
+    serving = lambda: training.load_model(at("serving"), spark)[1]
+    for candidate, kept in (("poor", "b"), ("good", "a"), ("poor", "a"), ("good", "a")):
+        assert jobs.main(["promote", "--candidate", at(candidate), *common], spark) == 0
+        assert serving() == [kept]
+    told = spark.read.parquet(at("decisions")).where("name = 'promote'").collect()
+    assert sorted(r.value for r in told) == ["False", "False", "True", "True"]
+
+
+def test_monitor_and_drift_jobs(spark, tmp_path, capsys):
+    from datetime import date, timedelta
+
+    at = lambda name: str(tmp_path / name)
+    days = [(u, date(2024, 1, 1) + timedelta(days=d), 0.9 if u < (5 if d < 10 else 40) else 0.2) for d in range(12) for u in range(100)]
+    spark.createDataFrame(days, "userId long, day date, score double").write.parquet(at("history"))
+    assert jobs.main(["monitor", "--history", at("history"), "--alerts", at("alerts")], spark) == 0
+    found = {r.day.day: (r.alert, r.shifted) for r in spark.read.parquet(at("alerts")).collect()}
+    assert found[11] == ("up", True) and found[9] == (None, False)
+    for name, shift in (("before", 0.0), ("after", 30.0)):
+        spark.range(200).selectExpr("id AS userId", "id % 2 AS churn", f"CAST(id % 50 AS DOUBLE) + {shift} AS tenure", "CAST(id % 7 AS DOUBLE) AS num_sessions").write.parquet(at(name))
+    assert jobs.main(["drift", "--before", at("before"), "--features", at("after"), "--report", at("report")], spark) == 0
+    report = spark.read.parquet(at("report"))
+    assert {r["feature"]: r["drifted"] for r in report.collect()} == {"tenure": True, "num_sessions": False}
