@@ -18,13 +18,12 @@ revisit it; an empty table gives an empty archive; other columns are not read.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.staging import stage, staging_root
+from stayline.staging import new_path, stage
 
 CRLF = "\r\n"
 CAPTURED_AT = "2024-01-01T00:00:00Z"
@@ -163,4 +162,5 @@ def restore_captures(spark: SparkSession, archive: Archive) -> DataFrame:
 
 
 def new_archive_path(spark: SparkSession) -> str:
-    return f"{staging_root(spark)}/archive-{uuid.uuid4().hex}"
+    """A folder that goes with the current run."""
+    return new_path(spark)

@@ -7,7 +7,8 @@ document that loses too much is rejected.  Equal texts of a host are one documen
 in these counts, so a group of exact copies does not make its own lines boilerplate.
 
 A line is above the limits when more than ``max_docs`` different documents of its
-host hold it and they are more than ``max_share`` of the host's different documents.
+host hold it, however many documents the host has: more documents never let a line
+through again that fewer had removed.
 A document is depleted when fewer than ``min_words`` words, or less than
 ``min_rest`` of its words, remain.
 
@@ -35,7 +36,6 @@ class Limits:
     min_words: int = 50
     max_repeat_percent: int = 50
     max_docs: int = 10
-    max_share: float = 0.005
     min_rest: float = 0.5
 
 
@@ -101,12 +101,10 @@ def profile(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def frequent_lines(profiled: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(source, hash, docs) of the lines above the limits; ``docs`` counts different texts of the host."""
     first = profiled.groupBy("source", "content").agg(F.min("row").alias("row"))
-    sizes = first.groupBy("source").agg(F.count("*").alias("host_docs"))
     hashes = F.array_distinct(F.transform("lines", lambda line: line["hash"]))
     held = profiled.join(first.select("row"), "row", "left_semi").select("source", F.explode(hashes).alias("hash"))
     counts = held.groupBy("source", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") > limits.max_docs)
-    both = counts.join(sizes.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host")))
-    return both.where(F.col("docs") > limits.max_share * F.col("host_docs")).select("source", "hash", "docs")
+    return counts.select("source", "hash", "docs")
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -132,15 +130,15 @@ def remove_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     The lines of a text are matched one by one and put together again in order, so a
     host's list of frequent lines never has to fit into one row.
     """
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()))
-    lines = rows.select("__row", "source", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = stage(docs.select(whole, F.monotonically_increasing_id().alias("row")))
+    lines = rows.select("row", "doc.source", F.posexplode(F.split("doc.text", "\n")).alias("at", "line"))
     words = F.array_remove(F.split(_without(F.col("line"), OTHER_SPACE, " "), " "), "")
     above = frequent.select(F.col("source").alias("host"), "hash")
     left = lines.withColumn("key", F.when(F.size(words) > 0, line_hash(words))).join(
         above, (F.col("key") == F.col("hash")) & F.col("source").eqNullSafe(F.col("host")), "left_anti"
     )
-    texts = left.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("kept_lines"))
+    texts = left.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("kept_lines"))
     joined = F.array_join(F.transform("kept_lines", lambda x: x["line"]), "\n")
-    text = F.when(F.col("text").isNotNull(), F.coalesce(joined, F.lit("")))
-    whole = rows.join(texts, "__row", "left").withColumn("text", text)
-    return whole.select(*docs.columns)
+    text = F.when(F.col("doc.text").isNotNull(), F.coalesce(joined, F.lit(""))).alias("text")
+    return rows.join(texts, "row", "left").select(*[text if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])

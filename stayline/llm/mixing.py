@@ -65,10 +65,9 @@ def _order(mix: Mix, epoch: str, fingerprint: str) -> Column:
     return F.conv(F.substring(F.md5(told), 1, ORDER_DIGITS), 16, 10).cast("long")
 
 
-def _named(docs: DataFrame, mix: Mix) -> DataFrame:
-    """Rows with their leaf; levels get names of their own, so no column can clash."""
-    levels = {f"__level{i}": F.coalesce(F.col(level).cast("string"), F.lit("")) for i, level in enumerate(mix.levels)}
-    return docs.withColumns(levels)
+def _levels(mix: Mix) -> list[Column]:
+    """The leaf of a row."""
+    return [F.coalesce(F.col(level).cast("string"), F.lit("")).alias(f"__level{i}") for i, level in enumerate(mix.levels)]
 
 
 def _own(mix: Mix) -> list[str]:
@@ -135,23 +134,28 @@ def cuts(measured: DataFrame, mix: Mix) -> DataFrame:
     return shares.join(found, own, "left").select(*own, "epochs", F.coalesce("cut", F.lit(0)).alias("cut"))
 
 
-def copies(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``copies``: how often each document is in the mix."""
-    rows = _named(docs, mix).withColumn("__tokens", n_tokens(F.col("text")))
-    rows = rows.withColumn("__print", F.md5(F.coalesce("text", F.lit(""))))
+def _counted(docs: DataFrame, mix: Mix) -> DataFrame:
+    """(doc, tokens, copies): the whole row as one column, so no name of its columns can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    facts = [n_tokens(F.col("text")).alias("tokens"), F.md5(F.coalesce("text", F.lit(""))).alias("fingerprint")]
+    rows = docs.select(whole, "doc_id", *facts, *_levels(mix))
     own = _own(mix)
-    narrow = [F.col("__tokens").alias("tokens"), F.col("__print").alias("fingerprint")]
-    measured = stage(rows.select(*own, "doc_id", *narrow))
-    chosen = stage(cuts(measured, mix).withColumnsRenamed({"epochs": "__epochs", "cut": "__cut"}))
-    told = rows.join(chosen, own)
-    number = F.col("__epochs") + F.when(_order(mix, "__epochs", "__print") < F.col("__cut"), 1).otherwise(0)
-    named = [name for name in docs.columns if name not in ("n_tokens", "copies")]
-    return told.select(*named, F.col("__tokens").alias("n_tokens"), number.alias("copies"))
+    measured = stage(rows.select(*own, "doc_id", "tokens", "fingerprint"))
+    told = rows.join(stage(cuts(measured, mix)), own)
+    number = F.col("epochs") + F.when(_order(mix, "epochs", "fingerprint") < F.col("cut"), 1).otherwise(0)
+    return told.select("doc", "tokens", number.alias("copies"))
+
+
+def copies(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``copies``: how often each document is in the mix.
+
+    Columns of these two names give way.
+    """
+    named = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("n_tokens", "copies")]
+    return _counted(docs, mix).select(*named, F.col("tokens").alias("n_tokens"), "copies")
 
 
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix itself: every document as often as its copies say; all columns stay."""
-    numbered = copies(docs.withColumns({f"__own{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns) if c in ("n_tokens", "copies")}), mix)
-    repeated = numbered.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    restored = [F.col(f"__own{i}").alias(c) if c in ("n_tokens", "copies") else F.col(f"`{c}`") for i, c in enumerate(docs.columns)]
-    return repeated.select(*restored)
+    numbered = _counted(docs, mix).where("copies > 0")
+    return numbered.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

@@ -318,6 +318,6 @@ def join(docs: DataFrame, search: Search = Search()) -> DataFrame:
 def one_of_each(docs: DataFrame, search: Search = Search()) -> DataFrame:
     """``docs`` with one document of each class; all columns stay."""
     kept = stage(join(docs, search).where("kept").select("copy", "copy2").distinct())
-    own = {"__copy": _copy_keys()[0], "__copy2": _copy_keys()[1]}
-    rows = docs.withColumns(own).join(kept.toDF("__copy", "__copy2"), ["__copy", "__copy2"])
-    return rows.dropDuplicates(["__copy", "__copy2"]).select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(whole, _copy_keys()[0].alias("copy"), _copy_keys()[1].alias("copy2")).join(kept, ["copy", "copy2"])
+    return rows.dropDuplicates(["copy", "copy2"]).select("doc.*")

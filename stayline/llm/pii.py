@@ -7,9 +7,9 @@ occurs: its places before identifiers are set against its places among the words
 around them.  Patterns and instances then form a graph that Spark scores in rounds:
 a pattern is as good as the different instances it surrounds, an instance as good as
 its patterns together (noisy-or), and patterns above ``min_pattern`` pass instances
-above ``min_instance`` on to the next round, where their contexts count too.  Tokens
-that look like identifiers and stand in such contexts are found without fitting any
-fixed pattern.
+above ``min_instance`` on to the next round, where their contexts count too, until no
+instance is new.  Tokens and runs of digit groups that look like identifiers and stand in
+such contexts are found without fitting any fixed pattern, and then wherever they occur.
 
 Only narrow rows (hashed contexts of identifier-like tokens) are shuffled.  An
 instance or a pattern that a third of all documents hold is met by sums with a
@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import accumulate, chain, islice
 
 import pandas as pd
 import pyarrow as pa
@@ -40,12 +40,15 @@ from stayline.staging import stage
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-#: A token that may be an identifier: letters, digits and joints, with four digits or an at sign.
-_TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9._@/+-]*[A-Za-z0-9]")
+#: What may be an identifier: groups of digits that blanks, brackets and joints hold together, the first one after
+#: a letter or two; or a token of letters, digits and joints.  Both with four digits, a token also with an at sign inside.
+_TOKEN = re.compile(
+    r"(?<![A-Za-z0-9])\(?[A-Za-z]{0,2}[0-9]+\)?(?:[ ./-]{1,2}\(?[0-9]+\)?)+(?![A-Za-z0-9@])|[A-Za-z0-9][A-Za-z0-9._@/+-]*[A-Za-z0-9]"
+)
 _DIGIT = re.compile(r"[0-9]")
 LEAST_CHARS, LEAST_DIGITS = 6, 4
 #: Words on either side that tell how common a pattern is, and characters looked through for them.
@@ -56,7 +59,6 @@ MARKS_A_ROW = 1_000
 
 @dataclass(frozen=True)
 class Bootstrap:
-    rounds: int = 3
     min_instances: int = 3
     min_texts: int = 3
     min_share: float = 0.5
@@ -113,14 +115,19 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 def _candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
     """Identifier-like tokens clear of the spans."""
-    k = 0
+    k, last_end = 0, [*accumulate((end for _, _, end in spans), max)]
     for m in _TOKEN.finditer(text):
         a, b = m.span()
-        if b - a < LEAST_CHARS or sum("0" <= c <= "9" for c in m[0]) < LEAST_DIGITS:
+        if b - a < LEAST_CHARS or "@" not in m[0] and sum("0" <= c <= "9" for c in m[0]) < LEAST_DIGITS:
             continue
-        while k < len(spans) and spans[k][2] <= a:
+        # spans are sorted by their starts; ends need not be, so only what ends before every later start is left behind
+        while k < len(spans) and last_end[k] <= a:
             k += 1
-        if all(b <= s or e <= a for s, _, e in spans[k : k + 8]):
+        here, free = k, True
+        while free and here < len(spans) and spans[here][0] < b:
+            free = spans[here][2] <= a
+            here += 1
+        if free:
             yield a, b
 
 
@@ -197,7 +204,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def rows_of(text: str) -> Iterator[tuple]:
         spans = base_spans(text)
         counts = [sum(kind == k for _, kind, _ in spans) for k in range(len(KINDS))]
-        marks = marks_of(text, spans) if spans or _DIGIT.search(text) else iter(())
+        marks = marks_of(text, spans) if spans or "@" in text or _DIGIT.search(text) else iter(())
         yield 0, counts, written(spans), list(islice(marks, MARKS_A_ROW))
         part = 0
         while more := list(islice(marks, MARKS_A_ROW)):
@@ -252,9 +259,10 @@ def patterns_of(scanned: DataFrame, bootstrap: Bootstrap = Bootstrap()) -> tuple
     )
     edges = stage(edges)
     seeds = edges.where("kind >= 0").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    known = stage(seeds.groupBy("instance").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("score")))
-    before = -1
-    for _ in range(bootstrap.rounds):
+    seeds = stage(seeds.groupBy("instance").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("score")))
+    known = seeds
+    # an instance once found stays, so the rounds end when the graph has no more of them
+    while True:
         size = edges.groupBy("pattern").agg(F.count("*").alias("all"), F.min("wording").alias("wording"))
         told = edges.select("pattern", "instance", "some_text").join(known, "instance").groupBy("pattern", "kind")
         told = told.agg(F.sum("score").alias("told"), F.count("*").alias("n"), F.count_distinct("some_text").alias("texts"))
@@ -265,22 +273,18 @@ def patterns_of(scanned: DataFrame, bootstrap: Bootstrap = Bootstrap()) -> tuple
         votes = votes.agg((1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999)))))).alias("score"))
         best = votes.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("rank"))).alias("b"))
         fresh = best.select("instance", (-F.col("b.rank")).alias("kind"), F.col("b.score").alias("score"))
-        fresh = stage(fresh.where(F.col("score") >= bootstrap.min_instance).join(seeds.select("instance"), "instance", "left_anti"))
-        known = stage(seeds.groupBy("instance").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("score")).unionByName(fresh))
-        now = fresh.count()
-        if now == before or not now:
-            break
-        before = now
-    return accepted, known.where("score < 1")
+        fresh = stage(fresh.where(F.col("score") >= bootstrap.min_instance).join(known.select("instance"), "instance", "left_anti"))
+        if fresh.isEmpty():
+            return accepted, known.join(seeds.select("instance"), "instance", "left_anti")
+        known = stage(known.unionByName(fresh))
 
 
 def found_spans(scanned: DataFrame, bootstrap: Bootstrap = Bootstrap()) -> DataFrame:
-    """(text_key, text_key2, extra): spans per text that stand in an accepted pattern and hold a discovered instance."""
-    accepted, discovered = patterns_of(scanned, bootstrap)
+    """(text_key, text_key2, extra): spans per text that hold a discovered instance, whatever stands around them."""
+    _, discovered = patterns_of(scanned, bootstrap)
     marks = scanned.select("text_key", "text_key2", F.explode("marks").alias("m")).where("m.kind < 0")
-    places = marks.select("text_key", "text_key2", "m.start", "m.end", "m.instance", F.explode("m.patterns.pattern").alias("pattern"))
-    matched = places.join(accepted.select("pattern", "kind"), "pattern").join(discovered.select("instance", "kind"), ["instance", "kind"])
-    once = matched.select("text_key", "text_key2", "start", "kind", "end").distinct()
+    places = marks.select("text_key", "text_key2", "m.start", "m.end", "m.instance")
+    once = places.join(discovered.select("instance", "kind"), "instance").select("text_key", "text_key2", "start", "kind", "end").distinct()
     return once.groupBy("text_key", "text_key2").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra"))
 
 
@@ -337,12 +341,12 @@ def _mask(texts: pd.Series, extra: pd.Series) -> pd.Series:
 
 def redact(docs: DataFrame, bootstrap: Bootstrap = Bootstrap()) -> DataFrame:
     """``docs`` with every span of personal data replaced by the name of its kind."""
-    extra = stage(found_spans(stage(scan(docs)), bootstrap)).toDF("__key", "__key2", "__extra")
-    keys = dict(zip(("__key", "__key2"), _text_keys(), strict=True))
-    rows = docs.withColumns(keys).join(extra, ["__key", "__key2"], "left")
-    text = {"text": _mask("text", "__extra")}
-    rows = rows.withColumns(text)
+    extra = stage(found_spans(stage(scan(docs)), bootstrap))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(whole, *_text_keys()).join(extra, ["text_key", "text_key2"], "left")
+    rows = rows.select("doc", _mask("doc.text", "extra").alias("text"))
+    told = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(kind))
-    return rows.select(*docs.columns)
+        told["n_chars"] = F.when(F.col("doc.n_chars").isNotNull(), F.length("text")).cast(kind)
+    return rows.select(*[column.alias(c) for c, column in told.items()])

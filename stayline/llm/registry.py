@@ -94,13 +94,9 @@ WITH docs AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
 ), distinct_docs AS (
     SELECT source, text, min(r) AS r FROM docs GROUP BY source, text
-), sizes AS (
-    SELECT source, count(*) AS host_docs FROM distinct_docs GROUP BY source
 ), frequent AS (
-    SELECT w.source, w.norm
-    FROM worded w JOIN distinct_docs d ON w.r = d.r JOIN sizes s ON w.source IS NOT DISTINCT FROM s.source
-    GROUP BY w.source, w.norm, host_docs
-    HAVING count(DISTINCT w.r) > 10 AND count(DISTINCT w.r) > 0.005 * host_docs
+    SELECT w.source, w.norm FROM worded w JOIN distinct_docs d ON w.r = d.r
+    GROUP BY w.source, w.norm HAVING count(DISTINCT w.r) > 10
 ), removed AS (
     SELECT w.r, sum(len(w.ws)) AS gone
     FROM worded w JOIN frequent f ON w.norm = f.norm AND w.source IS NOT DISTINCT FROM f.source GROUP BY w.r

@@ -6,8 +6,9 @@ are fitted so that documents get their labels; which sentence offends is never t
 yet it is the one whose chance is high.  Features are words and their first letters,
 so an insult is known with endings that were not seen.
 
-The fit reads a bounded sample of labelled documents (``Fit``: documents per label and
-characters, drawn by a hash of the id) in one task; scoring reads every whole text.
+The fit reads a bounded sample of labelled documents (``Fit``: documents per label, drawn
+by a hash of the id, and of those the shortest that fit the number of characters) in one
+task; scoring reads every whole text, against the chance that a sentence has without any feature.
 
 Cases: null and empty texts, and texts without a word, have score 0; null labels and null ids
 are not learned from; a document with two labels counts as toxic; without labelled
@@ -92,8 +93,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
     picked = drawn.join(F.broadcast(share), "toxic")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
     once = texts.groupBy("doc_id", "toxic", "weight").agg(F.max("text").alias("text"))
-    before = F.sum(F.length("text")).over(Window.orderBy(F.xxhash64("doc_id", F.lit("chars")), "doc_id"))
-    return once.withColumn("before", before).where(F.col("before") <= fit.chars).select("text", "toxic", "weight")
+    once = stage(once)
+    # lengths alone go through the window, the shortest first: what does not fit is the longest, and drops nothing else
+    chars = F.length("text")
+    upto = F.sum("chars").over(Window.orderBy("chars", F.xxhash64("doc_id", F.lit("chars")), "doc_id"))
+    fitting = once.select("doc_id", chars.alias("chars")).withColumn("upto", upto).where(F.col("upto") <= fit.chars)
+    return once.join(F.broadcast(fitting.select("doc_id")), "doc_id").select("text", "toxic", "weight")
 
 
 def fit_weights(texts: list[str], toxic: list[int], weight: list[float], fit: Fit) -> Model:
@@ -163,17 +168,28 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
                 [pa.array([f for f, _ in told]), pa.array([x for _, x in told])], names=["feature", "weight"]
             )
 
-    sample = training_sample(docs, labels, fit).withColumn("toxic", F.col("toxic").cast("int"))
+    sample = stage(training_sample(docs, labels, fit).withColumn("toxic", F.col("toxic").cast("int")))
+    kinds = {r["toxic"] for r in sample.select("toxic").distinct().collect()}
+    if len(kinds) < 2 and told_kinds(docs, labels) > 1:
+        raise ValueError(f"no labelled document of one kind fits into {fit.chars} characters")
     rows = sample.repartition(1).mapInArrow(fitted, "feature string, weight double").collect()
     weights = {r["feature"]: r["weight"] for r in rows}
     return Model(weights.pop("", -50.0), weights)
 
 
+def told_kinds(docs: DataFrame, labels: DataFrame) -> int:
+    """How many of the two labels the documents to learn from have."""
+    told = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & in_training(F.col("doc_id")))
+    return told.join(docs.select("doc_id"), "doc_id", "left_semi").select("toxic").distinct().count()
+
+
 class Scorer:
     """Applies a model.
 
-    All features of a word begin as the word does, so a text none of whose words
-    begins like a feature has only sentences at the bias.
+    A sentence counts by what its features add to the chance that any sentence has, so
+    sentences without a feature add nothing and no text is toxic for its length.  All
+    features of a word begin as the word does, so a text none of whose words begins
+    like a feature has chance 0.
     """
 
     def __init__(self, model: Model):
@@ -195,10 +211,9 @@ class Scorer:
         if not words:
             return 0.0
         if self.starts.isdisjoint({w[: PREFIXES[0]] for w in words}):
-            risk = self.base * len(_WORDED.findall(text))
-        else:
-            risk = sum(max(z, 0) + math.log1p(math.exp(-abs(z))) for _, _, z in self.spans(text))
-        return -math.expm1(-risk)
+            return 0.0
+        risk = sum(max(z, 0) + math.log1p(math.exp(-abs(z))) - self.base for _, _, z in self.spans(text))
+        return -math.expm1(-max(risk, 0.0))
 
 
 def score_column(model: Model):

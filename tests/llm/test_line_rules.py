@@ -85,3 +85,18 @@ def test_repeated_rows_and_empty_table(spark):
 def test_plan_is_native(spark):
     plan = line_rules.judge(frame(spark, [(1, "a", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_limit_does_not_grow_with_the_host(spark):
+    line = "shared boilerplate " + " ".join(f"b{i}" for i in range(8))
+    rows = [(k, f"{prose(k)}\n{line if k < 20 else prose(-k, 3)}", "big") for k in range(5_000)]
+    frequent = line_rules.frequent_lines(line_rules.profile(frame(spark, rows))).collect()
+    assert [(r.source, r.docs) for r in frequent] == [("big", 20)]
+
+
+def test_remove_lines_leaves_columns_of_any_name_alone(spark):
+    rows = [(k, f"own {k}\nnotice here", "a", 7, 8, "d", "k") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `__row` int, `row` int, doc string, kept_lines string")
+    out = line_rules.remove_lines(docs, line_rules.frequent_lines(line_rules.profile(docs)))
+    assert out.columns == docs.columns
+    assert {tuple(r)[1:] for r in out.collect()} == {(f"own {k}", "a", 7, 8, "d", "k") for k in range(12)}

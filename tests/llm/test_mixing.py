@@ -108,3 +108,14 @@ def test_empty_table_and_native_plan(spark):
     assert mixing.copies(empty, mixing.Mix()).count() == 0 and mixing.mixed(empty, mixing.Mix()).count() == 0
     plan = mixing.copies(frame(spark, corpus()), mixing.Mix())._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ("__tokens", "__print", "__epochs", "__cut", "__copy", "__level0", "__root", "doc", "tokens", "copies", "n_tokens")
+    schema = "doc_id long, text string, domain string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(k, f"words of text {k}", "d", "en", "s", *names) for k in range(20)]
+    docs = spark.createDataFrame(rows, schema)
+    out = mixing.mixed(docs, mixing.Mix(share=100))
+    assert out.schema == docs.schema and sorted(map(tuple, out.collect())) == sorted(rows)
+    told = mixing.copies(docs, mixing.Mix(share=100)).collect()
+    assert all(r.copies == 1 and r.n_tokens == 4 and r["__tokens"] == "__tokens" for r in told)

@@ -118,3 +118,11 @@ def test_intersections(n):
     sets = [np.unique(rng.integers(0, 300, 120).astype(np.uint64)) for _ in range(40)]
     i, j = rng.integers(0, 40, n), rng.integers(0, 40, n)
     assert nj.intersections(sets, i, j).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    rows = [(1, "some words to say here", "a", "b", "c"), (2, "some words to say here", "a", "b", "c"), (3, None, "a", "b", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__copy` string, copy string, doc string")
+    out = nj.one_of_each(docs)
+    assert out.schema == docs.schema and sorted(tuple(r)[1:] for r in out.collect() if r.text) == [rows[0][1:]]
+    assert out.count() == 2

@@ -94,3 +94,50 @@ def test_masks_join_overlaps():
     assert pii.masked("a 1.2.3.4 b", [(2, 1, 9)]) == "a [IP] b"
     assert pii.masked("+1.2.3.456", [(0, 3, 10), (1, 1, 8)]) == "[PHONE]"
     assert pii.masked("0123456789", [(0, 2, 6), (4, 3, 8)]) == "[CARD]89"
+
+
+def spans_by_text(spark, rows):
+    texts = dict(rows)
+    return {r.doc_id: [texts[r.doc_id][int(x.split(":")[1]) : int(x.split(":")[2])] for x in r.spans.split(",") if x] for r in pii.find(frame(spark, rows)).collect()}
+
+
+def test_contexts_find_groups_of_digits_and_at_signs_and_then_every_place(spark):
+    rows = [(k, f"Some words of the day about nothing {k} at all. Reach me by phone: +1 (555) 010-{1000 + k} thanks and then more.") for k in range(30)]
+    told = ["030 12 34 56", "alice@intranet", "(555) 010-1234", "QX-70037", "DE89 3704 0044 0532"]
+    rows += [(100 + k, f"Other words here. Reach me by phone: {x} thanks and then more.") for k, x in enumerate(told)]
+    rows += [(200, "We saw QX-70037 again"), (201, "QX-70037"), (202, "Nobody knows ZZ-70038 here"), (203, "on 2020 10 12 it rained"), (204, "alice@intranet wrote")]
+    got = spans_by_text(spark, rows)
+    for k, x in enumerate(told):
+        assert got[100 + k] == [x], x
+    assert got[200] == got[201] == ["QX-70037"] and got[202] == got[203] == [] and got[204] == ["alice@intranet"]
+    texts = {r.doc_id: r.text for r in pii.redact(frame(spark, rows)).collect()}
+    assert texts[200] == "We saw [PHONE] again" and texts[100] == "Other words here. Reach me by phone: [PHONE] thanks and then more."
+
+
+def test_chains_are_followed_to_their_end(spark):
+    """Each context is learned from identifiers that the one before it found: six of them, one after the other."""
+    filler = "some words of the day that say nothing at all and go on"
+    sizes, texts = [96, 48, 24, 12, 6, 3, 1], []
+    names = [[f"+1 555 010-{2000 + k}" for k in range(sizes[0])]] + [[f"ID{hop}-{80_000 + k}" for k in range(n)] for hop, n in enumerate(sizes[1:])]
+    for hop in range(6):
+        texts += [f"{filler} hop{chr(97 + hop)} code{chr(97 + hop)}: {name} {filler}" for name in (*names[hop], *names[hop + 1])]
+    got = spans_by_text(spark, list(enumerate(texts)))
+    held = set(sum(got.values(), []))
+    assert held == set(sum(names, []))
+
+
+def test_long_runs_of_digits_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    text = "7" * 10_000_000
+    assert pii.base_spans(text) == [] and [*pii._candidates(text, [])] == [(0, len(text))]
+    assert time.perf_counter() - start < 30
+
+
+def test_columns_of_any_name_stay(spark):
+    schema = "doc_id long, text string, `__key` string, doc string, text_key string, extra string"
+    docs = spark.createDataFrame([(1, "mail a.b@c.org", "a", "b", "c", "d"), (None, None, "a", "b", "c", "d")], schema)
+    out = pii.redact(docs)
+    assert out.schema == docs.schema
+    assert sorted(map(str, out.collect())) == sorted(map(str, spark.createDataFrame([(1, "mail [EMAIL]", "a", "b", "c", "d"), (None, None, "a", "b", "c", "d")], schema).collect()))

@@ -50,3 +50,29 @@ def test_run_gives_a_row_per_row_of_the_mix(spark, staged):
     got = queries()["pipeline"](spark, SF_DIR).collect()
     assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in staged[-1].select("doc_id").collect())
     assert json.dumps(corpus_pipeline.ORACLE_SQL) == "null"
+
+CASES = "doc_id long, text string, lang string, source string, n_chars int, domain string, `__copy` string, doc string, tokens string, extra string"
+
+
+def chained(spark, rows):
+    docs = spark.createDataFrame([(*r, "m", "c", "d", "t", "e") for r in rows], CASES)
+    columns = docs.columns
+    for _, apply in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stage(apply(spark, docs, SF_DIR))
+        assert docs.columns == columns
+        assert all(tuple(r)[5:] == ("m", "c", "d", "t", "e") for r in docs.collect())
+    return docs, corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+
+
+def test_nulls_repeats_long_texts_and_other_columns_in_the_chain(spark):
+    long = " ".join(f"word{k}" for k in range(60_000))
+    rows = [(None, None, None, None, None), (1, "", "en", "src0", 0), (2, "one two three four five six", "en", "src1", 27)]
+    rows += [rows[2], (3, long, None, "src0", len(long)), (4, "write to a.b@c.org now or never again", None, None, None)]
+    docs, tokens = chained(spark, rows)
+    assert tokens.count() == docs.count() <= 4 * len(rows)
+    assert not any("a.b@c.org" in (r.text or "") for r in docs.collect())
+
+
+def test_an_empty_table_in_the_chain(spark):
+    docs, tokens = chained(spark, [])
+    assert docs.count() == tokens.count() == 0

@@ -78,3 +78,45 @@ def test_no_labels_and_empty_tables(spark):
     assert toxicity.score_documents(docs.limit(0), none).count() == 0
     one_sided = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
     assert toxicity.score_documents(docs, one_sided).first().predicted == 0
+
+
+def test_scores_equal_a_plain_noisy_or():
+    import math
+    import re
+
+    model = toxicity.Model(-6.0, {"nasty": 7.0, "vile-": 4.0, "karan": 0.2})
+    scorer = toxicity.Scorer(model)
+    rng = random.Random(4)
+    for _ in range(300):
+        words = rng.choices(["karan", "losel", "nasty", "vilebad", "Nasty", "tu"], weights=[4, 9, 1, 1, 1, 4], k=rng.randrange(0, 40))
+        text = "".join(w + rng.choice([" ", " ", ". ", "! ", "\n"]) for w in words)
+        clean = 1.0
+        for part in re.split(r"[.!?\n]", text):
+            told = {f for w in re.findall(r"\w+", part.lower()) for f in toxicity.features(w)}
+            if re.search(r"\w", part):
+                odds = model.bias + sum(model.weights.get(f, 0.0) for f in told)
+                clean *= (1 + math.exp(model.bias)) / (1 + math.exp(odds))
+        assert scorer.score(text) == pytest.approx(1 - clean, abs=1e-12)
+
+
+def test_length_alone_makes_no_text_toxic():
+    scorer = toxicity.Scorer(toxicity.Model(-6.55, {"nasty": 9.0}))
+    one, many = "karan losel midor. ", "karan losel midor. " * 5_000
+    assert scorer.score(one) == scorer.score(many) == 0
+    assert scorer.score(one + "You nasty one. ") == pytest.approx(scorer.score(many + "You nasty one. "))
+    assert scorer.score(one + "You nasty one. ") > 0.9
+
+
+def test_one_long_text_leaves_the_others_in_the_sample(spark, scored):
+    _, truth, frame, told, got = scored
+    long = spark.createDataFrame([(10_001, "karan losel midor. " * 3_000_000, 5, 0.5)], DOCS)
+    labels = told.unionByName(spark.createDataFrame([(10_001, 0)], "doc_id long, toxic int"))
+    sample = toxicity.training_sample(frame.unionByName(long), labels)
+    assert sample.count() == toxicity.training_sample(frame, told).count()
+    model = toxicity.train(frame.unionByName(long), labels)
+    scorer = toxicity.Scorer(model)
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    toxic = [k for k, v in truth.items() if v]
+    assert sum(scorer.score(texts[k]) >= 0.5 for k in toxic) >= 0.95 * len(toxic)
+    with pytest.raises(ValueError, match="fits"):
+        toxicity.train(frame, told, toxicity.Fit(chars=3))
