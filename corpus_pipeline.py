@@ -3,6 +3,12 @@
 Toxic documents go, one document of each group of near duplicates stays, personal
 data is masked, sources are mixed to target weights (documents of sources that are
 asked for more than they have occur once per epoch), and the mix is encoded.
+
+Cases, in all stages: a null text counts as empty, is clean, stays null where it is masked
+and has no tokens; null ids, languages and sources are values like others; empty texts and
+texts of equal words are copies of one another, of which one stays; rows that are
+repeated are copies too; long texts are read whole; an empty table passes as an empty
+table; columns beside the five of the table are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,9 +38,12 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of domain, language and source ask for."""
-    levels = ("__domain", *MIX.levels[1:])
+    domain = "domain"
+    while domain in docs.columns:
+        domain += "_"
+    levels = (domain, *MIX.levels[1:])
     mix = mixing.Mix(levels, MIX.weights, MIX.default, MIX.share, MIX.max_epochs, MIX.seed)
-    return mixing.mixed(docs.withColumn("__domain", domain_of()), mix).select(*docs.columns)
+    return mixing.mixed(docs.withColumn(domain, domain_of()), mix).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
