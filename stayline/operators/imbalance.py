@@ -4,11 +4,15 @@ The neighbour search never pairs the whole minority class with itself:
 
 1. Equal points are folded to one *site*; only a site's k+1 smallest keys can be
    anyone's neighbour.
-2. Sites are cut into cells, each along the axis on which it has most values,
+2. Beside its axes a site gets its distance to each of a few *pivots*.  On all these
+   coordinates two sites differ by at most their distance, so each can prune.
+3. Sites are cut into cells, each along the coordinate on which it spreads most,
    until no cell is over the limit; two sites differ on some axis, so this ends.
-3. Each cell finds the nearest candidates among its own sites.
-4. A site whose ball of that radius reaches over its cell's edge visits the cells
-   it touches; what is nearer there replaces the farthest.
+4. Each cell finds the nearest candidates among its own sites.
+5. A site whose ball of that radius reaches over its cell's edge visits the cells it
+   touches, level by level: a cell is left out as soon as the box of its sites, or its
+   range of distances to any pivot, lies beyond the ball.  What is nearer there
+   replaces the farthest.
 
 Every site within the k-th distance is thus seen, so the result is exact.
 """
@@ -16,6 +20,7 @@ Every site within the k-th distance is thus seen, so the result is exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,48 +32,116 @@ from stayline.staging import stage
 
 NEIGHBORS = 5
 CELL_SITES = 2_000
-# Children of one cut; a cell that is still too large is cut again.
-FAN_OUT = 64
+# Most and fewest children of one cut; a cell that is still too large is cut again.  The more
+# axes there are, the fewer, so that cells get narrow along several of them and not along one.
+FAN_OUT, LEAST_FAN_OUT = 64, 4
+#: Sites whose distances serve as further coordinates, and the hash sample they are chosen from.
+PIVOTS, PIVOT_SAMPLE = 8, 1_000
 # Synthetic rows of one minority row that are made by one task.
 COPIES_AT_ONCE = 10_000
 
+# Share of a coordinate that rounding can hide at most.
+ROUNDING = 1e-13
+
 CANDIDATES = "array<struct<d2: double, key: bigint, at: array<double>>>"
 
 
-def _on_axis(at: str = "at", axis: str = "axis") -> Column:
-    return F.element_at(at, F.col(axis) + 1)
+def _on_axis(axis: str = "axis") -> Column:
+    return F.element_at("on", F.col(axis) + 1)
+
+
+def _pivots(sites: DataFrame) -> list[list[float]]:
+    """Far-apart sites of a bounded hash sample: each the one farthest from those before it."""
+    import numpy as np
+
+    drawn = sites.select("at").orderBy(F.xxhash64("at"), "at").limit(PIVOT_SAMPLE).collect()
+    at = np.array([r["at"] for r in drawn], dtype=float)
+    if not len(at):
+        return []
+    nearest = np.square(at - at.mean(axis=0)).sum(axis=1)
+    chosen: list[int] = []
+    while len(chosen) < min(PIVOTS, len(at)):
+        farthest = int(nearest.argmax())
+        d2 = np.square(at - at[farthest]).sum(axis=1)
+        nearest = np.minimum(nearest, d2) if chosen else d2
+        chosen.append(farthest)
+    return at[chosen].tolist()
+
+
+def _coordinates(axes: int, pivots: list[list[float]]) -> Column:
+    """The axes of ``at``, then its distance to each pivot."""
+    far = []
+    for pivot in pivots:
+        steps = [F.col("at")[a] - F.lit(pivot[a]) for a in range(axes)]
+        far.append(F.sqrt(reduce(lambda x, y: x + y, [step * step for step in steps])))
+    return F.array(*[F.col("at")[a] for a in range(axes)], *far)
+
+
+def _measured(placed: DataFrame, coordinates: int) -> DataFrame:
+    """Cells with their number of sites, and by coordinate the range and spread (-1: all equal)."""
+    x = [F.col("on")[c] for c in range(coordinates)]
+    spread = [F.when(F.min(c) == F.max(c), F.lit(-1.0)).otherwise(F.nanvl(F.stddev_pop(c), F.lit(0.0))) for c in x]
+    return stage(
+        placed.groupBy("cell").agg(
+            F.count("*").alias("n"),
+            F.array(*[F.min(c) for c in x]).alias("lows"),
+            F.array(*[F.max(c) for c in x]).alias("highs"),
+            F.array(*spread).alias("spread"),
+        )
+    )
+
+
+def _fan_out(axes: int) -> int:
+    return max(LEAST_FAN_OUT, min(FAN_OUT, round(FAN_OUT ** (2 / axes))))
 
 
-def _cuts_of(placed: DataFrame, axes: int, cell_sites: int) -> DataFrame:
+def _cuts_of(placed: DataFrame, cells: DataFrame, fan_out: int, cell_sites: int) -> DataFrame:
     """(cell, axis, splits) for each cell that is still too large."""
-    kinds = [F.approx_count_distinct(F.col("at")[a]).alias(f"d{a}") for a in range(axes)]
-    measured = placed.groupBy("cell").agg(F.count("*").alias("n"), *kinds).where(F.col("n") > cell_sites)
-    most = F.greatest(*[f"d{a}" for a in range(axes)]) if axes > 1 else F.col("d0")
-    axis = F.array_position(F.array(*[f"d{a}" for a in range(axes)]), most) - 1
-    large = stage(measured.select("cell", "n", axis.cast("int").alias("axis")))
+    axis = (F.array_position("spread", F.array_max("spread")) - 1).cast("int")
+    large = cells.where(F.col("n") > cell_sites).select("cell", "n", axis.alias("axis"), "lows")
+    large = large.select("cell", "n", "axis", _low().alias("low"))
     x = _on_axis()
-    steps = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    steps = [i / fan_out for i in range(1, fan_out)]
     grid = (
         placed.join(large, "cell")
-        .groupBy("cell", "axis", "n")
-        .agg(F.percentile_approx(x, steps, 10 * FAN_OUT).alias("grid"), F.min(x).alias("low"), F.max(x).alias("high"))
+        .groupBy("cell", "axis", "n", "low")
+        .agg(
+            F.percentile_approx(x, steps, 10 * FAN_OUT).alias("grid"),
+            F.min(F.when(x > F.col("low"), x)).alias("above"),
+        )
     )
-    parts = F.least(F.lit(FAN_OUT), F.ceil(F.col("n") / cell_sites)).cast("int")
+    parts = F.least(F.lit(fan_out), F.ceil(F.col("n") / cell_sites)).cast("int")
     chosen = F.transform(
         F.sequence(F.lit(1), parts - 1),
-        lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * FAN_OUT / parts).cast("int"))),
+        lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * fan_out / parts).cast("int"))),
     )
+    # a cell of which most sites share the least value is cut just above it
     splits = F.array_sort(F.array_distinct(F.filter(chosen, lambda s: s > F.col("low"))))
-    found = F.when(F.size(splits) > 0, splits).otherwise(F.array("high"))
+    found = F.when(F.size(splits) > 0, splits).otherwise(F.array("above"))
     return stage(grid.select("cell", "axis", found.alias("splits")))
 
 
+def _low() -> Column:
+    return F.element_at("lows", F.col("axis") + 1)
+
+
+def _touched(axes: int, coordinates: int, reach: Column) -> Column:
+    """Whether the ball around ``on`` reaches the box of a cell and all of its ranges of pivot distances."""
+    gaps = []
+    for c in range(coordinates):
+        x = F.col("on")[c]
+        gap = F.greatest(F.col("lows")[c] - x, x - F.col("highs")[c]) - F.abs(x) * ROUNDING
+        gaps.append(F.greatest(gap, F.lit(0.0)))
+    box = reduce(lambda a, b: a + b, [gap * gap for gap in gaps[:axes]])
+    return reduce(lambda a, b: a & b, [gap <= reach for gap in gaps[axes:]], box <= reach * reach)
+
+
 def _descend(df: DataFrame, cuts: DataFrame, reach: Column) -> DataFrame:
-    """Move rows from their cell to every child cell their ball touches; uncut cells stay."""
+    """Move rows from their cell to every child cell their ball may touch; uncut cells stay."""
     joined = df.join(cuts, "cell", "left")
     x = _on_axis()
     # more than what rounding can hide, and nothing for a row that only looks for its own cell
-    wide = F.when(reach > 0, reach + F.abs(x) * 1e-14).otherwise(F.lit(0.0))
+    wide = F.when(reach > 0, reach + F.abs(x) * ROUNDING).otherwise(F.lit(0.0))
     child = lambda at: F.size(F.filter("splits", lambda s: s <= at))
     children = F.when(F.col("splits").isNotNull(), F.sequence(child(x - wide), child(x + wide)))
     moved = joined.withColumn("_child", F.explode(F.coalesce(children, F.array(F.lit(None).cast("int")))))
@@ -145,16 +218,38 @@ def _nothing():
     return pa.table({"at": pa.array([], place), "near": pa.array([], pa.list_(candidate))})
 
 
-def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -> DataFrame:
-    """The ``wanted`` nearest candidates of each site, by distance then key."""
+def _placed(sites: DataFrame, axes: int, pivots: list[list[float]], cell_sites: int) -> tuple[DataFrame, list]:
+    """Sites in cells of at most ``cell_sites``, and each level's cuts with the cells they gave."""
+    coordinates = axes + len(pivots)
+    placed = stage(sites.withColumns({"on": _coordinates(axes, pivots), "cell": F.lit("0")}))
     levels = []
-    placed = sites.withColumn("cell", F.lit("0"))
-    while True:
-        cuts = _cuts_of(placed, axes, cell_sites)
-        if cuts.isEmpty():
-            break
+    cells = _measured(placed, coordinates)
+    while not (cuts := _cuts_of(placed, cells, _fan_out(axes), cell_sites)).isEmpty():
         placed = stage(_descend(placed, cuts, F.lit(0.0)))
-        levels.append(cuts)
+        cells = _measured(placed, coordinates)
+        levels.append((cuts, cells))
+    return placed, levels
+
+
+def _visits(local: DataFrame, axes: int, pivots: list[list[float]], levels: list, wanted: int) -> DataFrame:
+    """(cell, at, limit): every other cell that may hold something nearer than what a site has."""
+    # The distance to the farthest candidate; without enough of them, no limit.
+    limit = F.when(
+        F.size("near") >= wanted, F.try_element_at("near", F.lit(wanted))["d2"]
+    ).otherwise(F.lit(float("inf")))
+    visits = local.select("at", F.col("cell").alias("home"), limit.alias("limit"))
+    reach = F.sqrt("limit") * 1.000000001 + 1e-12
+    visits = visits.withColumns({"cell": F.lit("0"), "_reach": reach, "on": _coordinates(axes, pivots)})
+    for cuts, cells in levels:
+        visits = _descend(visits, cuts, F.col("_reach")).join(cells.select("cell", "lows", "highs"), "cell")
+        visits = visits.where(_touched(axes, axes + len(pivots), F.col("_reach"))).drop("lows", "highs")
+    return visits.where(F.col("cell") != F.col("home")).select("cell", "at", "limit")
+
+
+def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -> DataFrame:
+    """The ``wanted`` nearest candidates of each site, by distance then key."""
+    pivots = _pivots(sites)
+    placed, levels = _placed(sites, axes, pivots, cell_sites)
 
     def in_cell(group):
         import numpy as np
@@ -164,20 +259,12 @@ def _site_neighbors(sites: DataFrame, axes: int, wanted: int, cell_sites: int) -
         near = _answer(points, np.full(len(points), np.inf), group, wanted)
         return pa.table({"at": group.column("at"), "cell": group.column("cell"), "near": near})
 
-    local = placed.groupBy("cell").applyInArrow(in_cell, f"at array<double>, cell string, near {CANDIDATES}")
+    at_home = placed.select("at", "keys", "cell").groupBy("cell")
+    local = at_home.applyInArrow(in_cell, f"at array<double>, cell string, near {CANDIDATES}")
     if not levels:
         return local.select("at", "near")
     local = stage(local)
-
-    # The distance to the farthest candidate; without enough of them, no limit.
-    limit = F.when(
-        F.size("near") >= wanted, F.try_element_at("near", F.lit(wanted))["d2"]
-    ).otherwise(F.lit(float("inf")))
-    visits = local.select("at", F.col("cell").alias("home"), limit.alias("limit"))
-    visits = visits.withColumns({"cell": F.lit("0"), "_reach": F.sqrt("limit") * 1.000000001 + 1e-12})
-    for cuts in levels:
-        visits = _descend(visits, cuts, F.col("_reach"))
-    visits = visits.where(F.col("cell") != F.col("home")).select("cell", "at", "limit")
+    visits = _visits(local, axes, pivots, levels, wanted)
 
     # A cell with many visitors is answered by several tasks, each with its sites.
     crowd = visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(4 * cell_sites)).alias("tasks"))

@@ -130,3 +130,51 @@ def test_null_features_are_refused(spark):
     df, names = points(spark, 20, 2)
     with pytest.raises(Exception, match="a feature is null"):
         imbalance.smote_neighbors(df.withColumn("x0", F.lit(None).cast("double")), names).collect()
+
+
+def groups_of_twelve_axes(spark, n=1_200, groups=12, seed=8):
+    """Points of twelve real axes around a few centres, with some copies."""
+    rng = random.Random(seed)
+    names = [f"x{a}" for a in range(12)]
+    centres = [[rng.gauss(0, 30) for _ in names] for _ in range(groups)]
+    rows = []
+    for i in range(n):
+        centre = rng.choice(centres)
+        at = rows[-1][2:] if i and rng.random() < 0.1 else [x + rng.gauss(0, 1) for x in centre]
+        rows.append((i, int(rng.random() < 0.8), *at))
+    return spark.createDataFrame(rows, "userId long, churn int, " + ", ".join(f"{x} double" for x in names)), names
+
+
+def test_neighbors_on_twelve_real_axes_match_brute_force(spark):
+    df, names = groups_of_twelve_axes(spark)
+    found = {}
+    for r in imbalance.smote_neighbors(df, names, cell_sites=40).orderBy("userId", "rank").collect():
+        found.setdefault(r.userId, []).append(r.neighbor)
+    at = {r.userId: [r[x] for x in names] for r in df.where("churn = 1").collect()}
+    for key, own in at.items():
+        order = sorted((sum((x - y) * (x - y) for x, y in zip(own, b)), k) for k, b in at.items() if k != key)
+        assert found[key] == [k for _, k in order[:5]]
+
+
+def test_sites_visit_few_cells_where_points_form_groups(spark):
+    df, names = groups_of_twelve_axes(spark)
+    sites = df.groupBy(F.array(*names).alias("at")).agg(F.collect_list("userId").alias("keys"))
+    pivots = imbalance._pivots(sites)
+    assert len(pivots) == imbalance.PIVOTS
+    placed, levels = imbalance._placed(sites, 12, pivots, 40)
+    sizes = [r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 40 and sum(sizes) == sites.count()
+    # every site within a group's width of six others: the ball that a site's own cell usually gives
+    local = placed.select("at", "cell", F.array_repeat(F.struct(F.lit(36.0).alias("d2")), 6).alias("near"))
+    visits = imbalance._visits(local, 12, pivots, levels, 6).groupBy("at").count()
+    assert visits.agg(F.avg("count")).first()[0] < len(sizes) / 4
+
+
+def test_a_cell_of_mostly_equal_values_is_still_cut(spark):
+    rows = [(i, 1, 0.0 if i % 50 else 10.0 ** (i % 100), float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "userId long, churn int, x0 double, x1 double")
+    found = {}
+    for r in imbalance.smote_neighbors(df, ["x0", "x1"], cell_sites=7).collect():
+        found.setdefault(r.userId, []).append((r.distance2, r.neighbor))
+    want = brute(df.collect(), ["x0", "x1"], 5)
+    assert {k: [n for _, n in sorted(v)] for k, v in found.items()} == {k: [n for _, n in v] for k, v in want.items()}
