@@ -72,3 +72,65 @@ def test_many_copies_of_one_conversation(spark):
     rows = [(c, t, "user" if t % 2 == 0 else "assistant", "same") for c in range(600) for t in range(4)]
     got = chat.read_back(chat.format_conversations(frame(spark, rows))).collect()
     assert len(got) == 600 and len({(r.turns_sha256, r.loss_sha256, r.n_turns) for r in got}) == 1
+
+
+def forgetful(messages, prompt=None):
+    """Keeps the thoughts of the last turn only."""
+    kept = [(r, t if k == len(messages) - 1 else t.split("|")[-1]) for k, (r, t) in enumerate(messages)]
+    return "".join(f"[{r}]{t}\n" for r, t in kept)
+
+
+def test_steps_of_parts_tell_what_the_whole_tells():
+    rng = random.Random(6)
+    for template in (chat.DelimitedTemplate(), forgetful):
+        for _ in range(40):
+            n = rng.randint(1, 12)
+            messages = [(rng.choice(["user", "assistant"]), rng.choice(["a", "b|c", "", "x|y|z"])) for _ in range(n)]
+            cut = rng.randint(0, n)
+            parts = [chat.steps(template, messages[:cut], 0, cut), chat.steps(template, messages, cut, n)]
+            joined = chat.located(parts[0][0] + parts[1][0], parts[1][1])
+            assert joined == chat.render(template, messages)
+            outs = [template(messages[:k]) for k in range(n + 1)]
+            moved = {k: chat.common_prefix(outs[k], outs[k + 1]) for k in range(n) if not outs[k + 1].startswith(outs[k])}
+            broken = min(moved, default=n)
+            for i in range(n):
+                hit = any(i < k and (i >= broken or shared < len(outs[i + 1])) for k, shared in moved.items())
+                assert joined.rewritten[i] == hit
+                assert joined.turns[i] == (None if hit or i >= broken else (len(outs[i]), len(outs[i + 1])))
+
+
+def test_long_conversations_are_dealt_over_tasks(spark):
+    rng = random.Random(9)
+    turns = {key: [(rng.choice(["user", "assistant"]), f"{k}<|" * rng.randint(0, 2)) for k in range(n)]
+             for key, n in ((1, 3 * chat.TURNS + 5), (2, chat.TURNS), (3, chat.TURNS + 1), (4, 2), (None, 2 * chat.TURNS))}
+    rows = [(c, k, r, t) for c, said in turns.items() for k, (r, t) in enumerate(said)]
+    rng.shuffle(rows)
+    template = chat.DelimitedTemplate()
+    formatted = chat.format_conversations(frame(spark, rows))
+    got = {r.conv_id: r for r in formatted.collect()}
+    digests = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    assert got.keys() == digests.keys() == turns.keys()
+    for key, said in turns.items():
+        r = got[key]
+        assert r.formatted == template(said) and not any(r.rewritten)
+        assert [template.unescape(r.formatted[s.start : s.end]) for s in r.text_spans] == [t for _, t in said]
+        assert [(s.start, s.end) for s in r.loss_spans] == [
+            (s.start, s.end) for s, (role, _) in zip(r.text_spans, said) if role == "assistant"
+        ]
+        d = digests[key]
+        assert (d.n_turns, d.turns_sha256, d.loss_chars, d.loss_sha256) == told(said)
+
+
+def test_rewriting_is_found_across_parts(spark):
+    said = [("user", "a")] * (chat.TURNS + 10)
+    said[chat.TURNS - 1] = ("assistant", "thought|b")
+    rows = [(1, k, r, t) for k, (r, t) in enumerate(said)]
+
+    def keeps_last(messages, prompt=None):
+        kept = [(r, t if k == len(messages) - 1 else t.split("|")[-1]) for k, (r, t) in enumerate(messages)]
+        return "".join(f"[{r}]{t}\n" for r, t in kept)
+
+    r = chat.format_conversations(frame(spark, rows), keeps_last).first()
+    whole = chat.render(keeps_last, said)
+    assert r.rewritten == whole.rewritten and r.rewritten.index(True) == chat.TURNS - 1
+    assert [s and (s.start, s.end) for s in r.turn_spans] == whole.turns
