@@ -87,9 +87,20 @@ def roc_auc(
 
     Exact integers up to the last division.  Null where a class is missing.
     """
+    return _roc_auc_of(_ranked(df, label, score, by, ranges), by)
+
+
+def roc_auc_of_counts(counts: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``roc_auc`` of rows that stand for many: ``score`` with its number of ``positives`` and ``negatives``."""
+    folded = counts.groupBy(*by, F.col("score").alias("_score")).agg(
+        F.sum("positives").alias("_pos"), F.sum("negatives").alias("_neg")
+    )
+    return _roc_auc_of(running_totals(folded, "_score", ["_pos", "_neg"], by, ranges), by)
+
+
+def _roc_auc_of(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
     summed = (
-        _ranked(df, label, score, by, ranges)
-        .groupBy(*by)
+        ranked.groupBy(*by)
         .agg(
             F.sum(_won_twice()).cast("double").alias("_won"),
             F.max("total__pos").alias("positives"),

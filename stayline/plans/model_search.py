@@ -9,10 +9,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.operators.metrics import roc_auc
+from stayline.operators.metrics import roc_auc, roc_auc_of_counts
 from stayline.operators.splitting import SEED, with_balanced_weight, with_folds
 from stayline.plans.training import (
     NOT_FEATURES,
@@ -31,6 +31,8 @@ from stayline.staging import stage
 FOLDS = 8
 WEIGHT_STEP = 0.05
 BLEND = "WeightedEnsemble"
+#: Cells along each of two scores in which blends are bounded, and what rounding can shift a blend by.
+CELLS, ROUNDING = 256, 1e-9
 
 Builder = Callable[[Sequence[str]], Pipeline]
 
@@ -158,37 +160,82 @@ def best_model(board: DataFrame) -> DataFrame:
     return board.orderBy(F.desc("score_val"), "model").limit(1)
 
 
+def _mixed(parts: dict[str, float]) -> Column:
+    return reduce(lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()])
+
+
 def _blend_aucs(wide: DataFrame, blends: dict[str, dict[str, float]]) -> dict[str, float]:
     """Exact AUC of many blends in one job, grouped by the blend's number."""
-    mixed = [
-        reduce(lambda a, b: a + b, [F.lit(w) * F.col(m) for m, w in parts.items()])
-        for parts in blends.values()
-    ]
-    rows = wide.select("churn", F.posexplode(F.array(*mixed)).alias("blend", "score"))
+    mixed = F.array(*[_mixed(parts) for parts in blends.values()])
+    rows = wide.select("churn", F.posexplode(mixed).alias("blend", "score"))
     names = list(blends)
     return {names[r.blend]: r.roc_auc or 0.0 for r in roc_auc(rows, by=["blend"]).collect()}
 
 
+def blend_bounds(
+    wide: DataFrame, weights: dict[str, float], others: Sequence[str], shares: Sequence[float], cells: int = CELLS
+) -> dict[tuple[str, int], tuple[float, float]]:
+    """By (other model, place in ``shares``): bounds of the AUC of the blend that gives the model that share.
+
+    Rows are counted once per model, in cells of the blend so far and the model's score.
+    The lowest and highest blend of a cell follow from its corners: AUC is least where
+    every positive has the lowest of its cell and every negative the highest, and most
+    the other way round.  What is ranked grows with the cells and not with the rows.
+    """
+    pairs = F.array(*[F.struct(F.lit(k).alias("other"), F.col(m).alias("b")) for k, m in enumerate(others)])
+    both = wide.select("churn", _mixed(weights).alias("a"), F.explode(pairs).alias("p")).select("churn", "a", "p.*")
+    known = both.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    counted = stage(
+        known.groupBy("other", F.floor(F.col("a") * cells).alias("i"), F.floor(F.col("b") * cells).alias("j")).agg(
+            *[f(x).alias(f"{f.__name__}_{x}") for f in (F.min, F.max) for x in ("a", "b")],
+            F.count_if(F.col("churn") == 1).alias("pos"),
+            F.count_if(F.col("churn") == 0).alias("neg"),
+        )
+    )
+    spread_out = counted.withColumn("share", F.explode(F.lit(list(range(len(shares))))))
+    share = F.element_at(F.lit(list(shares)), F.col("share") + 1)
+    low = (1 - share) * F.col("min_a") + share * F.col("min_b") - ROUNDING
+    high = (1 - share) * F.col("max_a") + share * F.col("max_b") + ROUNDING
+    none = F.lit(0).cast("long")
+
+    def row(upper: bool, score: Column, positives: Column, negatives: Column) -> Column:
+        named = (F.lit(upper).alias("upper"), score.alias("score"), positives.alias("positives"), negatives.alias("negatives"))
+        return F.struct(*named)
+
+    pos, neg = F.col("pos"), F.col("neg")
+    ends = F.array(row(True, high, pos, none), row(True, low, none, neg), row(False, low, pos, none), row(False, high, none, neg))
+    rows = spread_out.select("other", "share", F.explode(ends).alias("e")).select("other", "share", "e.*")
+    found = {
+        (others[r.other], r.share, r.upper): r.roc_auc
+        for r in roc_auc_of_counts(rows, ["other", "share", "upper"]).collect()
+    }
+    bound = lambda m, i, upper: float(upper) if (auc := found.get((m, i, upper))) is None else auc
+    return {(m, i): (bound(m, i, False), bound(m, i, True)) for m in others for i in range(len(shares))}
+
+
 def ensemble_weights(
     scores: DataFrame, models: Sequence[str], step: float = WEIGHT_STEP
 ) -> dict[str, float]:
-    """Greedy blend: start from the best model, mix in others while the AUC grows."""
+    """Greedy blend: start from the best model, mix in others while the AUC grows.
+
+    Only blends whose upper bound reaches the best lower bound are measured row by row.
+    """
     wide = stage(
         scores.groupBy("row_id", "churn").pivot("model", list(models)).agg(F.first("score"))
     )
     singles = _blend_aucs(wide, {m: {m: 1.0} for m in models})
     best = max(sorted(singles), key=lambda m: singles[m])
     weights, reached = {best: 1.0}, singles[best]
-    steps = round(1 / step)
+    shares = [i * step for i in range(1, round(1 / step))]
     for _ in range(len(models) - 1):
+        others = [m for m in models if m not in weights]
+        bounds = blend_bounds(wide, weights, others, shares)
+        least = max(low for low, _ in bounds.values())
         options = {}
-        for m in models:
-            if m in weights:
-                continue
-            for i in range(1, steps):
-                share = i * step
-                mixed = {name: w * (1 - share) for name, w in weights.items()}
-                options[f"{m}|{i}"] = {**mixed, m: share}
+        for (m, i), (_, high) in bounds.items():
+            if high >= least and high > reached:
+                mixed = {name: w * (1 - shares[i]) for name, w in weights.items()}
+                options[f"{m}|{i + 1}"] = {**mixed, m: shares[i]}
         if not options:
             break
         measured = _blend_aucs(wide, options)
