@@ -106,12 +106,8 @@ def test_cells_are_cut_along_the_axes_that_tell_sites_apart(spark):
     rows = [(i, 0.0, 1.0, float(i % 2), 2.0, 3.0, 4.0, float(i % 67), float(i * 7919 % 1009)) for i in range(2000)]
     names = [f"x{a}" for a in range(8)]
     df = spark.createDataFrame(rows, "key long, " + ", ".join(f"{n} double" for n in names))
-    placed = df.select(F.array(*names).alias("at"), F.array("key").alias("keys"), F.lit("0").alias("cell"))
-    while True:
-        cuts = imbalance._cuts_of(placed, 8, 100)
-        if cuts.isEmpty():
-            break
-        placed = stage(imbalance._descend(placed, cuts, F.lit(0.0)))
+    sites = df.select(F.array(*names).alias("at"), F.array("key").alias("keys"))
+    placed, _ = imbalance._placed(sites, 8, imbalance._pivots(sites), 100)
     sizes = [r["count"] for r in placed.groupBy("cell").count().collect()]
     assert sum(sizes) == 2000 and max(sizes) <= 100
 
