@@ -164,10 +164,10 @@ STEPS = "array<struct<shared:int,grown:boolean,end:int,first:int,last:int,learne
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _pieces(dealt: DataFrame, template: Callable, learn: str) -> DataFrame:
+def _pieces(rows: DataFrame, template: Callable, learn: str) -> DataFrame:
     """The steps of every part of a conversation; its last part brings the formatted string."""
-    key = dealt.schema["conv_id"].dataType.simpleString()
-    order = dealt.repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "turn", "role", "text")
+    key = rows.schema["conv_id"].dataType.simpleString()
+    order = rows.sortWithinPartitions("conv_id", "part", "turn", "role", "text")
     kinds = [("shared", pa.int32()), ("grown", pa.bool_()), ("end", pa.int32())]
     kinds += [("first", pa.int32()), ("last", pa.int32()), ("learned", pa.bool_())]
 
@@ -267,9 +267,11 @@ def format_conversations(rows: DataFrame, template: Callable | None = None, lear
     is_long = F.col("conv_id").eqNullSafe(F.col("long_id"))
     one = plain.join(long, is_long, "left_anti").withColumns({"part": F.lit(0), "parts": F.lit(1)})
     dealt = plain.join(long, is_long).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    several = _pieces(dealt.drop("long_id"), template, learn)
+    # a given number of tasks: few rows make much work here, so they are not to be put together by their bytes
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    several = _pieces(dealt.drop("long_id").repartition(tasks, "conv_id", "part"), template, learn)
     in_order = several.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    return _joined(_pieces(one, template, learn).unionByName(in_order))
+    return _joined(_pieces(one.repartition("conv_id"), template, learn).unionByName(in_order))
 
 
 def read_back(formatted: DataFrame, template: DelimitedTemplate | None = None) -> DataFrame:
