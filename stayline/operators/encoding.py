@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Levels of one column that may become columns of a table.
@@ -67,6 +67,17 @@ def sparse_one_hot(cols: Sequence[str], to: str = "categories") -> Pipeline:
     return Pipeline(stages=[indexer, encoder, VectorAssembler(inputCols=parts, outputCol=to)])
 
 
+def ones(vector: str) -> tuple[Column, Column]:
+    """Width of a vector column and the places that hold 1, ascending.
+
+    A sparse vector is read as it is stored, so a row costs its non-zero places and not the width.
+    """
+    stored = F.unwrap_udt(F.col(vector))
+    sparse, values = stored["type"] == 0, stored["values"]
+    places = F.when(sparse, stored["indices"]).otherwise(F.transform(values, lambda _, place: place))
+    return F.when(sparse, stored["size"]).otherwise(F.size(values)), F.filter(places, lambda _, k: F.get(values, k) == 1)
+
+
 def encoded_names(
     levels: dict[str, list[str]], drop_first: bool = True, null_column: bool = True
 ) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +23,7 @@ from stayline.plans.training import (
     model_input,
     random_forest,
     spread,
+    training_parts,
     with_probability,
     with_stop_rows,
 )
@@ -58,36 +60,35 @@ class Search:
 
 
 def search(
-    df: DataFrame, models: dict[str, Builder], folds: int = FOLDS, seed: int = SEED, at_once: int = 4
+    df: DataFrame, models: dict[str, Builder], folds: int = FOLDS, seed: int = SEED, at_once: int | None = None
 ) -> Search:
     """Fit every model without each fold and score that fold.
 
     ``scores`` is a long table (model, row_id, userId, churn, score); ``row_id``
     tells a user's rows apart.  Several folds are fitted at once, since one fit
-    rarely fills a cluster.
+    rarely fills a cluster: at least four, and one per core where a fit is a single task.
     """
     features = feature_list(df)
     numbered = model_input(df, features).withColumn("row_id", F.monotonically_increasing_id())
     table = stage(with_stop_rows(with_folds(numbered, "userId", folds, seed), seed=seed))
+    if at_once is None:
+        at_once = max(4, df.sparkSession.sparkContext.defaultParallelism // training_parts(table.count()))
 
-    def fit(build: Builder, fold: int) -> tuple[PipelineModel, float]:
+    def fit(name: str, fold: int) -> tuple[PipelineModel, float, DataFrame]:
         started = time.monotonic()
         training = with_balanced_weight(table.where(F.col("fold") != fold))
-        return build(features).fit(spread(training)), time.monotonic() - started
+        model = models[name](features).fit(spread(training))
+        seconds = time.monotonic() - started
+        # A plan's tasks each load all models in it, so every model scores its fold in a job of its own.
+        scored = with_probability(model, table.where(F.col("fold") == fold))
+        return model, seconds, stage(scored.select(F.lit(name).alias("model"), "row_id", "userId", "churn", "score"))
 
     with ThreadPoolExecutor(at_once) as pool:
-        running = {name: [pool.submit(fit, build, k) for k in range(folds)] for name, build in models.items()}
+        running = {name: [pool.submit(copy_context().run, fit, name, k) for k in range(folds)] for name in models}
         done = {name: [f.result() for f in fits] for name, fits in running.items()}
-    fitted = {name: [model for model, _ in fits] for name, fits in done.items()}
-    parts = [
-        with_probability(model, table.where(F.col("fold") == fold)).select(
-            F.lit(name).alias("model"), "row_id", "userId", "churn", "score"
-        )
-        for name, own in fitted.items()
-        for fold, model in enumerate(own)
-    ]
-    scores = stage(reduce(DataFrame.unionByName, parts))
-    return Search(features, fitted, scores, {name: sum(s for _, s in fits) for name, fits in done.items()})
+    fitted = {name: [model for model, _, _ in fits] for name, fits in done.items()}
+    scores = stage(reduce(DataFrame.unionByName, [part for fits in done.values() for _, _, part in fits]))
+    return Search(features, fitted, scores, {name: sum(s for _, s, _ in fits) for name, fits in done.items()})
 
 
 def out_of_fold(

@@ -30,7 +30,8 @@ from stayline.sources.tables import load_feature_list, save_feature_list
 from stayline.staging import stage
 
 NOT_FEATURES = ("userId", "churn")
-ROWS_PER_TASK = 2_000
+#: Rows of a training task: at least so many, and ``ROOT_SHARE`` times the square root of all rows.
+ROWS_PER_TASK, ROOT_SHARE = 20_000, 100
 
 
 def feature_list(df: DataFrame, leave_out: Sequence[str] = NOT_FEATURES) -> list[str]:
@@ -125,16 +126,23 @@ def prepare(df: DataFrame, features: Sequence[str], test_share: float = 0.2, see
     return stage(stratified_split(model_input(df, features), "churn", "userId", test_share, seed))
 
 
+def training_parts(rows: int) -> int:
+    """Parts of so many training rows."""
+    return max(1, -(-rows // max(ROWS_PER_TASK, ROOT_SHARE * math.isqrt(rows))))
+
+
 def spread(df: DataFrame, key: str = "userId") -> DataFrame:
     """Training rows in even parts and a fixed order.
 
     Fitting reads the rows many times, so a shuffle up front is cheap.  Row
     sampling depends on where rows lie, so the number of parts follows from the
     number of rows alone: a seed gives the same model on every cluster.
+
+    In every round and for every level of the trees each task sends the statistics of
+    all open nodes, however few rows it has, so the parts must grow slower than the rows:
+    with their square root, as a task's rows do.
     """
-    rows = df.count()
-    parts = max(1, -(-rows // max(ROWS_PER_TASK, math.isqrt(rows))))
-    return df.repartition(parts, key).sortWithinPartitions(key)
+    return df.repartition(training_parts(df.count()), key).sortWithinPartitions(key)
 
 
 def with_stop_rows(df: DataFrame, key: str = "userId", share: int = 5, seed: int = SEED) -> DataFrame:
