@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Generator, Iterable
+from collections.abc import Callable, Generator, Iterable
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ from stayline.staging import stage
 GROUP, SHARE, LEAST = 48, 0.8, 4
 #: Weight of two matched texts that are equal; others and elements weigh one.
 EQUAL_TEXT = 4
-#: Cells of a match table above which long child lists are aligned on their equal texts first.
-TABLE_CELLS = 250_000
 
 # Element names of HTML and words that sites use for parts around an article.
 BLOCKS = frozenset(
@@ -243,20 +242,97 @@ def _same(a: Node, b: Node) -> bool:
     return len(a.kids) == 1 == len(b.kids) and a.kids[0].label == "#text" == b.kids[0].label and a.kids[0].text == b.kids[0].text
 
 
-def _anchors(xs: list[Node], ys: list[Node]) -> list[tuple[int, int]]:
-    """Pairs of equal texts that occur once on either side, in order."""
-    told = lambda n: n.text or "\n".join(t.text for t in leaves(n))
-    mine, theirs = [told(x) for x in xs], [told(y) for y in ys]
-    once = lambda texts: {t: i for i, t in enumerate(texts) if t and count[t] == 1}
-    count = Counter(mine)
-    left = once(mine)
-    count = Counter(theirs)
-    right, pairs, last = once(theirs), [], -1
-    for text, i in left.items():
-        if right.get(text, -1) > last:
-            last = right[text]
-            pairs.append((i, last))
-    return pairs
+def _shape(node: Node, memo: dict) -> int:
+    """A number of the subtree's labels: equal for trees that differ in their texts only."""
+    numbers, open_nodes = memo.setdefault("shapes", {}), [node]
+    while open_nodes:
+        now = open_nodes[-1]
+        missing = [kid for kid in now.kids if id(kid) not in memo]
+        if not missing:
+            memo[id(now)] = numbers.setdefault((now.label, tuple(memo[id(kid)] for kid in now.kids)), len(numbers))
+            open_nodes.pop()
+        open_nodes += missing
+    return memo[id(node)]
+
+
+class _Forms:
+    """Nodes of one label by form: their shape and the texts, with places, that the other list holds too.
+
+    A text that the other node lacks matches none of its texts, so two nodes weigh what any
+    two of the same shapes do that have the same texts in common at the same places.
+    """
+
+    def __init__(self, xs: list[Node], ys: list[Node], memo: dict) -> None:
+        mine, theirs = ([[t.text for t in leaves(n)] for n in nodes] for nodes in (xs, ys))
+        shared = {t for own in mine for t in own} & {t for own in theirs for t in own}
+        form = lambda n, own: (_shape(n, memo), tuple((i, t) for i, t in enumerate(own) if t in shared))
+        self.memo, self.xs = memo, {id(x): form(x, own) for x, own in zip(xs, mine, strict=True)}
+        numbers: dict[tuple, int] = {}
+        self.of = np.array([numbers.setdefault(form(y, own), len(numbers)) for y, own in zip(ys, theirs, strict=True)])
+        self.forms = list(numbers)
+        self.one = {n: y for n, y in zip(self.of.tolist(), ys, strict=True)}
+        self.having: dict[str, list[int]] = {}
+        shapes: dict[int, list[int]] = {}
+        for n, (shape, texts) in enumerate(self.forms):
+            shapes.setdefault(shape, []).append(n)
+            for t in {t for _, t in texts}:
+                self.having.setdefault(t, []).append(n)
+        self.shapes = {shape: np.array(members) for shape, members in shapes.items()}
+        self.again = {f for f, n in Counter(self.xs.values()).items() if n > 1}
+        self.told: dict[tuple, np.ndarray] = {}
+
+    def row(self, x: Node) -> Generator[tuple[Node, Node], int, np.ndarray]:
+        """Weights of ``x`` with every node of the other list."""
+        mine = shape, texts = self.xs[id(x)]
+        if mine in self.told:
+            return self.told[mine]
+        common: dict[int, set[str]] = {}
+        for t in {t for _, t in texts}:
+            for n in self.having.get(t, ()):
+                common.setdefault(n, set()).add(t)
+        weights, free = np.zeros(len(self.forms), np.int64), np.ones(len(self.forms), bool)
+        free[list(common)] = False
+        for other, members in self.shapes.items():
+            unlike = members[free[members]]
+            if len(unlike):
+                weights[unlike] = yield from self._known((shape, (), other, ()), x, self.one[int(unlike[0])])
+        for n, both in common.items():
+            other, theirs = self.forms[n]
+            at, there = (tuple(p for p in places if p[1] in both) for places in (texts, theirs))
+            weights[n] = yield from self._known((shape, at, other, there), x, self.one[n])
+        if mine in self.again:
+            self.told[mine] = weights[self.of]
+        return weights[self.of]
+
+    def _known(self, key: tuple, x: Node, y: Node) -> Generator[tuple[Node, Node], int, int]:
+        if key not in self.memo:
+            self.memo[key] = yield from _weight(x, y, self.memo)
+        return self.memo[key]
+
+
+def _rows(xs: list[Node], ys: list[Node], memo: dict) -> Callable[[Node], Generator[tuple[Node, Node], int, np.ndarray]]:
+    """Tells the weights of an x with all ys; labels that are many on both sides go by form."""
+    mine, theirs = {}, {}
+    for nodes, by in ((xs, mine), (ys, theirs)):
+        for k, n in enumerate(nodes):
+            by.setdefault(n.label, []).append(k)
+    forms = {
+        label: _Forms([xs[i] for i in own], [ys[j] for j in theirs[label]], memo)
+        for label, own in mine.items()
+        if len(own) > 1 and len(theirs.get(label, ())) > 1
+    }
+    places = {label: np.array(own) for label, own in theirs.items()}
+
+    def row(x: Node) -> Generator[tuple[Node, Node], int, np.ndarray]:
+        weights = np.zeros(len(ys), np.int64)
+        if x.label in forms:
+            weights[places[x.label]] = yield from forms[x.label].row(x)
+        else:
+            for j in theirs.get(x.label, ()):
+                weights[j] = yield from _weight(x, ys[j], memo)
+        return weights
+
+    return row
 
 
 def _align(xs: list[Node], ys: list[Node], memo: dict) -> Steps:
@@ -272,39 +348,22 @@ def _align(xs: list[Node], ys: list[Node], memo: dict) -> Steps:
     xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
     if not xs or not ys:
         return pairs
-    if len(xs) * len(ys) > TABLE_CELLS:
-        i0 = j0 = 0
-        for i, j in [*_anchors(xs, ys), (len(xs), len(ys))]:
-            if (i - i0) * (j - j0) <= TABLE_CELLS:
-                pairs += yield from _align(xs[i0:i], ys[j0:j], memo)
-            else:
-                for x, y in zip(xs[i0:i], ys[j0:j], strict=False):
-                    if w := (yield from _weight(x, y, memo)):
-                        pairs.append((x, y, w))
-            if i < len(xs):
-                pairs.append((xs[i], ys[j], (yield from _weight(xs[i], ys[j], memo))))
-            i0, j0 = i + 1, j + 1
-        return pairs
-    weights = []
+    # One row of the table at a time; of every cell two bits are kept, by which the match is read backwards.
+    row, best, paired, above_as_good = _rows(xs, ys, memo), np.zeros(len(ys) + 1, np.int64), [], []
     for x in xs:
-        row = []
-        for y in ys:
-            row.append((yield from _weight(x, y, memo)))
-        weights.append(row)
-    best = [[0] * (len(ys) + 1)]
-    for row in weights:
-        above, now, left = best[-1], [0], 0
-        for j, w in enumerate(row):
-            left = max(left, above[j + 1], above[j] + w if w else 0)
-            now.append(left)
-        best.append(now)
+        weights = yield from row(x)
+        with_x = np.where(weights > 0, best[:-1] + weights, 0)
+        now = np.maximum.accumulate(np.maximum(best[1:], with_x))
+        paired.append(np.packbits((weights > 0) & (now == with_x)))
+        above_as_good.append(np.packbits(now == best[1:]))
+        best[1:] = now
+    bit = lambda bits, j: bits[j >> 3] >> (7 - (j & 7)) & 1
     i, j = len(xs), len(ys)
     while i and j:
-        w = weights[i - 1][j - 1]
-        if w and best[i][j] == best[i - 1][j - 1] + w:
-            pairs.append((xs[i - 1], ys[j - 1], w))
+        if bit(paired[i - 1], j - 1):
             i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
+            pairs.append((xs[i], ys[j], (yield from _weight(xs[i], ys[j], memo))))
+        elif bit(above_as_good[i - 1], j - 1):
             i -= 1
         else:
             j -= 1
