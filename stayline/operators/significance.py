@@ -51,8 +51,10 @@ def _weighted(df: DataFrame, key: str, replicates: int) -> DataFrame:
     """``df`` once per block of ``BLOCK`` replicates, with the row's weight in each of them as ``_w0``, ``_w1``, ...
 
     Place 0 of block 0 are the rows as they are, replicate -1.  A hash is a column of its
-    own, so it is taken once and not at every step that its weight may pass.
+    own, so it is taken once and not at every step that its weight may pass.  The rows are
+    few bytes and much work, so they are dealt over tasks by number and not by size.
     """
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = F.sequence(F.lit(0), F.lit(replicates // BLOCK))
     number = [F.col("_block") * BLOCK + (k - 1) for k in range(BLOCK)]
     hashed = df.withColumn("_block", F.explode(blocks)).withColumns({f"_bits{k}": _bits(key, n) for k, n in enumerate(number)})
