@@ -6,11 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -26,6 +22,7 @@ from stayline.operators.splitting import (
     with_positive_weight,
 )
 from stayline.plans.boosting import fit_with_patience
+from stayline.plans.forests import HistogramForest
 from stayline.sources.tables import load_feature_list, save_feature_list
 from stayline.staging import stage
 
@@ -65,7 +62,7 @@ def random_forest(
     seed: int = SEED,
 ) -> Pipeline:
     """Random forest on balanced weights.  MLlib caps the depth at 30."""
-    forest = RandomForestClassifier(
+    forest = HistogramForest(
         labelCol="churn",
         weightCol="weight",
         numTrees=trees,
