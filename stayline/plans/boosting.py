@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators.metrics import roc_auc
 from stayline.plans.trees import tree_table, with_tree_values
+from stayline.staging import staging_root
 
 
 def staged_auc(margins: DataFrame, label: str = "churn") -> DataFrame:
@@ -88,6 +89,10 @@ def fit_with_patience(
     """
     if patience < 1:
         raise ValueError("patience is at least one round")
+    context = training.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        # MLlib cuts the lineage of its rounds only where it has such a folder; hundreds of rounds need that.
+        context.setCheckpointDir(staging_root(training.sparkSession))
     grown = min(rounds, 2 * patience)
     while True:
         model = build(grown).fit(training)

@@ -121,3 +121,25 @@ def test_training_with_patience(points):
     assert scored.where("score < 0 or score > 1").count() == 0
     with pytest.raises(ValueError, match="patience"):
         training.train_gradient_boosting(points, patience=0)
+
+
+def test_the_churn_query_boosts_with_all_rounds_and_the_full_patience(spark, points, monkeypatch):
+    from stayline.registry import queries
+
+    asked = []
+
+    def spy(build, training_rows, stopping, inputs, rounds, patience):
+        asked.append((rounds, patience))
+        return build(2).fit(training_rows), None
+
+    monkeypatch.setattr(queries, "_commerce_features", lambda spark, sf_dir: points)
+    monkeypatch.setattr(training, "fit_with_patience", spy)
+    assert queries.gbt_churn_scores(spark, "").where("is_probability and follows_threshold").count() > 0
+    assert asked == [(1000, 100)]
+
+
+def test_hundreds_of_rounds_have_a_folder_to_cut_their_lineage_in(spark, prepared):
+    features, marked = prepared
+    small = lambda n: training.gradient_boosting(features, min(n, 3), max_depth=1, validation=None)
+    boosting.fit_with_patience(small, training.spread(marked.where("not is_stop")), marked.where("is_stop"), inputs(features), rounds=3, patience=3)
+    assert spark.sparkContext.getCheckpointDir()
